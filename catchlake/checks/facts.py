@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchlake import constants as C
 from catchlake.checks.registry import check, spark_of
 from catchlake.checks.summaries import SQL as SUMMARY_SQL
-from catchlake.checks.summaries import all_summaries, lookups
+from catchlake.checks.summaries import lookups
 from catchlake.functions.columns import ppr
 from catchlake.layers import LAYERS, Layer
 from catchlake.operators.sizing import measured
 from catchlake.plans import cells as cell_plans
 from catchlake.plans import facts as fact_plans
 from catchlake.plans import summaries as S
-from catchlake.session import materialize, shared_path
+from catchlake.session import shared_path
 
 DIMS = ("end_use", "price", "uncertainty_eez", "uncertainty_time_period", "cube_dim_taxon", "area", "time_dim", "catch_type",
-        "reporting_status", "gear", "fao_area", "lme", "rfmo", "meow")
+        "reporting_status", "gear")
+
+ALLOWED = {"high_seas": "fao_area", "lme": "lme", "rfmo": "rfmo", "meow": "meow"}
 
 
 def dims_of(t) -> dict[str, DataFrame]:
-    return measured(**{name: getattr(t, name) for name in DIMS})
+    lists = fact_plans.allowed_areas({layer: (getattr(t, name), f"{name}_id")
+                                      for layer, name in ALLOWED.items()})
+    return measured(**{name: getattr(t, name) for name in DIMS}, allowed_area=lists)
 
 
 def published(fact: DataFrame) -> DataFrame:
@@ -52,8 +54,8 @@ def fact_sql(layer: Layer, summary: str | None = None) -> str:
     left join {uncertainty_time_period} up on up.period_id = ue.period_id) u
   on u.eez_id = c.eez_id and u.sector_type_id = c.sector_type_id and u.layer = c.data_layer_id
   and c.year >= u.year_from and c.year < u.year_to"""
-    areas = " and ".join(f"a.{theirs} = {place[ours]}" for ours, theirs in layer.area_keys.items())
-    allowed = f"where s.{layer.main} in (select {layer.main} from {{{layer.allowed}}})" if layer.allowed else ""
+    areas = " and ".join(f"a.{key} = {place[key]}" for key in layer.area_keys)
+    allowed = f"where s.{layer.main} in (select {layer.main} from {{{ALLOWED[layer.name]}}})" if layer.allowed else ""
     gear = "join {gear} g on g.gear_id = c.gear_type_id" if layer.gear_join else ""
     return f"""
 select {place['main_area_id']} as main_area_id, {place['sub_area_id']} as sub_area_id, {layer.layer_id} as marine_layer_id,
@@ -148,8 +150,12 @@ def b17(t):
 @check("b18_all_facts", "select * replace (case fishing_entity_id when 223 then 213 else fishing_entity_id end as fishing_entity_id) from ("
        + " union all ".join(f"select * from ({fact_sql(LAYERS[n])}) {n}_fact" for n in LAYERS) + ") all_facts")
 def b18(t):
-    """Seven summaries from two passes over the result, each base written once, then seven facts in one."""
-    return published(fact_plans.build_all_facts(all_summaries(t, materialize), t.allocation_data, dims_of(t)))
+    """Two passes over the result and one over everything else give the facts of all seven layers."""
+    d = lookups(t)
+    simple = S.simple_base(t.allocation_result, d["simple_area"])
+    weighted = S.weighted_base(t.allocation_result, d["assignment"], d["cell"], d["simple_area"],
+                               {C.LME: d["pairs"], C.MEOW: d["pairs"]})
+    return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, dims_of(t)))
 
 
 CELL_SQL = """

@@ -52,12 +52,10 @@ join {area} a on a.marine_layer_id = 1 and a.main_area_id = s.eez_id and a.sub_a
 def j03(t):
     area = measured(area=t.area)["area"]
     places = t.allocation_simple_area.withColumnsRenamed({"eez_id": "main_area_id", "fao_area_id": "sub_area_id"})
-    parts = []
-    for name in ("eez", "lme", "global", "ifa"):
-        layer = LAYERS[name]
-        joined = joins.area_join(places, area, layer.area_layer, layer.area_keys)
-        parts.append(joined.select(F.lit(name).alias("layer"), "allocation_simple_area_id", "area_key"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    layers = [LAYERS[name] for name in ("eez", "lme", "global", "ifa")]
+    ids = F.array(*[F.struct(F.lit(x.name).alias("layer"), F.lit(x.layer_id).alias("marine_layer_id")) for x in layers])
+    rows = joins.area_join(places.select("*", F.inline(ids)), area, layers)
+    return rows.select("layer", "allocation_simple_area_id", "area_key")
 
 
 END_USE_ON = """e.fishing_entity_id = d.fishing_entity_id and e.year = d.year and e.taxon_key = d.taxon_key

@@ -22,6 +22,15 @@ _BOX = """
   cast((s_suppkey * 7 % 40) * 0.5 + 1.6 + (s_suppkey % 3) * 0.5 as double) as xmax,
   cast((s_suppkey * 3 % 30) * 0.5 + 1.1 + (s_suppkey % 3) * 0.5 as double) as ymax"""
 
+
+def _literals(name: str, values, **more) -> str:
+    """A handful of literal rows, with a column of ones to join them on."""
+    columns = {name: values, **more}
+    rows = zip(*columns.values(), strict=True)
+    return "(" + " union all ".join(
+        "select 1 as one, " + ", ".join(f"{v} as {c}" for c, v in zip(columns, row, strict=True)) for row in rows) + ")"
+
+
 VIEWS = {
     "allocation_data": """
 select o_orderkey as universal_data_id, cast(o_custkey % 25 as int) as fishing_entity_id, year(o_orderdate) as year,
@@ -51,23 +60,24 @@ select case p_partkey % 4 when 0 then 3 when 1 then 4 when 2 then 14 else 19 end
 from {part}""",
     "area_fao": """
 select distinct cast(p_size % 12 + 1 as int) as area_id, cast(p_size % 5 + 1 as int) as fao_area_id from {part}""",
-    "end_use": """
+    "end_use": f"""
 select fishing_entity_id, year, case when taxon_key % 2 = 0 then taxon_key else taxon_key + 100 end as taxon_key,
-  sector_type_id, reporting_status_id, gear_type_id, catch_type_id, 1 as end_use_type_id,
-  cast(0.7 as decimal(6,4)) as end_use_percentage
-from {allocation_data} group by all
-union all
-select fishing_entity_id, year, case when taxon_key % 2 = 0 then taxon_key else taxon_key + 100 end,
-  sector_type_id, reporting_status_id, gear_type_id, catch_type_id, 2, cast(0.3 as decimal(6,4))
-from {allocation_data} group by all""",
-    "price": " union all ".join(f"""
+  sector_type_id, reporting_status_id, gear_type_id, catch_type_id, end_use_type_id, end_use_percentage
+from (select distinct 1 as one, fishing_entity_id, year, taxon_key, sector_type_id, reporting_status_id, gear_type_id, catch_type_id
+  from {{allocation_data}}) d
+join {_literals("end_use_type_id", (1, 2), end_use_percentage=("cast(0.7 as decimal(6,4))", "cast(0.3 as decimal(6,4))"))} u
+  on u.one = d.one""",
+    "price": f"""
 select year, fishing_entity_id, case when taxon_key % 3 = 0 then taxon_key + 100 else taxon_key end as taxon_key,
-  {use} as end_use_type_id, cast(100 + taxon_key * 10 + {use} as decimal(18,2)) as price
-from {{allocation_data}} group by all""" for use in (1, 2, 4)),
-    "uncertainty_eez": " union all ".join(f"""
-select case when n_nationkey % 5 = 4 then n_nationkey + 101 else n_nationkey + 1 end as eez_id, {sector} as sector_type_id,
-  {period} as period_id, (n_nationkey + {sector} + {period}) % 4 + 1 as score, {layer} as layer
-from {{nation}}""" for sector in (1, 2, 3) for period in (1, 2) for layer in (1, 2)),
+  end_use_type_id, cast(100 + taxon_key * 10 + end_use_type_id as decimal(18,2)) as price
+from (select distinct 1 as one, year, fishing_entity_id, taxon_key from {{allocation_data}}) d
+join {_literals("end_use_type_id", (1, 2, 4))} u on u.one = d.one""",
+    "uncertainty_eez": f"""
+select case when n_nationkey % 5 = 4 then n_nationkey + 101 else n_nationkey + 1 end as eez_id, sector_type_id,
+  period_id, (n_nationkey + sector_type_id + period_id) % 4 + 1 as score, layer
+from (select 1 as one, n_nationkey from {{nation}}) n
+join {_literals("sector_type_id", (1, 2, 3))} s on s.one = n.one join {_literals("period_id", (1, 2))} p on p.one = n.one
+join {_literals("layer", (1, 2))} l on l.one = n.one""",
     "uncertainty_time_period": """
 select 1 as period_id, 1950 as year_from, 1998 as year_to union all select 2, 1998, 2100""",
     "cube_dim_taxon": """
@@ -75,11 +85,12 @@ select distinct cast(c_custkey % 40 as int) as taxon_key, cast(2.0 + (c_custkey
   cast(10 + c_custkey % 40 as decimal(9,2)) as sl_max, cast(c_custkey % 40 % 6 + 1 as int) as commercial_group_id,
   cast(c_custkey % 40 % 8 + 1 as int) as functional_group_id
 from {customer}""",
-    "area": " union all ".join(f"""
-select {1000 * layer} + 10 * n_nationkey + {sub} as area_key, {layer} as marine_layer_id, n_nationkey + 1 as main_area_id,
-  {sub} as sub_area_id, n_nationkey * 4 as number_of_cells
-from {{nation}}""" for layer, sub in _AREA_PARTS)
-    + " union all select 6001, 6, 1, 1, 0 union all select 6002, 6, 1, 2, 0",
+    "area": f"""
+select 1000 * marine_layer_id + 10 * n_nationkey + sub_area_id as area_key, marine_layer_id, n_nationkey + 1 as main_area_id,
+  sub_area_id, n_nationkey * 4 as number_of_cells
+from (select 1 as one, n_nationkey from {{nation}}) n
+join {_literals("marine_layer_id", [p[0] for p in _AREA_PARTS], sub_area_id=[p[1] for p in _AREA_PARTS])} p on p.one = n.one
+union all select 6001, 6, 1, 1, 0 union all select 6002, 6, 1, 2, 0""",
     "time_dim": """
 select distinct year(o_orderdate) - 1900 as time_key, year(o_orderdate) as time_business_key from {orders}""",
     "catch_type": "select 1 as catch_type_id, 'R' as abbreviation union all select 2, 'D'",
@@ -89,9 +100,9 @@ select distinct year(o_orderdate) - 1900 as time_key, year(o_orderdate) as time_
     "lme": "select distinct n_nationkey % 11 + 1 as lme_id from {nation}",
     "rfmo": "select distinct n_nationkey % 11 + 1 as rfmo_id from {nation}",
     "meow": "select distinct n_nationkey % 11 + 1 as meow_id from {nation}",
-    "entity_name": " union all ".join(f"""
-select {layer} as marine_layer_id, n_nationkey + 1 as id, n_name as name, '{name}' as layer_name from {{nation}}"""
-                                      for layer, name in ((1, "eez"), (2, "high seas"))),
+    "entity_name": f"""
+select marine_layer_id, n_nationkey + 1 as id, n_name as name, layer_name from (select 1 as one, n_nationkey, n_name from {{nation}}) n
+join {_literals("marine_layer_id", (1, 2), layer_name=("'eez'", "'high seas'"))} l on l.one = n.one""",
     "fishing_entity": "select n_nationkey as fishing_entity_id, n_name as name from {nation}",
     "stock_fact": """
 select main_area_id, marine_layer_id, 1000 * marine_layer_id + 10 * (main_area_id - 1) + 1 as area_key,

@@ -33,7 +33,8 @@ def has_key_prefix(key: Column, prefix: str) -> Column:
 
 def coef_of_variation(value: Column) -> Column:
     """Sample deviation over mean as an aggregate; one sample or a zero mean gives NULL."""
-    return F.try_divide(F.stddev_samp(value), F.avg(value))
+    number = value.cast("double")
+    return F.try_divide(F.stddev_samp(number), F.avg(number))
 
 
 def tally_bucket(value: Column, low: Column, high: Column, buckets: int = 20) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchlake.constants import DEFAULT_END_USE, DISCARD_CATCH_TYPE, DISCARD_END_USE
 from catchlake.functions.columns import in_year_range
+from catchlake.layers import Layer
 
 END_USE_KEYS = (
     "fishing_entity_id", "year", "taxon_key", "sector_type_id", "reporting_status_id", "gear_type_id", "catch_type_id",
@@ -23,27 +24,44 @@ def star(df: DataFrame, dims: Mapping[str, tuple[DataFrame, str, list[str]]]) ->
     return df
 
 
-def area_join(df: DataFrame, area: DataFrame, layer_id: int, keys: Mapping[str, str]) -> DataFrame:
-    """Add area_key from the areas of one layer; keys maps columns of df to columns of the area table."""
-    side = area.filter(F.col("marine_layer_id") == layer_id)
-    side = side.select("area_key", *[F.col(theirs).alias(ours) for ours, theirs in keys.items()])
-    return df.join(side, list(keys))
+UNUSED = -1
 
 
-def split_end_use(df: DataFrame, end_use: DataFrame, amounts: list[str], discard_rule: bool) -> DataFrame:
+def area_join(df: DataFrame, area: DataFrame, layers: Sequence[Layer]) -> DataFrame:
+    """Add area_key, looked up the way each row's layer says: among the areas of one layer, by main or sub area or both.
+
+    A layer that does not use one of the two has it replaced by the same number on both sides, so one equi join serves
+    all layers.
+    """
+    def used(column: str, layer: Layer) -> Column:
+        return F.col(column) if column in layer.area_keys else F.lit(UNUSED)
+
+    def entry(layer: Layer) -> Column:
+        return F.when(F.col("marine_layer_id") == layer.area_layer, F.struct(
+            F.lit(layer.layer_id).alias("marine_layer_id"), used("main_area_id", layer).alias("_main"),
+            used("sub_area_id", layer).alias("_sub"), F.col("area_key")))
+
+    def side(column: str) -> Column:
+        idle = [layer.layer_id for layer in layers if column not in layer.area_keys]
+        return F.when(F.col("marine_layer_id").isin(*idle), F.lit(UNUSED)).otherwise(F.col(column)) if idle else F.col(column)
+
+    lookup = area.select(F.inline(F.array_compact(F.array(*[entry(layer) for layer in layers]))))
+    placed = df.withColumns({"_main": side("main_area_id"), "_sub": side("sub_area_id")})
+    return placed.join(lookup, ["marine_layer_id", "_main", "_sub"]).drop("_main", "_sub")
+
+
+def split_end_use(df: DataFrame, end_use: DataFrame, amounts: list[str], discard_rule: bool | Column) -> DataFrame:
     """One row per end use with its share of each amount; rows without an entry keep the whole amount.
 
-    With the discard rule a discard goes to its own end use unscaled, once per end use it matches.
+    Where the discard rule holds, a discard goes to its own end use unscaled, once per end use it matches.
     """
     share = F.coalesce("end_use_percentage", F.lit(1))
     use = F.coalesce("end_use_type_id", F.lit(DEFAULT_END_USE))
-    discard = F.col("catch_type_id") == DISCARD_CATCH_TYPE
+    rule = F.lit(discard_rule) if isinstance(discard_rule, bool) else discard_rule
+    discard = rule & (F.col("catch_type_id") == DISCARD_CATCH_TYPE)
     joined = df.join(end_use.select(*END_USE_KEYS, "end_use_type_id", "end_use_percentage"), list(END_USE_KEYS), "left")
-    columns = {}
-    for amount in amounts:
-        scaled = F.col(amount) * share
-        columns[amount] = F.when(discard, F.col(amount)).otherwise(scaled) if discard_rule else scaled
-    columns["end_use_type_id"] = F.when(discard, F.lit(DISCARD_END_USE)).otherwise(use) if discard_rule else use
+    columns = {amount: F.when(discard, F.col(amount)).otherwise(F.col(amount) * share) for amount in amounts}
+    columns["end_use_type_id"] = F.when(discard, F.lit(DISCARD_END_USE)).otherwise(use)
     return joined.withColumns(columns).drop("end_use_percentage")
 
 

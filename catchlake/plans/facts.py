@@ -1,19 +1,22 @@
-"""The star-schema fact of each marine layer.
+"""The star-schema fact of the marine layers.
 
-All measures are linear in catch, so catch is first summed over row ids to the grain of the dimensions. The joins to
-end uses, prices, scores and dimensions then run on that much smaller frame, and a second sum brings together rows
-that the end-use split made alike.
+All layers go through one plan: rows carry their layer id, and what differs between layers is a condition on it. So the
+allocation data, end uses, prices and scores are each joined once, not once per layer.
+
+All measures are linear in catch, so catch is first summed over row ids to the grain of the data's dimensions. The joins
+to end uses, prices and scores then run on that much smaller frame, a second sum brings together rows that the end-use
+split made alike, and the dimensions, each with one row per key, are joined to the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchlake.constants import DEFAULT_UNIT_PRICE, FACT_COLUMNS, MERGED_ENTITIES
+from catchlake import constants as C
 from catchlake.functions.columns import ppr
 from catchlake.layers import LAYERS, Layer
 from catchlake.operators.aggregates import narrowed
@@ -25,84 +28,141 @@ DATA_KEYS = (
     "sector_type_id",
 )
 
-OUTPUT_KEYS = (
-    "main_area_id", "sub_area_id", "data_layer_id", "fishing_entity_id", "gear_id", "time_key", "year", "taxon_key",
-    "area_key", "sector_type_id", "catch_type_id", "reporting_status_id", "end_use_type_id",
-)
+AREA_KEYS = ("marine_layer_id", "main_area_id", "sub_area_id")
+
+
+def allowed_areas(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """The lists of allowed areas as one table (marine_layer_id, main_area_id), from layer name -> (list, its column)."""
+    lists = [df.select(F.lit(LAYERS[name].layer_id).alias("marine_layer_id"), F.col(column).alias("main_area_id"))
+             for name, (df, column) in tables.items()]
+    return reduce(DataFrame.unionByName, lists).distinct()
+
+
+def layer_rows(summary: DataFrame, layer: Layer) -> DataFrame:
+    """A summary with the columns all layers share. eez_id is kept only where it leads to a score."""
+    def column(source: str | int) -> Column:
+        return F.col(source) if isinstance(source, str) else F.lit(source)
+
+    eez = F.col("eez_id") if layer.score == "lookup" else F.lit(None).cast("int")
+    return summary.select(F.lit(layer.layer_id).alias("marine_layer_id"), "universal_data_id",
+                          column(layer.main).alias("main_area_id"), column(layer.sub).alias("sub_area_id"),
+                          eez.alias("eez_id"), "total_catch")
 
 
-def catch_by_dimensions(summary: DataFrame, data: DataFrame, layer: Layer) -> DataFrame:
-    """Catch, and its value at unit price where the layer uses that, at the grain of the data's dimensions."""
+def rows_of_bases(simple: DataFrame, weighted: DataFrame) -> DataFrame:
+    """The rows of all seven layers straight from the two base summaries.
+
+    A simple row counts twice, in its own layer and in the global one; the global sum over ids happens with the sum to
+    the dimensions. A weighted row already carries its layer.
+    """
+    in_eez = F.col("eez_id") > 0
+    no_eez = F.lit(None).cast("int")
+
+    def place(layer: int, main: Column, sub: Column, eez: Column) -> Column:
+        return F.struct(F.lit(layer).alias("marine_layer_id"), main.cast("int").alias("main_area_id"),
+                        sub.cast("int").alias("sub_area_id"), eez.alias("eez_id"))
+
+    own = F.when(in_eez, place(C.EEZ, F.col("eez_id"), F.col("fao_area_id"), F.col("eez_id"))).otherwise(
+        place(C.HIGH_SEAS, F.col("fao_area_id"), F.lit(0), no_eez))
+    world = place(C.GLOBAL, F.lit(1), F.when(in_eez, 1).otherwise(2), no_eez)
+    columns = ["marine_layer_id", "universal_data_id", "main_area_id", "sub_area_id", "eez_id", "total_catch"]
+    simple_rows = simple.select("universal_data_id", "total_catch", F.inline(F.array(own, world))).select(*columns)
+
+    ifa = F.col("marine_layer_id") == C.IFA
+    weighted_rows = weighted.withColumns({
+        "main_area_id": F.col("area_id"),
+        "sub_area_id": F.when(ifa, F.col("cell_fao_area_id")).otherwise(0),
+        "eez_id": F.when(ifa, F.col("area_id")).otherwise(F.col("eez_id")),
+    }).select(*columns)
+    return simple_rows.unionByName(weighted_rows)
+
+
+def _in(layers: Sequence[Layer], test: Callable[[Layer], bool]) -> Column:
+    """Whether a row's layer passes a test."""
+    ids = [layer.layer_id for layer in layers if test(layer)]
+    if len(ids) in (0, len(layers)):
+        return F.lit(bool(ids))
+    return F.col("marine_layer_id").isin(*ids)
+
+
+def catch_by_dimensions(rows: DataFrame, data: DataFrame, unit_price: bool) -> DataFrame:
+    """Catch, and its value at unit price where a layer uses that, at the grain of the data's dimensions."""
     sums = [F.sum("total_catch").alias("catch")]
     wanted = ["universal_data_id", *DATA_KEYS]
-    if not layer.end_use_price:
+    if unit_price:
         sums.append(F.sum(F.col("unit_price") * F.col("total_catch")).alias("catch_value"))
         wanted.append("unit_price")
-    joined = summary.join(data.select(*wanted), "universal_data_id")
-    grouped = joined.groupBy(*layer.area_columns, *DATA_KEYS).agg(*sums)
-    return narrowed(grouped, *[c for c in ("catch", "catch_value") if c in grouped.columns])
+    joined = rows.join(data.select(*wanted), "universal_data_id")
+    grouped = joined.groupBy(*AREA_KEYS, "eez_id", *DATA_KEYS).agg(*sums)
+    return narrowed(grouped, *["catch", "catch_value"][:len(sums)])
 
 
-def build_fact(summary: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
-    """The 22 fact columns of one layer.
+def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
+    """The 22 fact columns of all rows of the given layers.
 
     dims: end_use, price, uncertainty_eez, uncertainty_time_period, cube_dim_taxon, area, time_dim, catch_type,
-    reporting_status, gear, and the allowed-area table the layer names. Hint the small ones with sizing.measured.
+    reporting_status, gear, allowed_area. Hint the small ones with sizing.measured.
     """
-    if layer.allowed:
-        summary = summary.join(dims[layer.allowed].select(layer.main), layer.main, "left_semi")
-    rows = catch_by_dimensions(summary, data, layer)
-    amounts = ["catch"] if layer.end_use_price else ["catch", "catch_value"]
-    rows = split_end_use(rows, dims["end_use"], amounts, layer.discard_rule)
-
-    if layer.end_use_price:
-        price = F.coalesce("price", F.lit(DEFAULT_UNIT_PRICE))
-        rows = with_price(rows, dims["price"]).withColumn("catch_value", price * F.col("catch"))
-    if layer.score == "lookup":
+    def any_layer(test: Callable[[Layer], bool]) -> bool:
+        return any(test(layer) for layer in layers)
+
+    if any_layer(lambda x: x.allowed):
+        listed = dims["allowed_area"].withColumn("_listed", F.lit(True))
+        rows = rows.join(listed, ["marine_layer_id", "main_area_id"], "left")
+        rows = rows.filter(~_in(layers, lambda x: x.allowed) | F.col("_listed")).drop("_listed")
+
+    priced = _in(layers, lambda x: x.end_use_price)
+    at_unit_price = any_layer(lambda x: not x.end_use_price)
+    rows = catch_by_dimensions(rows, data, at_unit_price)
+    amounts = ["catch", "catch_value"] if at_unit_price else ["catch"]
+    rows = split_end_use(rows, dims["end_use"], amounts, _in(layers, lambda x: x.discard_rule))
+
+    if any_layer(lambda x: x.end_use_price):
+        # A layer at unit price must not be repeated by the price table, so it brings no end use to that join.
+        rows = rows.withColumns({"_use": F.col("end_use_type_id"), "end_use_type_id": F.when(priced, F.col("end_use_type_id"))})
+        rows = with_price(rows, dims["price"]).withColumn("end_use_type_id", F.col("_use")).drop("_use")
+        value = F.coalesce("price", F.lit(C.DEFAULT_UNIT_PRICE)) * F.col("catch")
+        rows = rows.withColumn("catch_value", F.when(priced, value).otherwise(F.col("catch_value")) if at_unit_price else value)
+    if any_layer(lambda x: x.score == "lookup"):
         rows = with_score(rows, dims["uncertainty_eez"], dims["uncertainty_time_period"])
     else:
         rows = rows.withColumn("score", F.lit(None).cast("int"))
 
-    place = {name: F.col(c) if isinstance(c, str) else F.lit(c)
-             for name, c in (("main_area_id", layer.main), ("sub_area_id", layer.sub))}
-    rows = rows.withColumns(place)
-    rows = area_join(rows, dims["area"], layer.area_layer, layer.area_keys)
-    rows = star(rows, {
+    # Grouped by the raw score, filled afterwards: an unknown score and a score of 1 stay two rows.
+    keys = [*AREA_KEYS, *DATA_KEYS, "end_use_type_id", "score"]
+    fact = rows.groupBy(*keys).agg(F.sum("catch").alias("catch_sum"), F.sum("catch_value").alias("real_value"))
+    fact = narrowed(fact, "catch_sum").withColumnRenamed("gear_type_id", "gear_id")
+
+    # Every key the dimensions are joined on is a group key by now, so the joins see final rows only, and the measures
+    # that need the taxon are products of sums.
+    fact = area_join(fact, dims["area"], layers)
+    fact = star(fact, {
         "taxon_key": (dims["cube_dim_taxon"], "taxon_key", ["tl", "sl_max"]),
         "catch_type_id": (dims["catch_type"], "catch_type_id", [F.col("abbreviation").alias("catch_status")]),
         "reporting_status_id": (dims["reporting_status"], "reporting_status_id",
                                 [F.col("abbreviation").alias("reporting_status")]),
         "year": (dims["time_dim"], "time_business_key", ["time_key"]),
     })
-    rows = rows.withColumnRenamed("gear_type_id", "gear_id")
-    if layer.gear_join:
-        rows = star(rows, {"gear_id": (dims["gear"], "gear_id", [])})
-
-    # Grouped by the raw score, filled afterwards: an unknown score and a score of 1 stay two rows.
-    fact = rows.groupBy(*OUTPUT_KEYS, "score").agg(
-        F.max("catch_status").alias("catch_status"),
-        F.max("reporting_status").alias("reporting_status"),
-        F.sum("catch").alias("catch_sum"),
-        F.sum("catch_value").alias("real_value"),
-        F.max("tl").alias("_tl"),
-        F.sum(F.col("catch") * F.col("tl")).alias("catch_trophic_level"),
-        F.sum(F.col("catch") * F.col("sl_max")).alias("catch_max_length"),
-    )
-    score = {"lookup": F.coalesce("score", F.lit(1)), "one": F.lit(1), "null": F.col("score")}[layer.score]
+    if any_layer(lambda x: x.gear_join):
+        fact = fact.join(dims["gear"].select("gear_id", F.lit(True).alias("_gear")), "gear_id", "left")
+        fact = fact.filter(~_in(layers, lambda x: x.gear_join) | F.col("_gear"))
     return fact.withColumns({
-        "marine_layer_id": F.lit(layer.layer_id),
-        "score": score,
-        "primary_production_required": ppr(F.col("catch_sum"), F.col("_tl")),
-    }).select(*FACT_COLUMNS)
+        "score": F.coalesce("score", F.when(~_in(layers, lambda x: x.score == "null"), 1)),
+        "primary_production_required": ppr(F.col("catch_sum"), F.col("tl")),
+        "catch_trophic_level": F.col("catch_sum") * F.col("tl"),
+        "catch_max_length": F.col("catch_sum") * F.col("sl_max"),
+    }).select(*C.FACT_COLUMNS)
 
 
-def merged_fact(facts: list[DataFrame]) -> DataFrame:
-    """All layers in one fact, with merged fishing entities; rows are not summed again."""
-    return merge_entity(reduce(DataFrame.unionByName, facts), "fishing_entity_id", MERGED_ENTITIES)
+def build_fact(summary: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
+    """The fact of one layer from its summary."""
+    return build_facts(layer_rows(summary, layer), data, dims, [layer])
 
 
-def build_all_facts(summaries: Mapping[str, DataFrame], data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    return merged_fact([build_fact(summaries[name], data, dims, layer) for name, layer in LAYERS.items()])
+def build_all_facts(simple: DataFrame, weighted: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """The facts of all seven layers in one pass, with merged fishing entities; merged rows are not summed again."""
+    facts = build_facts(rows_of_bases(simple, weighted), data, dims, list(LAYERS.values()))
+    return merge_entity(facts, "fishing_entity_id", C.MERGED_ENTITIES)
 
 
 def audit_area(result, assignment, cell, simple_area, pairs, data, dims, layer: Layer, area_id: int, summarize) -> DataFrame:
