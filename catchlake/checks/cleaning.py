@@ -10,6 +10,7 @@ from catchlake.functions import columns as X
 from catchlake.operators import clean
 from catchlake.operators.aggregates import with_bounds
 from catchlake.operators.joins import END_USE_KEYS
+from catchlake.operators.sizing import measured
 
 GEAR_CASE = "case gear_type_id " + " ".join(f"when {a} then {b}" for a, b in C.GEAR_CODES.items()) + " else gear_type_id end"
 
@@ -41,7 +42,7 @@ def f04(t):
     {"taxon_key": "coalesce(use_this_taxon_key_instead, taxon_key) as taxon_key", "raw_catch_id": "id as raw_catch_id"}.get(c, c)
     for c in C.CATCH_COLUMNS) + " from {raw_catch} left join {taxon_substitute} on original_taxon_key = taxon_key")
 def f05(t):
-    return clean.publish_catch(t.raw_catch, t.taxon_substitute, C.CATCH_COLUMNS)
+    return clean.publish_catch(t.raw_catch, measured(s=t.taxon_substitute)["s"], C.CATCH_COLUMNS)
 
 
 LOWEST_PRICE = """

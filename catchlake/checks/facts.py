@@ -11,13 +11,14 @@ from catchlake.checks.summaries import SQL as SUMMARY_SQL
 from catchlake.checks.summaries import lookups
 from catchlake.functions.columns import ppr
 from catchlake.layers import LAYERS, Layer
+from catchlake.operators.joins import uncertainty_periods
 from catchlake.operators.sizing import measured
 from catchlake.plans import cells as cell_plans
 from catchlake.plans import facts as fact_plans
 from catchlake.plans import summaries as S
 from catchlake.session import shared_path
 
-DIMS = ("end_use", "price", "uncertainty_eez", "uncertainty_time_period", "cube_dim_taxon", "area", "time_dim", "catch_type",
+DIMS = ("end_use", "price", "cube_dim_taxon", "area", "time_dim", "catch_type",
         "reporting_status", "gear")
 
 ALLOWED = {"high_seas": "fao_area", "lme": "lme", "rfmo": "rfmo", "meow": "meow"}
@@ -26,7 +27,8 @@ ALLOWED = {"high_seas": "fao_area", "lme": "lme", "rfmo": "rfmo", "meow": "meow"
 def dims_of(t) -> dict[str, DataFrame]:
     lists = fact_plans.allowed_areas({layer: (getattr(t, name), f"{name}_id")
                                       for layer, name in ALLOWED.items()})
-    return measured(**{name: getattr(t, name) for name in DIMS}, allowed_area=lists)
+    scores = uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period)
+    return measured(**{name: getattr(t, name) for name in DIMS}, allowed_area=lists, scores=scores)
 
 
 def published(fact: DataFrame) -> DataFrame:
@@ -153,8 +155,7 @@ def b18(t):
     """Two passes over the result and one over everything else give the facts of all seven layers."""
     d = lookups(t)
     simple = S.simple_base(t.allocation_result, d["simple_area"])
-    weighted = S.weighted_base(t.allocation_result, d["assignment"], d["cell"], d["simple_area"],
-                               {C.LME: d["pairs"], C.MEOW: d["pairs"]})
+    weighted = S.weighted_base(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["layer_pairs"])
     return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, dims_of(t)))
 
 

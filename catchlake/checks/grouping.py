@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catchlake.checks.registry import check, spark_of
 from catchlake.operators import aggregates as A
-from catchlake.operators.joins import with_score
+from catchlake.operators.joins import uncertainty_periods, with_score
 from catchlake.operators.windows import with_run
 
 DIMENSIONS = ["fishing_entity_id", "year", "taxon_key", "sector_type_id", "catch_type_id", "reporting_status_id",
@@ -51,7 +51,8 @@ on u.eez_id = d.fishing_entity_id and u.sector_type_id = d.sector_type_id and u.
 select year, sector_type_id, coalesce(score, 1) as score, cast(sum(unit_price) as decimal(28,2)) as total from ({SCORED}) x
 group by year, sector_type_id, x.score""")
 def a05(t):
-    rows = with_score(t.allocation_data.withColumn("eez_id", F.col("fishing_entity_id")), t.uncertainty_eez, t.uncertainty_time_period)
+    rows = with_score(t.allocation_data.withColumn("eez_id", F.col("fishing_entity_id")),
+                      uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period))
     return A.sum_then_default(rows, ["year", "sector_type_id"], "score", 1, total=F.sum("unit_price").cast("decimal(28,2)"))
 
 

@@ -96,9 +96,9 @@ select d.universal_data_id, u.score from {allocation_data} d left join (
 on u.eez_id = d.fishing_entity_id and u.sector_type_id = d.sector_type_id and u.layer = d.data_layer_id
   and d.year >= u.year_from and d.year < u.year_to""")
 def j06(t):
-    dims = measured(uncertainty=t.uncertainty_eez, periods=t.uncertainty_time_period)
+    scores = measured(scores=joins.uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period))["scores"]
     rows = t.allocation_data.withColumn("eez_id", F.col("fishing_entity_id"))
-    return joins.with_score(rows, dims["uncertainty"], dims["periods"]).select("universal_data_id", "score")
+    return joins.with_score(rows, scores).select("universal_data_id", "score")
 
 
 @check("j07_uncertainty_periods", """
@@ -123,7 +123,7 @@ def j08(t):
 select universal_data_id, year from {allocation_data} d where exists (
   select 1 from {allocation_result} r where r.universal_data_id = d.universal_data_id and r.allocated_catch > 25)""")
 def j09(t):
-    large = t.allocation_result.filter(F.col("allocated_catch") > 25)
+    large = t.allocation_result.filter(F.col("allocated_catch") > 25).select("universal_data_id").distinct()
     return t.allocation_data.join(large, "universal_data_id", "left_semi").select("universal_data_id", "year")
 
 

@@ -9,7 +9,7 @@ from catchlake.checks.registry import check, spark_of
 from catchlake.operators.partitions import key_distribution, partition_map
 from catchlake.plans import documents
 from catchlake.plans.summaries import summarize_eez, summarize_high_seas, summarize_rfmo
-from catchlake.session import shared_path
+from catchlake.session import materialize, shared_path
 from catchlake.sources import readers, writers
 
 MANIFEST_ROWS = [
@@ -45,12 +45,17 @@ ranges as (select cast(row_number() over (order by bucket) as int) as partition_
 """
 
 
+def ranges_of(t):
+    """The map, made from a written distribution: the map reads it several times and the result only once."""
+    dist = materialize(key_distribution(t.allocation_result, "universal_data_id"), "result-distribution")
+    return partition_map(dist, "universal_data_id")
+
+
 @check("p04_pull_by_partition", MAP_SQL + """
 select universal_data_id, cell_id, allocation_simple_area_id, allocated_catch, partition_id
 from {allocation_result} join ranges on universal_data_id between lo and hi where allocated_catch > 0""")
 def p04(t):
-    ranges = partition_map(key_distribution(t.allocation_result, "universal_data_id"), "universal_data_id")
-    return readers.pull_by_partition(t.allocation_result, ranges)
+    return readers.pull_by_partition(t.allocation_result, ranges_of(t))
 
 
 @check("p05_key_distribution", """
@@ -62,7 +67,7 @@ def p05(t):
 @check("p06_partition_map", MAP_SQL + """
 select partition_id, lo as begin_universal_data_id, hi as end_universal_data_id, n as record_count from ranges""")
 def p06(t):
-    return partition_map(key_distribution(t.allocation_result, "universal_data_id"), "universal_data_id")
+    return ranges_of(t)
 
 
 @check("p08_text_interchange", "select universal_data_id, unit_price, taxon_key from {allocation_data}")

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from catchlake import constants as C
 from catchlake.checks.registry import check
+from catchlake.functions.columns import percent2
 from catchlake.operators.partitions import key_distribution, running_total
 from catchlake.operators.windows import centred_mean, with_peak, with_post_peak_min
 from catchlake.plans import stocks as Q
+from catchlake.session import materialize
 
 # The SQL works with tables a step at a time; smoothed values are kept as exact sums of one to three whole numbers.
 SERIES = """
@@ -93,7 +95,8 @@ def w04(t):
 select universal_data_id, n as record_count, cast(sum(n) over (order by universal_data_id) as bigint) as through from (
   select universal_data_id, count(*) as n from {allocation_result} group by 1) x""")
 def w05(t):
-    return running_total(key_distribution(t.allocation_result, "universal_data_id"), "universal_data_id", "record_count", "through")
+    dist = materialize(key_distribution(t.allocation_result, "universal_data_id"), "result-distribution")
+    return running_total(dist, "universal_data_id", "record_count", "through")
 
 
 @check("q01_stock_collate", f"with {SERIES} select * from collated")
@@ -108,13 +111,11 @@ def q02(t):
 
 @check("q03_catch_by_status", f"with {SHARES} select main_area_id, category_id, year, {two_digits('css')} as value from shares")
 def q03(t):
-    from catchlake.functions.columns import percent2
     return Q.stock_css(categorized(t), t.stock_years).withColumn("value", percent2(F.col("value")).cast("decimal(13,2)"))
 
 
 @check("q04_stocks_by_status", f"with {SHARES} select main_area_id, category_id, year, {two_digits('nss')} as value from shares")
 def q04(t):
-    from catchlake.functions.columns import percent2
     return Q.stock_nss(categorized(t), t.stock_years).withColumn("value", percent2(F.col("value")).cast("decimal(13,2)"))
 
 

@@ -47,13 +47,12 @@ select universal_data_id, 2, cast(sum(total_catch) as decimal(28,6)) from ({SQL[
 
 def lookups(t) -> dict[str, DataFrame]:
     return measured(assignment=t.simple_area_cell_assignment_raw, cell=t.cell, simple_area=t.allocation_simple_area,
-                    pairs=t.area_fao)
+                    pairs=t.area_fao, layer_pairs=S.pairs_by_layer({C.LME: t.area_fao, C.MEOW: t.area_fao}))
 
 
 def all_summaries(t, keep=lambda df, name: df) -> dict[str, DataFrame]:
     d = lookups(t)
-    return S.summarize_all(t.allocation_result, d["assignment"], d["cell"], d["simple_area"],
-                           {C.LME: d["pairs"], C.MEOW: d["pairs"]}, keep)
+    return S.summarize_all(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["layer_pairs"], keep)
 
 
 def _six(df: DataFrame) -> DataFrame:

@@ -75,9 +75,9 @@ def uncertainty_periods(uncertainty: DataFrame, periods: DataFrame) -> DataFrame
     return uncertainty.join(periods, "period_id", "left")
 
 
-def with_score(df: DataFrame, uncertainty: DataFrame, periods: DataFrame, layer: str = "data_layer_id") -> DataFrame:
-    """Left join to scores on area, sector and layer with the year inside the period. Overlaps repeat rows."""
-    side = uncertainty_periods(uncertainty, periods).select(
+def with_score(df: DataFrame, scores: DataFrame, layer: str = "data_layer_id") -> DataFrame:
+    """Left join to uncertainty_periods on area, sector and layer with the year inside the period. Overlaps repeat rows."""
+    side = scores.select(
         F.col("eez_id").alias("_eez"), F.col("sector_type_id").alias("_sector"), F.col("layer").alias("_layer"),
         "year_from", "year_to", "score",
     )
@@ -104,8 +104,8 @@ def densify(df: DataFrame, keys: list[str], year: str, value: str, years: DataFr
 
 
 def missing_in(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of old whose key is not in new."""
-    return old.join(new.select(*keys), keys, "left_anti")
+    """Rows of old whose key is not in new. Keys are made distinct before they are shuffled."""
+    return old.join(new.select(*keys).distinct(), keys, "left_anti")
 
 
 def with_entity_name(df: DataFrame, names: DataFrame, layer: str = "marine_layer_id", area: str = "main_area_id") -> DataFrame:

@@ -16,9 +16,10 @@ CELL_KEYS = (
 def cell_sums(data: DataFrame, result: DataFrame, eez_ids: DataFrame) -> DataFrame:
     """Catch per cell of the ids that have EEZ catch.
 
-    Semi join and join use the same key, so data is shuffled for both at once.
+    Semi join and join use the same key, so data is shuffled for both at once. The ids are made distinct first: of an
+    id with any number of rows one travels.
     """
-    caught = data.join(eez_ids.select("universal_data_id"), "universal_data_id", "left_semi")
+    caught = data.join(eez_ids.select("universal_data_id").distinct(), "universal_data_id", "left_semi")
     joined = caught.join(result.select("universal_data_id", "cell_id", "allocated_catch"), "universal_data_id")
     return joined.groupBy(*CELL_KEYS).agg(F.sum("allocated_catch").alias("catch_sum"))
 

@@ -100,7 +100,7 @@ def catch_by_dimensions(rows: DataFrame, data: DataFrame, unit_price: bool) -> D
 def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
     """The 22 fact columns of all rows of the given layers.
 
-    dims: end_use, price, uncertainty_eez, uncertainty_time_period, cube_dim_taxon, area, time_dim, catch_type,
+    dims: end_use, price, scores (see uncertainty_periods), cube_dim_taxon, area, time_dim, catch_type,
     reporting_status, gear, allowed_area. Hint the small ones with sizing.measured.
     """
     def any_layer(test: Callable[[Layer], bool]) -> bool:
@@ -124,7 +124,7 @@ def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame],
         value = F.coalesce("price", F.lit(C.DEFAULT_UNIT_PRICE)) * F.col("catch")
         rows = rows.withColumn("catch_value", F.when(priced, value).otherwise(F.col("catch_value")) if at_unit_price else value)
     if any_layer(lambda x: x.score == "lookup"):
-        rows = with_score(rows, dims["uncertainty_eez"], dims["uncertainty_time_period"])
+        rows = with_score(rows, dims["scores"])
     else:
         rows = rows.withColumn("score", F.lit(None).cast("int"))
 

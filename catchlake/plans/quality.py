@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchlake.operators.aggregates import variation
-from catchlake.operators.joins import missing_in, with_entity_name
+from catchlake.operators.joins import with_entity_name
 from catchlake.sources.writers import write_partitioned
 
 
@@ -23,17 +25,29 @@ def catch_fluctuation(fact: DataFrame, area: DataFrame, names: DataFrame) -> Dat
 
 
 def compare_distribution(old: DataFrame, new: DataFrame, cells: DataFrame, taxon: DataFrame) -> DataFrame:
-    """Per taxon in both versions: water cells of the old one that are missing in the new one, and non-zero cells of each."""
-    water = cells.filter(F.col("water_area") > 0).select("cell_id")
-    keys = ["taxon_key", "cell_id"]
-    wet_old, wet_new = (df.join(water, "cell_id", "left_semi") for df in (old, new))
-    zeroed = missing_in(wet_old, new, keys).join(new.select("taxon_key"), "taxon_key", "left_semi")
-    zeroed = zeroed.groupBy("taxon_key").agg(F.count(F.lit(1)).alias("cells_now_missing"))
+    """Per taxon in both versions: water cells of the old one that are missing in the new one, and non-zero cells of each.
 
-    def coverage(df: DataFrame, name: str) -> DataFrame:
-        return df.filter(F.col("relative_abundance") > 0).groupBy("taxon_key").agg(F.count(F.lit(1)).alias(name))
+    Old rows count as missing once per new row without an abundance, or once if there is no new row at all. Both
+    versions are stacked and counted per (taxon, cell), so each is read once and shuffled as counts.
+    """
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        return df.select("taxon_key", "cell_id", "relative_abundance", F.lit(is_new).alias("is_new"))
 
-    report = zeroed.join(coverage(wet_old, "old_cells"), "taxon_key").join(coverage(wet_new, "new_cells"), "taxon_key", "left")
+    def count(*tests: Column) -> Column:
+        return F.count(F.when(reduce(and_, tests), 1))
+
+    water = cells.filter(F.col("water_area") > 0).select("cell_id", F.lit(True).alias("_wet")).distinct()
+    rows = side(old, False).unionByName(side(new, True)).join(water, "cell_id", "left")
+    wet, is_new, abundance = F.col("_wet"), F.col("is_new"), F.col("relative_abundance")
+    pairs = rows.groupBy("taxon_key", "cell_id").agg(
+        count(wet, ~is_new).alias("old_rows"), count(wet, ~is_new, abundance > 0).alias("old_cells"),
+        count(is_new).alias("new_rows"), count(is_new, abundance.isNull()).alias("new_unknown"),
+        count(wet, is_new, abundance > 0).alias("new_cells"))
+    missing = F.when(F.col("new_rows") == 0, F.col("old_rows")).otherwise(F.col("old_rows") * F.col("new_unknown"))
+    report = pairs.groupBy("taxon_key").agg(
+        F.sum(missing).alias("cells_now_missing"), F.sum("old_cells").alias("old_cells"),
+        F.nullif(F.sum("new_cells"), F.lit(0)).alias("new_cells"), F.sum("new_rows").alias("new_rows"))
+    report = report.filter("cells_now_missing > 0 and old_cells > 0 and new_rows > 0")
     named = report.join(taxon.select("taxon_key", "common_name"), "taxon_key")
     return named.select("common_name", "taxon_key", "cells_now_missing", "old_cells", "new_cells").orderBy(
         F.col("cells_now_missing").desc_nulls_first(), "taxon_key")

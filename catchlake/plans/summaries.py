@@ -83,36 +83,41 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], value: str) ->
 
     Both sides are stacked and summed by key, which needs no full outer join and treats NULL keys as equal.
     """
-    stacked = left.select(*keys, F.col(value).alias("left_value"), F.lit(None).cast("double").alias("right_value")).unionByName(
-        right.select(*keys, F.lit(None).cast("double").alias("left_value"), F.col(value).alias("right_value")))
+    nothing = F.lit(None).cast(left.schema[value].dataType)
+    stacked = left.select(*keys, F.col(value).alias("left_value"), nothing.alias("right_value")).unionByName(
+        right.select(*keys, nothing.alias("left_value"), F.col(value).alias("right_value")))
     both = stacked.groupBy(*keys).agg(F.sum("left_value").alias("left_value"), F.sum("right_value").alias("right_value"))
     return both.filter(~F.col("left_value").eqNullSafe(F.col("right_value")))
 
 
-def _pairs_by_layer(pairs: dict[int, DataFrame]) -> DataFrame:
+def pairs_by_layer(pairs: dict[int, DataFrame]) -> DataFrame:
+    """The listed (area, fao) pairs of several layers as one table, with how often each is listed."""
     listed = [p.select(F.lit(layer).alias("marine_layer_id"), "area_id", "fao_area_id") for layer, p in pairs.items()]
-    return reduce(DataFrame.unionByName, listed)
+    return reduce(DataFrame.unionByName, listed).groupBy("marine_layer_id", "area_id", "fao_area_id").agg(
+        F.count(F.lit(1)).alias("times_listed"))
+
+
+PAIRED_LAYERS = (C.LME, C.MEOW)
 
 
 def _only(layer_test: Column, column: str) -> Column:
     return F.when(layer_test, F.col(column))
 
 
-def weighted_base(result, assignment, cell, simple_area, pairs: dict[int, DataFrame]) -> DataFrame:
+def weighted_base(result, assignment, cell, simple_area, layer_pairs: DataFrame) -> DataFrame:
     """All four weighted layers in one pass over the result: one scan and one shuffle instead of four of each.
 
-    Columns: marine_layer_id, universal_data_id, area_id, eez_id, cell_fao_area_id, total_catch. Layers listed in
-    pairs keep only listed (area, fao) pairs; the IFA layer needs no simple area and keeps the cell's own FAO area.
+    Columns: marine_layer_id, universal_data_id, area_id, eez_id, cell_fao_area_id, total_catch. LME and
+    MEOW keep only the pairs of layer_pairs (see pairs_by_layer); the IFA layer needs no simple area and keeps the cell's
+    own FAO area.
     """
     ifa = F.col("marine_layer_id") == C.IFA
     rows = area_weighted(result, assignment.filter(F.col("marine_layer_id").isin(C.LME, C.RFMO, C.IFA, C.MEOW)), cell)
     areas = simple_area.withColumn("_known", F.lit(True))
     rows = rows.join(areas, "allocation_simple_area_id", "left").filter(ifa | F.col("_known"))
-    keys = ["marine_layer_id", "area_id", "fao_area_id"]
-    listed = _pairs_by_layer(pairs).groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
-    rows = rows.join(listed, keys, "left")
-    rows = rows.filter(~F.col("marine_layer_id").isin(*pairs) | F.col("_times").isNotNull())
-    weight = F.col("allocated_catch") * F.coalesce("_times", F.lit(1))
+    rows = rows.join(layer_pairs, ["marine_layer_id", "area_id", "fao_area_id"], "left")
+    rows = rows.filter(~F.col("marine_layer_id").isin(*PAIRED_LAYERS) | F.col("times_listed").isNotNull())
+    weight = F.col("allocated_catch") * F.coalesce("times_listed", F.lit(1))
     rows = rows.withColumns({"eez_id": _only(~ifa, "eez_id"), "cell_fao_area_id": _only(ifa, "cell_fao_area_id"),
                              "allocated_catch": weight})
     return total(rows, ["marine_layer_id", ID, "area_id", "eez_id", "cell_fao_area_id"], "allocated_catch", "total_catch")
@@ -123,13 +128,13 @@ def simple_base(result, simple_area) -> DataFrame:
     return _by_simple_area(result, simple_area.filter(F.col("eez_id") >= 0), ["eez_id", "fao_area_id"])
 
 
-def summarize_all(result, assignment, cell, simple_area, pairs, keep=lambda df, name: df) -> dict[str, DataFrame]:
+def summarize_all(result, assignment, cell, simple_area, layer_pairs, keep=lambda df, name: df) -> dict[str, DataFrame]:
     """All seven summaries from two passes over the result.
 
     keep(df, name) may write a base and return the written table, so that the seven layers read it and not the result.
     """
     simple = keep(simple_base(result, simple_area), "simple_base")
-    weighted = keep(weighted_base(result, assignment, cell, simple_area, pairs), "weighted_base")
+    weighted = keep(weighted_base(result, assignment, cell, simple_area, layer_pairs), "weighted_base")
 
     def of(layer: int) -> DataFrame:
         return weighted.filter(F.col("marine_layer_id") == layer)
