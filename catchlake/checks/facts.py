@@ -16,7 +16,7 @@ from catchlake.operators.sizing import measured
 from catchlake.plans import cells as cell_plans
 from catchlake.plans import facts as fact_plans
 from catchlake.plans import summaries as S
-from catchlake.session import shared_path
+from catchlake.session import materialize, shared_path
 
 DIMS = ("end_use", "price", "cube_dim_taxon", "area", "time_dim", "catch_type",
         "reporting_status", "gear")
@@ -28,7 +28,7 @@ def dims_of(t) -> dict[str, DataFrame]:
     lists = fact_plans.allowed_areas({layer: (getattr(t, name), f"{name}_id")
                                       for layer, name in ALLOWED.items()})
     scores = uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period)
-    return measured(**{name: getattr(t, name) for name in DIMS}, allowed_area=lists, scores=scores)
+    return measured(keep=materialize, **{name: getattr(t, name) for name in DIMS}, allowed_area=lists, scores=scores)
 
 
 def published(fact: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ group by {place['main_area_id'] if isinstance(layer.main, str) else 'a.main_area
 
 def summary_of(t, name: str) -> DataFrame:
     d = lookups(t)
-    result, weighted = t.allocation_result, (t.allocation_result, d["assignment"], d["cell"])
+    result, weighted = t.allocation_result, (t.allocation_result, d["weights"])
     makers = {
         "eez": lambda: S.summarize_eez(result, d["simple_area"]),
         "high_seas": lambda: S.summarize_high_seas(result, d["simple_area"]),
@@ -144,7 +144,7 @@ AUDITED_AREA = 3
 @check("b17_area_audit", fact_sql(LAYERS["meow"], "select * from (" + SUMMARY_SQL["meow"] + f") m where meow_id = {AUDITED_AREA}"))
 def b17(t):
     d = lookups(t)
-    fact = fact_plans.audit_area(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["pairs"], t.allocation_data,
+    fact = fact_plans.audit_area(t.allocation_result, d["weights"], d["simple_area"], d["pairs"], t.allocation_data,
                                  dims_of(t), LAYERS["meow"], AUDITED_AREA, S.summarize_meow)
     return published(fact)
 
@@ -155,7 +155,7 @@ def b18(t):
     """Two passes over the result and one over everything else give the facts of all seven layers."""
     d = lookups(t)
     simple = S.simple_base(t.allocation_result, d["simple_area"])
-    weighted = S.weighted_base(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["layer_pairs"])
+    weighted = S.weighted_base(t.allocation_result, d["weights"], d["simple_area"], d["layer_pairs"])
     return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, dims_of(t)))
 
 
@@ -179,7 +179,7 @@ def _eez_ids(t) -> DataFrame:
 def cells_of(t, year: int | None = None) -> DataFrame:
     d = measured(taxon=t.cube_dim_taxon, catch_type=t.catch_type, status=t.reporting_status, years=t.time_dim, names=t.taxon_name)
     return cell_plans.cell_catch(t.allocation_data, t.allocation_result, _eez_ids(t), d["taxon"], d["catch_type"], d["status"],
-                                 d["years"], d["names"], year)
+                                 d["years"], d["names"], year, materialize)
 
 
 def _four(df: DataFrame) -> DataFrame:
@@ -193,7 +193,8 @@ from {allocation_data} d join {allocation_result} r on r.universal_data_id = d.u
 where d.universal_data_id in (select universal_data_id from {allocation_result} x join {allocation_simple_area} s
   on s.allocation_simple_area_id = x.allocation_simple_area_id where s.eez_id > 0) group by all""")
 def c01(t):
-    return _four(cell_plans.cell_sums(t.allocation_data, t.allocation_result, _eez_ids(t)))
+    return _four(cell_plans.cell_sums(materialize(cell_plans.caught_data(t.allocation_data, _eez_ids(t)), "caught-data"),
+                                      t.allocation_result))
 
 
 @check("c02_c03_cell_catch", CELL_SQL % "")

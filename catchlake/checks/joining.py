@@ -8,6 +8,7 @@ from catchlake.checks.registry import check
 from catchlake.layers import LAYERS
 from catchlake.operators import joins
 from catchlake.operators.sizing import measured
+from catchlake.session import materialize
 
 DATA_PLACE = "d.universal_data_id, d.catch_type_id"
 
@@ -96,7 +97,7 @@ select d.universal_data_id, u.score from {allocation_data} d left join (
 on u.eez_id = d.fishing_entity_id and u.sector_type_id = d.sector_type_id and u.layer = d.data_layer_id
   and d.year >= u.year_from and d.year < u.year_to""")
 def j06(t):
-    scores = measured(scores=joins.uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period))["scores"]
+    scores = measured(keep=materialize, scores=joins.uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period))["scores"]
     rows = t.allocation_data.withColumn("eez_id", F.col("fishing_entity_id"))
     return joins.with_score(rows, scores).select("universal_data_id", "score")
 
@@ -192,8 +193,8 @@ select r.universal_data_id, a.marine_layer_id, a.area_id, cast(sum(r.allocated_c
 from {allocation_result} r join {simple_area_cell_assignment_raw} a on a.cell_id = r.cell_id
 join {cell} c on c.cell_id = r.cell_id group by 1, 2, 3""")
 def j17(t):
-    dims = measured(assignment=t.simple_area_cell_assignment_raw, cell=t.cell)
-    rows = joins.area_weighted(t.allocation_result, dims["assignment"], dims["cell"])
+    weights = measured(keep=materialize, weights=joins.cell_weights(t.simple_area_cell_assignment_raw, t.cell))["weights"]
+    rows = joins.area_weighted(t.allocation_result, weights)
     sums = rows.groupBy("universal_data_id", "marine_layer_id", "area_id").agg(F.sum("allocated_catch").alias("catch"))
     return sums.withColumn("catch", F.col("catch").cast("decimal(28,6)"))
 

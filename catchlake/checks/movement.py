@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catchlake.checks.registry import check, spark_of
+from catchlake.checks.summaries import lookups
 from catchlake.operators.partitions import key_distribution, partition_map
 from catchlake.plans import documents
 from catchlake.plans.summaries import summarize_eez, summarize_high_seas, summarize_rfmo
@@ -48,7 +49,7 @@ ranges as (select cast(row_number() over (order by bucket) as int) as partition_
 def ranges_of(t):
     """The map, made from a written distribution: the map reads it several times and the result only once."""
     dist = materialize(key_distribution(t.allocation_result, "universal_data_id"), "result-distribution")
-    return partition_map(dist, "universal_data_id")
+    return materialize(partition_map(dist, "universal_data_id"), "partition-map")
 
 
 @check("p04_pull_by_partition", MAP_SQL + """
@@ -100,7 +101,8 @@ from (
   group by 1, 2, 3) x
 where rfmo_id <> 9""")
 def p10(t):
-    rows = summarize_rfmo(t.allocation_result, t.simple_area_cell_assignment_raw, t.cell, t.allocation_simple_area)
+    d = lookups(t)
+    rows = summarize_rfmo(t.allocation_result, d["weights"], d["simple_area"])
     rows = rows.select("universal_data_id", F.col("rfmo_id").alias("main_area_id"), "eez_id",
                        F.col("total_catch").cast("decimal(28,6)").alias("total_catch"), F.lit(4).alias("marine_layer_id"))
     return documents.csv_cache(rows, ["universal_data_id", "eez_id", "total_catch"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catchlake.checks.registry import check, spark_of
 from catchlake.operators.sizing import measured
 from catchlake.plans import documents, quality
-from catchlake.session import shared_path
+from catchlake.session import materialize, shared_path
 
 
 @check("q07_catch_fluctuation", """
@@ -88,9 +88,13 @@ totals as (select s.fishing_entity_id as id, f.name, cast(s.catch as decimal(30,
   from sums s join {fishing_entity} f on f.fishing_entity_id = s.fishing_entity_id, ends)"""
 
 
+def _entity_sums(t):
+    return materialize(documents.entity_sums(t.stock_fact), "entity-sums")
+
+
 @check("q10_entity_totals", f"with {TOTALS} select * from totals")
 def q10(t):
-    return documents.entity_totals(t.stock_fact, t.fishing_entity)
+    return documents.entity_totals(_entity_sums(t), t.fishing_entity)
 
 
 @check("q10_entity_treemap", f"""
@@ -100,7 +104,7 @@ select 1 as section, id, concat(case when id = (select min(id) from totals) then
 union all select 0, null, '{{"id":0,"name":"All Fishing Entities","children":['
 union all select 2, null, ']}}'""".replace("'{{", "'{").replace("}}'", "}'"))
 def q10_treemap(t):
-    return documents.entity_treemap(t.stock_fact, t.fishing_entity)
+    return documents.entity_treemap(_entity_sums(t), t.fishing_entity)
 
 
 @check("q12_taxon_list", """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catchlake import constants as C
 from catchlake.checks.registry import check
+from catchlake.operators.joins import cell_weights
 from catchlake.operators.sizing import measured
 from catchlake.plans import summaries as S
 from catchlake.session import materialize
@@ -46,13 +47,14 @@ select universal_data_id, 2, cast(sum(total_catch) as decimal(28,6)) from ({SQL[
 
 
 def lookups(t) -> dict[str, DataFrame]:
-    return measured(assignment=t.simple_area_cell_assignment_raw, cell=t.cell, simple_area=t.allocation_simple_area,
-                    pairs=t.area_fao, layer_pairs=S.pairs_by_layer({C.LME: t.area_fao, C.MEOW: t.area_fao}))
+    return measured(keep=materialize, weights=cell_weights(t.simple_area_cell_assignment_raw, t.cell),
+                    simple_area=t.allocation_simple_area, pairs=t.area_fao,
+                    layer_pairs=S.pairs_by_layer({C.LME: t.area_fao, C.MEOW: t.area_fao}))
 
 
 def all_summaries(t, keep=lambda df, name: df) -> dict[str, DataFrame]:
     d = lookups(t)
-    return S.summarize_all(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["layer_pairs"], keep)
+    return S.summarize_all(t.allocation_result, d["weights"], d["simple_area"], d["layer_pairs"], keep)
 
 
 def _six(df: DataFrame) -> DataFrame:
@@ -72,25 +74,25 @@ def s02(t):
 @check("s03_summarize_lme", SQL["lme"])
 def s03(t):
     d = lookups(t)
-    return _six(S.summarize_lme(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["pairs"]))
+    return _six(S.summarize_lme(t.allocation_result, d["weights"], d["simple_area"], d["pairs"]))
 
 
 @check("s04_summarize_meow", SQL["meow"])
 def s04(t):
     d = lookups(t)
-    return _six(S.summarize_meow(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["pairs"]))
+    return _six(S.summarize_meow(t.allocation_result, d["weights"], d["simple_area"], d["pairs"]))
 
 
 @check("s05_summarize_rfmo", SQL["rfmo"])
 def s05(t):
     d = lookups(t)
-    return _six(S.summarize_rfmo(t.allocation_result, d["assignment"], d["cell"], d["simple_area"]))
+    return _six(S.summarize_rfmo(t.allocation_result, d["weights"], d["simple_area"]))
 
 
 @check("s06_summarize_ifa", SQL["ifa"])
 def s06(t):
     d = lookups(t)
-    return _six(S.summarize_ifa(t.allocation_result, d["assignment"], d["cell"]))
+    return _six(S.summarize_ifa(t.allocation_result, d["weights"]))
 
 
 @check("s07_summarize_global", SQL["global"])
@@ -102,14 +104,14 @@ def s07(t):
 @check("s08_two_step_lme", SQL["lme"])
 def s08_lme(t):
     d = lookups(t)
-    return _six(S.two_step_summary(t.allocation_result, d["assignment"], d["cell"], d["simple_area"], C.LME, "lme_id", d["pairs"]))
+    return _six(S.two_step_summary(t.allocation_result, d["weights"], d["simple_area"], C.LME, "lme_id", d["pairs"]))
 
 
 @check("s08_reconcile_rfmo", """
 select rfmo_id, count(*) as keys_compared, 0 as keys_different from (""" + SQL["rfmo"] + ") x group by 1")
 def s08_rfmo(t):
     d = lookups(t)
-    args = (t.allocation_result, d["assignment"], d["cell"], d["simple_area"])
+    args = (t.allocation_result, d["weights"], d["simple_area"])
     one = S.summarize_rfmo(*args)
     two = S.two_step_summary(*args, C.RFMO, "rfmo_id")
     keys = ["universal_data_id", "rfmo_id", "eez_id"]

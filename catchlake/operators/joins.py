@@ -132,14 +132,18 @@ def allowed_pairs(df: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame
     return df.join(pairs.select(*keys), keys)
 
 
-def area_weighted(result: DataFrame, assignment: DataFrame, cell: DataFrame) -> DataFrame:
-    """Catch of each cell shared out to the areas the cell is assigned to, by water area.
+def cell_weights(assignment: DataFrame, cell: DataFrame) -> DataFrame:
+    """Areas of each cell with the two water areas that make up the weight: one lookup for the large join."""
+    assigned = assignment.select("marine_layer_id", "area_id", "cell_id", F.col("fao_area_id").alias("cell_fao_area_id"),
+                                 F.col("water_area").alias("assigned_water"))
+    return assigned.join(cell.select("cell_id", F.col("water_area").alias("cell_water")), "cell_id")
 
-    A cell without water gives NULL, which sums skip. The assignment's own FAO area is kept as cell_fao_area_id.
+
+def area_weighted(result: DataFrame, weights: DataFrame) -> DataFrame:
+    """Catch of each cell shared out to the areas the cell is assigned to, by water area (see cell_weights).
+
+    A cell without water gives NULL, which sums skip. The assignment's own FAO area comes along as cell_fao_area_id.
     """
-    assigned = assignment.select("marine_layer_id", "area_id", "cell_id",
-                                 F.col("fao_area_id").alias("cell_fao_area_id"), F.col("water_area").alias("_assigned"))
-    waters = cell.select("cell_id", F.col("water_area").alias("_water"))
-    share = F.try_divide(F.col("allocated_catch") * F.col("_assigned"), F.col("_water"))
-    joined = result.join(assigned, "cell_id").join(waters, "cell_id")
-    return joined.withColumn("allocated_catch", share).drop("_assigned", "_water")
+    share = F.try_divide(F.col("allocated_catch") * F.col("assigned_water"), F.col("cell_water"))
+    joined = result.join(weights, "cell_id")
+    return joined.withColumn("allocated_catch", share).drop("assigned_water", "cell_water")

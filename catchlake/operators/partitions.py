@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catchlake.constants import RESULT_PARTITIONS
@@ -18,10 +18,10 @@ def running_total(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     Keys are cut into about sqrt(span) equal stretches. One window runs inside each stretch, a second one over the
     stretch totals, so neither holds more than about sqrt(span) rows.
     """
-    low = df.agg(F.min(key)).scalar()
-    span = df.agg((F.max(key) - F.min(key) + 1).cast("double")).scalar()
-    width = F.greatest(F.ceil(F.sqrt(span)), F.lit(1))
-    cut = df.withColumn("_stretch", F.floor((F.col(key) - low) / width).cast("bigint"))
+    span = (F.max(key) - F.min(key) + 1).cast("double")
+    ends = df.agg(F.struct(F.min(key).alias("low"), F.ceil(F.sqrt(span)).alias("width"))).scalar()
+    cut = df.withColumn("_ends", ends).withColumn(
+        "_stretch", F.floor((F.col(key) - F.col("_ends.low")) / F.col("_ends.width")).cast("bigint")).drop("_ends")
     totals = cut.groupBy("_stretch").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
@@ -45,14 +45,21 @@ def partition_map(dist: DataFrame, key: str, n: int = RESULT_PARTITIONS) -> Data
         "partition_id", "begin_universal_data_id", "end_universal_data_id", "record_count")
 
 
-def with_partition_id(df: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+def with_partition_id(df: DataFrame, ranges: DataFrame, key: str, stretches: int = 4096) -> DataFrame:
     """Rows that fall in a range, with the id of that range.
 
-    The map has n rows at most, so it travels as one sorted array, and each row finds its range by position in it.
+    The ids are cut into equal stretches and each range is listed under those it touches, so that a row is compared
+    with the one or two ranges of its stretch. The list has no more rows than there are ranges and stretches together.
     """
-    bound = F.struct(F.col("begin_universal_data_id").alias("lo"), F.col("end_universal_data_id").alias("hi"), "partition_id")
-    listed = ranges.agg(F.array_sort(F.collect_list(bound))).scalar()
-    hit = F.filter(F.col("_ranges"), lambda r: (r["lo"] <= F.col(key)) & (F.col(key) <= r["hi"]))
-    found = df.withColumn("_ranges", listed).withColumn("_hit", F.try_element_at(hit, F.lit(1)))
-    kept = found.filter(F.col("_hit").isNotNull())
-    return kept.withColumn("partition_id", F.col("_hit.partition_id")).drop("_ranges", "_hit")
+    low, high = F.col("begin_universal_data_id"), F.col("end_universal_data_id")
+    ends = ranges.agg(F.struct(F.min(low).alias("low"), F.ceil((F.max(high) - F.min(low) + 1) / stretches).alias("width"))).scalar()
+
+    def stretch(value: Column) -> Column:
+        return F.floor((value - F.col("_ends.low")) / F.col("_ends.width")).cast("bigint")
+
+    listed = ranges.withColumn("_ends", ends).select(
+        "partition_id", low.alias("_lo"), high.alias("_hi"), F.explode(F.sequence(stretch(low), stretch(high))).alias("_stretch"))
+    rows = df.withColumn("_ends", ends).withColumn("_stretch", stretch(F.col(key))).drop("_ends")
+    side = F.broadcast(listed)
+    found = rows.join(side, (rows["_stretch"] == side["_stretch"]) & F.col(key).between(F.col("_lo"), F.col("_hi")))
+    return found.select(*df.columns, "partition_id")

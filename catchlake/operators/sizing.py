@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,12 +22,15 @@ def _size(name: str, df: DataFrame) -> DataFrame:
     return df.agg((fixed + text).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
 
 
-def measured(max_bytes: int = BROADCAST_BYTES, **frames: DataFrame) -> dict[str, DataFrame]:
+def measured(max_bytes: int = BROADCAST_BYTES, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+             **frames: DataFrame) -> dict[str, DataFrame]:
     """Return the same frames, with a broadcast hint on each one that one counting job found small.
 
-    A frame above the bound comes back as it is: the join is then shuffled, and adaptive execution splits its hot
-    keys. The answer of the job is one row per frame.
+    A frame above the bound is joined by shuffle, and adaptive execution splits the join's hot keys. It does so only
+    where both sides come straight out of a shuffle, so pass session.materialize as keep for frames that are joins
+    themselves: those above the bound are then written and joined as plain tables. The answer of the counting job is
+    one row per frame.
     """
     sizes = reduce(DataFrame.unionByName, [_size(name, df) for name, df in frames.items()])
     small = {row["name"] for row in sizes.filter(F.col("bytes") <= max_bytes).collect()}
-    return {name: F.broadcast(df) if name in small else df for name, df in frames.items()}
+    return {name: F.broadcast(df) if name in small else keep(df, name) for name, df in frames.items()}

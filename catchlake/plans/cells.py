@@ -13,13 +13,14 @@ CELL_KEYS = (
 )
 
 
-def cell_sums(data: DataFrame, result: DataFrame, eez_ids: DataFrame) -> DataFrame:
-    """Catch per cell of the ids that have EEZ catch.
+def caught_data(data: DataFrame, eez_ids: DataFrame) -> DataFrame:
+    """Allocation data of the ids that have EEZ catch. Of an id with any number of rows one travels."""
+    return data.join(eez_ids.select("universal_data_id").distinct(), "universal_data_id", "left_semi")
 
-    Semi join and join use the same key, so data is shuffled for both at once. The ids are made distinct first: of an
-    id with any number of rows one travels.
-    """
-    caught = data.join(eez_ids.select("universal_data_id").distinct(), "universal_data_id", "left_semi")
+
+def cell_sums(caught: DataFrame, result: DataFrame) -> DataFrame:
+    """Catch per cell. caught is best written first (caught_data): both sides of the join are then plain tables, and
+    an id with a large share of the result is split over tasks."""
     joined = caught.join(result.select("universal_data_id", "cell_id", "allocated_catch"), "universal_data_id")
     return joined.groupBy(*CELL_KEYS).agg(F.sum("allocated_catch").alias("catch_sum"))
 
@@ -38,12 +39,16 @@ def published_data(data: DataFrame, years: DataFrame, taxa: DataFrame) -> DataFr
     return data.join(calendar, "year", "left_semi").join(taxa.select("taxon_key"), "taxon_key", "left_semi")
 
 
-def cell_catch(data, result, eez_ids, taxon, catch_type, reporting_status, years, taxa, year: int | None = None) -> DataFrame:
-    """Cell catch of all years, or of one. The year test reaches the scan of the data."""
+def cell_catch(data, result, eez_ids, taxon, catch_type, reporting_status, years, taxa, year: int | None = None,
+               keep=lambda df, name: df) -> DataFrame:
+    """Cell catch of all years, or of one. The year test reaches the scan of the data.
+
+    keep(df, name) may write the chosen data and return the written table.
+    """
     if year is not None:
         data = data.filter(F.col("year") == year)
-    sums = cell_sums(published_data(data, years, taxa), result, eez_ids)
-    return enrich_cells(sums, taxon, catch_type, reporting_status)
+    caught = keep(caught_data(published_data(data, years, taxa), eez_ids), "caught-data")
+    return enrich_cells(cell_sums(caught, result), taxon, catch_type, reporting_status)
 
 
 def refresh_year(cells: DataFrame, path: str) -> None:

@@ -67,10 +67,14 @@ def taxon_list(taxa: DataFrame) -> DataFrame:
                           '{"name":"taxon","children":[', "]}")
 
 
-def entity_totals(fact: DataFrame, entity: DataFrame) -> DataFrame:
-    """Catch and value of each named entity in the EEZ and high seas layers, with its place among all entities."""
+def entity_sums(fact: DataFrame) -> DataFrame:
+    """Catch and value of each fishing entity in the EEZ and high seas layers."""
     rows = fact.filter(F.col("marine_layer_id").isin(C.EEZ, C.HIGH_SEAS))
-    sums = rows.groupBy("fishing_entity_id").agg(F.sum("catch_sum").alias("catch"), F.sum("real_value").alias("value"))
+    return rows.groupBy("fishing_entity_id").agg(F.sum("catch_sum").alias("catch"), F.sum("real_value").alias("value"))
+
+
+def entity_totals(sums: DataFrame, entity: DataFrame) -> DataFrame:
+    """Named entities with their place among all of them. sums (entity_sums) is read twice, so write it first."""
     placed = with_bounds(sums, "catch", "value").withColumns({
         f"{c}_bucket": tally_bucket(F.col(c), F.col(f"min_{c}"), F.col(f"max_{c}")) for c in ("catch", "value")})
     named = placed.join(entity.select("fishing_entity_id", "name"), "fishing_entity_id")
@@ -78,8 +82,8 @@ def entity_totals(fact: DataFrame, entity: DataFrame) -> DataFrame:
                         "catch_bucket", F.col("value").cast("decimal(30,2)").alias("value"), "value_bucket")
 
 
-def entity_treemap(fact: DataFrame, entity: DataFrame) -> DataFrame:
-    return document_lines(entity_totals(fact, entity), ["id"],
+def entity_treemap(sums: DataFrame, entity: DataFrame) -> DataFrame:
+    return document_lines(entity_totals(sums, entity), ["id"],
                           ["id", "name", "catch", "catch_bucket", "value", "value_bucket"],
                           '{"id":0,"name":"All Fishing Entities","children":[', "]}")
 

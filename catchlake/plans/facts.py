@@ -165,7 +165,7 @@ def build_all_facts(simple: DataFrame, weighted: DataFrame, data: DataFrame, dim
     return merge_entity(facts, "fishing_entity_id", C.MERGED_ENTITIES)
 
 
-def audit_area(result, assignment, cell, simple_area, pairs, data, dims, layer: Layer, area_id: int, summarize) -> DataFrame:
-    """Summary and fact of a single area in one plan; the area test reaches the assignment before the result is joined."""
-    summary = summarize(result, assignment.filter(F.col("area_id") == area_id), cell, simple_area, pairs)
+def audit_area(result, weights, simple_area, pairs, data, dims, layer: Layer, area_id: int, summarize) -> DataFrame:
+    """Summary and fact of a single area in one plan; the area test reaches the weights before the result is joined."""
+    summary = summarize(result, weights.filter(F.col("area_id") == area_id), simple_area, pairs)
     return build_fact(summary, data, dims, layer)

@@ -1,7 +1,8 @@
 """Catch per row id and marine area, from catch per row id and grid cell.
 
 The allocation result is the one table that is always large. Every summary reads it once, joins it to its lookups and
-sums with map-side partial aggregation, so the only shuffle of large data carries partial sums.
+sums with map-side partial aggregation, so the only shuffle of large data carries partial sums. weights is cell_weights,
+measured once for all layers.
 """
 
 from __future__ import annotations
@@ -31,33 +32,33 @@ def summarize_high_seas(result: DataFrame, simple_area: DataFrame) -> DataFrame:
     return _by_simple_area(result, simple_area.filter(F.col("eez_id") == 0), ["fao_area_id"])
 
 
-def _weighted(result: DataFrame, assignment: DataFrame, cell: DataFrame, simple_area: DataFrame, layer: int) -> DataFrame:
+def _weighted(result: DataFrame, weights: DataFrame, simple_area: DataFrame, layer: int) -> DataFrame:
     """Weighted rows of one layer with the EEZ and FAO area of their simple area."""
-    shared = area_weighted(result, assignment.filter(F.col("marine_layer_id") == layer), cell)
+    shared = area_weighted(result, weights.filter(F.col("marine_layer_id") == layer))
     return shared.join(simple_area, "allocation_simple_area_id")
 
 
-def _paired_summary(result, assignment, cell, simple_area, pairs, layer: int, name: str) -> DataFrame:
+def _paired_summary(result, weights, simple_area, pairs, layer: int, name: str) -> DataFrame:
     """The pair test needs only the row's own columns, so it runs before the sum and one shuffle does."""
-    listed = allowed_pairs(_weighted(result, assignment, cell, simple_area, layer), pairs, ["area_id", "fao_area_id"])
+    listed = allowed_pairs(_weighted(result, weights, simple_area, layer), pairs, ["area_id", "fao_area_id"])
     return total(listed.withColumnRenamed("area_id", name), [ID, name, "eez_id"], "allocated_catch", "total_catch")
 
 
-def summarize_lme(result, assignment, cell, simple_area, pairs) -> DataFrame:
-    return _paired_summary(result, assignment, cell, simple_area, pairs, C.LME, "lme_id")
+def summarize_lme(result, weights, simple_area, pairs) -> DataFrame:
+    return _paired_summary(result, weights, simple_area, pairs, C.LME, "lme_id")
 
 
-def summarize_meow(result, assignment, cell, simple_area, pairs) -> DataFrame:
-    return _paired_summary(result, assignment, cell, simple_area, pairs, C.MEOW, "meow_id")
+def summarize_meow(result, weights, simple_area, pairs) -> DataFrame:
+    return _paired_summary(result, weights, simple_area, pairs, C.MEOW, "meow_id")
 
 
-def summarize_rfmo(result, assignment, cell, simple_area) -> DataFrame:
-    rows = _weighted(result, assignment, cell, simple_area, C.RFMO).withColumnRenamed("area_id", "rfmo_id")
+def summarize_rfmo(result, weights, simple_area) -> DataFrame:
+    rows = _weighted(result, weights, simple_area, C.RFMO).withColumnRenamed("area_id", "rfmo_id")
     return total(rows, [ID, "rfmo_id", "eez_id"], "allocated_catch", "total_catch")
 
 
-def summarize_ifa(result, assignment, cell) -> DataFrame:
-    rows = area_weighted(result, assignment.filter(F.col("marine_layer_id") == C.IFA), cell)
+def summarize_ifa(result, weights) -> DataFrame:
+    rows = area_weighted(result, weights.filter(F.col("marine_layer_id") == C.IFA))
     named = rows.withColumnsRenamed({"area_id": "eez_id", "cell_fao_area_id": "fao_area_id"})
     return total(named, [ID, "eez_id", "fao_area_id"], "allocated_catch", "total_catch")
 
@@ -69,9 +70,9 @@ def summarize_global(eez: DataFrame, high_seas: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).select(ID, "area_id", "total_catch")
 
 
-def two_step_summary(result, assignment, cell, simple_area, layer: int, name: str, pairs: DataFrame | None = None) -> DataFrame:
+def two_step_summary(result, weights, simple_area, layer: int, name: str, pairs: DataFrame | None = None) -> DataFrame:
     """The same summary by way of a finer sum that also keeps the FAO area; a cross-check of the one-step form."""
-    rows = _weighted(result, assignment, cell, simple_area, layer)
+    rows = _weighted(result, weights, simple_area, layer)
     fine = total(rows, [ID, "area_id", "fao_area_id", "eez_id"], "allocated_catch", "total_catch")
     if pairs is not None:
         fine = allowed_pairs(fine, pairs, ["area_id", "fao_area_id"])
@@ -104,7 +105,7 @@ def _only(layer_test: Column, column: str) -> Column:
     return F.when(layer_test, F.col(column))
 
 
-def weighted_base(result, assignment, cell, simple_area, layer_pairs: DataFrame) -> DataFrame:
+def weighted_base(result, weights, simple_area, layer_pairs: DataFrame) -> DataFrame:
     """All four weighted layers in one pass over the result: one scan and one shuffle instead of four of each.
 
     Columns: marine_layer_id, universal_data_id, area_id, eez_id, cell_fao_area_id, total_catch. LME and
@@ -112,7 +113,7 @@ def weighted_base(result, assignment, cell, simple_area, layer_pairs: DataFrame)
     own FAO area.
     """
     ifa = F.col("marine_layer_id") == C.IFA
-    rows = area_weighted(result, assignment.filter(F.col("marine_layer_id").isin(C.LME, C.RFMO, C.IFA, C.MEOW)), cell)
+    rows = area_weighted(result, weights.filter(F.col("marine_layer_id").isin(C.LME, C.RFMO, C.IFA, C.MEOW)))
     areas = simple_area.withColumn("_known", F.lit(True))
     rows = rows.join(areas, "allocation_simple_area_id", "left").filter(ifa | F.col("_known"))
     rows = rows.join(layer_pairs, ["marine_layer_id", "area_id", "fao_area_id"], "left")
@@ -128,13 +129,13 @@ def simple_base(result, simple_area) -> DataFrame:
     return _by_simple_area(result, simple_area.filter(F.col("eez_id") >= 0), ["eez_id", "fao_area_id"])
 
 
-def summarize_all(result, assignment, cell, simple_area, layer_pairs, keep=lambda df, name: df) -> dict[str, DataFrame]:
+def summarize_all(result, weights, simple_area, layer_pairs, keep=lambda df, name: df) -> dict[str, DataFrame]:
     """All seven summaries from two passes over the result.
 
     keep(df, name) may write a base and return the written table, so that the seven layers read it and not the result.
     """
     simple = keep(simple_base(result, simple_area), "simple_base")
-    weighted = keep(weighted_base(result, assignment, cell, simple_area, layer_pairs), "weighted_base")
+    weighted = keep(weighted_base(result, weights, simple_area, layer_pairs), "weighted_base")
 
     def of(layer: int) -> DataFrame:
         return weighted.filter(F.col("marine_layer_id") == layer)

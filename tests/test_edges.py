@@ -106,7 +106,7 @@ def test_cell_without_water_adds_nothing(spark):
     cell = spark.createDataFrame([(1, Decimal(0)), (2, Decimal(4))], water)
     assigned = spark.createDataFrame([(14, 5, c, 9, Decimal(2)) for c in (1, 2)],
                                      "marine_layer_id int, area_id int, cell_id int, fao_area_id int, water_area decimal(18,4)")
-    assert rows(summaries.summarize_ifa(result, assigned, cell)) == [(1, 5, 9, Decimal(2))]
+    assert rows(summaries.summarize_ifa(result, joins.cell_weights(assigned, cell))) == [(1, 5, 9, Decimal(2))]
 
 
 def test_bucket_ends(spark):

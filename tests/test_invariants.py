@@ -12,6 +12,7 @@ from catchlake.layers import LAYERS
 from catchlake.operators import joins
 from catchlake.operators.sizing import measured
 from catchlake.plans import cells, facts, stocks, summaries
+from catchlake.session import materialize
 
 
 def total(df, column="total_catch"):
@@ -75,8 +76,9 @@ def hot(tables):
 
 def test_hot_keys_lose_nothing(spark, tables, hot):
     d = lookups(tables)
-    shuffled = (tables.simple_area_cell_assignment_raw, tables.cell, tables.allocation_simple_area, tables.area_fao)
-    hinted = (d["assignment"], d["cell"], d["simple_area"], d["pairs"])
+    weights = joins.cell_weights(tables.simple_area_cell_assignment_raw, tables.cell)
+    shuffled = (materialize(weights, "weights"), tables.allocation_simple_area, tables.area_fao)
+    hinted = (d["weights"], d["simple_area"], d["pairs"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         by_shuffle = summaries.summarize_lme(hot, *shuffled)
@@ -87,7 +89,7 @@ def test_hot_keys_lose_nothing(spark, tables, hot):
         kept = hot.join(tables.allocation_simple_area.filter("eez_id > 0"), "allocation_simple_area_id")
         assert total(eez) == total(kept, "allocated_catch")
         ids = kept.select("universal_data_id")
-        in_cells = cells.cell_sums(tables.allocation_data, hot, ids)
+        in_cells = cells.cell_sums(cells.caught_data(tables.allocation_data, ids), hot)
         same = hot.join(ids.distinct(), "universal_data_id", "left_semi").join(
             tables.allocation_data.select("universal_data_id"), "universal_data_id")
         assert total(in_cells, "catch_sum") == total(same, "allocated_catch")

@@ -4,10 +4,11 @@ import contextlib
 import io
 import re
 
-from catchlake.checks.facts import cells_of, layer_fact
+from catchlake.checks.facts import layer_fact
 from catchlake.checks.summaries import lookups
 from catchlake.layers import LAYERS
 from catchlake.plans import stocks, summaries
+from catchlake.plans.cells import caught_data, published_data
 
 
 def plan(df) -> str:
@@ -27,14 +28,14 @@ def shuffles(text: str) -> int:
 
 def test_summary_shuffles_partial_sums_once(tables):
     d = lookups(tables)
-    text = tree(summaries.summarize_rfmo(tables.allocation_result, d["assignment"], d["cell"], d["simple_area"]))
+    text = tree(summaries.summarize_rfmo(tables.allocation_result, d["weights"], d["simple_area"]))
     assert shuffles(text) == 1 and text.count("HashAggregate") == 2
     assert "SortMergeJoin" not in text and "CartesianProduct" not in text
 
 
 def test_four_weighted_layers_share_one_scan(tables):
     d = lookups(tables)
-    base = summaries.weighted_base(tables.allocation_result, d["assignment"], d["cell"], d["simple_area"], d["layer_pairs"])
+    base = summaries.weighted_base(tables.allocation_result, d["weights"], d["simple_area"], d["layer_pairs"])
     assert plan(base).count("l_orderkey:bigint") == 1
 
 
@@ -57,5 +58,5 @@ def test_stock_status_reads_the_fact_once(tables):
 
 def test_year_reaches_the_scan(tables):
     """The year of the fixture is computed, so its test shows up as a filter right above the scan of the data."""
-    scans = [part for part in plan(cells_of(tables, 1997)).split("\n\n") if "Filter" in part and "o_orderdate" in part]
+    scans = [part for part in plan(caught_data(published_data(tables.allocation_data.filter("year = 1997"), tables.time_dim, tables.taxon_name), tables.allocation_result)).split("\n\n") if "Filter" in part and "o_orderdate" in part]
     assert any("= 1997" in part for part in scans)
