@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catchlake import constants as C
 from catchlake.checks.registry import check, spark_of
 from catchlake.checks.summaries import SQL as SUMMARY_SQL
-from catchlake.checks.summaries import lookups
+from catchlake.checks.summaries import lookup_frames, lookups
 from catchlake.functions.columns import ppr
 from catchlake.layers import LAYERS, Layer
 from catchlake.operators.joins import uncertainty_periods
@@ -24,11 +24,20 @@ DIMS = ("end_use", "price", "cube_dim_taxon", "area", "time_dim", "catch_type",
 ALLOWED = {"high_seas": "fao_area", "lme": "lme", "rfmo": "rfmo", "meow": "meow"}
 
 
-def dims_of(t) -> dict[str, DataFrame]:
+def dim_frames(t) -> dict[str, DataFrame]:
     lists = fact_plans.allowed_areas({layer: (getattr(t, name), f"{name}_id")
                                       for layer, name in ALLOWED.items()})
     scores = uncertainty_periods(t.uncertainty_eez, t.uncertainty_time_period)
-    return measured(keep=materialize, **{name: getattr(t, name) for name in DIMS}, allowed_area=lists, scores=scores)
+    return {**{name: getattr(t, name) for name in DIMS}, "allowed_area": lists, "scores": scores}
+
+
+def dims_of(t) -> dict[str, DataFrame]:
+    return measured(keep=materialize, **dim_frames(t))
+
+
+def dims_and_lookups(t) -> dict[str, DataFrame]:
+    """Everything the result and the fact are joined to, measured in one job."""
+    return measured(keep=materialize, **dim_frames(t), **lookup_frames(t))
 
 
 def published(fact: DataFrame) -> DataFrame:
@@ -87,8 +96,8 @@ group by {place['main_area_id'] if isinstance(layer.main, str) else 'a.main_area
   c.catch_type_id, c.reporting_status_id, c.end_use_type_id, {raw if layer.score == 'lookup' else 'a.marine_layer_id'}"""
 
 
-def summary_of(t, name: str) -> DataFrame:
-    d = lookups(t)
+def summary_of(t, name: str, d: dict[str, DataFrame] | None = None) -> DataFrame:
+    d = d or lookups(t)
     result, weighted = t.allocation_result, (t.allocation_result, d["weights"])
     makers = {
         "eez": lambda: S.summarize_eez(result, d["simple_area"]),
@@ -103,7 +112,8 @@ def summary_of(t, name: str) -> DataFrame:
 
 
 def layer_fact(t, name: str) -> DataFrame:
-    return fact_plans.build_fact(summary_of(t, name), t.allocation_data, dims_of(t), LAYERS[name])
+    d = dims_and_lookups(t)
+    return fact_plans.build_fact(summary_of(t, name, d), t.allocation_data, d, LAYERS[name])
 
 
 def _register(key: str, name: str) -> None:
@@ -143,9 +153,9 @@ AUDITED_AREA = 3
 
 @check("b17_area_audit", fact_sql(LAYERS["meow"], "select * from (" + SUMMARY_SQL["meow"] + f") m where meow_id = {AUDITED_AREA}"))
 def b17(t):
-    d = lookups(t)
+    d = dims_and_lookups(t)
     fact = fact_plans.audit_area(t.allocation_result, d["weights"], d["simple_area"], d["pairs"], t.allocation_data,
-                                 dims_of(t), LAYERS["meow"], AUDITED_AREA, S.summarize_meow)
+                                 d, LAYERS["meow"], AUDITED_AREA, S.summarize_meow)
     return published(fact)
 
 
@@ -153,10 +163,10 @@ def b17(t):
        + " union all ".join(f"select * from ({fact_sql(LAYERS[n])}) {n}_fact" for n in LAYERS) + ") all_facts")
 def b18(t):
     """Two passes over the result and one over everything else give the facts of all seven layers."""
-    d = lookups(t)
+    d = dims_and_lookups(t)
     simple = S.simple_base(t.allocation_result, d["simple_area"])
     weighted = S.weighted_base(t.allocation_result, d["weights"], d["simple_area"], d["layer_pairs"])
-    return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, dims_of(t)))
+    return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, d))
 
 
 CELL_SQL = """

@@ -46,10 +46,13 @@ union all
 select universal_data_id, 2, cast(sum(total_catch) as decimal(28,6)) from ({SQL['high_seas']}) h group by 1"""
 
 
+def lookup_frames(t) -> dict[str, DataFrame]:
+    return {"weights": cell_weights(t.simple_area_cell_assignment_raw, t.cell), "simple_area": t.allocation_simple_area,
+            "pairs": t.area_fao, "layer_pairs": S.pairs_by_layer({C.LME: t.area_fao, C.MEOW: t.area_fao})}
+
+
 def lookups(t) -> dict[str, DataFrame]:
-    return measured(keep=materialize, weights=cell_weights(t.simple_area_cell_assignment_raw, t.cell),
-                    simple_area=t.allocation_simple_area, pairs=t.area_fao,
-                    layer_pairs=S.pairs_by_layer({C.LME: t.area_fao, C.MEOW: t.area_fao}))
+    return measured(keep=materialize, **lookup_frames(t))
 
 
 def all_summaries(t, keep=lambda df, name: df) -> dict[str, DataFrame]:

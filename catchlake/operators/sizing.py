@@ -13,13 +13,13 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH = 16
 
 
-def _size(name: str, df: DataFrame) -> DataFrame:
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = F.count(F.lit(1)) * F.lit(FIXED_WIDTH * max(1, len(df.columns)))
-    text = F.lit(0)
-    for column in texts:
-        text = text + F.coalesce(F.sum(F.octet_length(column)), F.lit(0))
-    return df.agg((fixed + text).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+def _row_sizes(name: str, df: DataFrame) -> DataFrame:
+    """About how many bytes each row takes; of the columns only texts are read."""
+    size = F.lit(FIXED_WIDTH * max(1, len(df.columns)))
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return df.select(F.lit(name).alias("name"), size.cast("bigint").alias("bytes"))
 
 
 def measured(max_bytes: int = BROADCAST_BYTES, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
@@ -29,8 +29,9 @@ def measured(max_bytes: int = BROADCAST_BYTES, keep: Callable[[DataFrame, str],
     A frame above the bound is joined by shuffle, and adaptive execution splits the join's hot keys. It does so only
     where both sides come straight out of a shuffle, so pass session.materialize as keep for frames that are joins
     themselves: those above the bound are then written and joined as plain tables. The answer of the counting job is
-    one row per frame.
+    at most one row per frame.
     """
-    sizes = reduce(DataFrame.unionByName, [_size(name, df) for name, df in frames.items()])
-    small = {row["name"] for row in sizes.filter(F.col("bytes") <= max_bytes).collect()}
-    return {name: F.broadcast(df) if name in small else keep(df, name) for name, df in frames.items()}
+    rows = reduce(DataFrame.unionByName, [_row_sizes(name, df) for name, df in frames.items()])
+    sizes = rows.groupBy("name").agg(F.sum("bytes").alias("bytes"))
+    large = {row["name"] for row in sizes.filter(F.col("bytes") > max_bytes).collect()}
+    return {name: keep(df, name) if name in large else F.broadcast(df) for name, df in frames.items()}
