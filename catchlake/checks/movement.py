@@ -26,7 +26,7 @@ def p01(t):
     spark = spark_of(t)
     manifest = readers.manifest_for(spark.createDataFrame(MANIFEST_ROWS, readers.MANIFEST_SCHEMA), schema="allocation")
     source = readers.SourceTable.from_manifest(manifest.first())
-    return readers.read_source(spark, source, readers.ParquetReader(t._folder))
+    return readers.read_source(spark, source, readers.ParquetReader(t.folder))
 
 
 @check("p03_full_refresh", """

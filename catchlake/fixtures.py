@@ -213,7 +213,7 @@ class Tables:
     """The views of one test folder as DataFrames: tables.cell, tables.orders, ..."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder, self._made = spark, folder, {}
+        self._spark, self.folder, self._made = spark, folder, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -226,6 +226,6 @@ class Tables:
         if name not in VIEWS:
             if name not in BASE_TABLES:
                 raise AttributeError(name)
-            return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+            return self._spark.read.parquet(f"{self.folder}/{name}.parquet")
         sources = {n: getattr(self, n) for n in _NAME.findall(VIEWS[name])}
         return self._spark.sql(VIEWS[name], **sources)

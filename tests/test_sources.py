@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 from catchlake.operators.partitions import key_distribution, partition_map
+from catchlake.plans import documents
 from catchlake.session import shared_dir, shared_path
 from catchlake.sources import readers, writers
 
@@ -58,6 +59,15 @@ def test_empty_entities_have_no_folder(spark):
     assert sorted(r["entity_id"] for r in found.collect()) == [1, 3]
 
 
+def test_csv_cache_leaves_out_the_excluded_entity(spark):
+    fact = spark.createDataFrame([(4, 1, 7, "a,b"), (4, 9, 8, "x"), (3, 1, 9, "y")],
+                                 "marine_layer_id int, main_area_id int, taxon_key int, name string")
+    path = shared_path(spark, "csv-cache-test")
+    documents.write_csv_cache(fact, ["taxon_key", "name"], path)
+    assert [tuple(r) for r in spark.read.option("header", True).csv(path).collect()] == [("7", "a,b", 1)]
+    assert [tuple(r) for r in documents.csv_cache(fact, ["taxon_key", "name"]).collect()] == [(4, 1, '7,"a,b"')]
+
+
 def test_extent_files_are_listed_with_their_folder(spark, tmp_path):
     (tmp_path / "Gadus_morhua").mkdir()
     (tmp_path / "Gadus_morhua" / "600069.shp").write_bytes(b"shape")
