@@ -276,11 +276,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(read_ranks(path), pattern)
 
 
-def _round_trip(path: str, pattern: str):
+def _round_trip(path: str, pattern: str, ids_too: bool):
     own = codec(path, pattern)
 
     def work(texts: list) -> list:
-        n, ids, decoded = [], [], []
+        n, ids, decoded, kept = [], [], [], []
         for text in texts:
             packed = own.encode_packed(text)
             n.append(len(packed) // 4)
@@ -289,24 +289,19 @@ def _round_trip(path: str, pattern: str):
             for part in own.decode_packed(packed):
                 digest.update(part.encode("utf-8"))
             decoded.append(digest.hexdigest())
-        return [n, ids, decoded]
+            kept.append(packed)
+        return [n, ids, decoded, kept] if ids_too else [n, ids, decoded]
 
     return work
 
 
-def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Digests of each text's ids and of the text decoded from them. Rows stay where they are: no shuffle."""
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
+                      ids: str | None = None) -> DataFrame:
+    """Digests of each text's ids and of the text decoded from them. Rows stay where they are: no shuffle.
+
+    ids names a column for the ids themselves, packed as little-endian unsigned 32-bit integers.
+    """
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
-    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern), [key])
-
-
-def _encode(path: str, pattern: str):
-    own = codec(path, pattern)
-    return lambda texts: [[own.encode(t) for t in texts]]
-
-
-def with_token_ids(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "token_ids") -> DataFrame:
-    """Add the token ids of each text, and keep all columns."""
-    field = T.StructField(name, T.ArrayType(T.LongType()))
-    return with_text_columns(docs, text, [field], partial(_encode, path, pattern))
+    fields += [T.StructField(ids, T.BinaryType())] if ids else []
+    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern, ids is not None), [key])

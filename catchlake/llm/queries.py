@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchlake.llm import byte_bpe, quality, sharding, token_counts, toxicity, warc
+from catchlake.llm import byte_bpe, minhash, outliers, quality, sharding, token_counts, toxicity, url_filters, warc, winnowing
 from catchlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,47 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @register("op9_warc")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@register("op6_outliers")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.rule_verdicts(table(spark, folder, "documents"))
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@register("op7_url_filters", """
+WITH cut AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules(rule_host, rule_path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fits AS (SELECT page_id, rule_host || rule_path AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS place
+         FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
+""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filters.judged_pages(table(spark, folder, "pages"), rules)
+
+
+@register("op8_minhash")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHashSettings(words=3, percent=85))
+
+
+@register("op10_decontamination", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+item_at AS (SELECT item_id, w, least(len(w), 10) AS span, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+item_windows AS (SELECT DISTINCT item_id, span, array_to_string(w[i:i + span - 1], ' ') AS gram FROM item_at),
+doc_at AS (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS i FROM d, (SELECT DISTINCT span FROM item_windows) WHERE len(w) >= span),
+doc_windows AS (SELECT doc_id, span, i, array_to_string(w[i:i + span - 1], ' ') AS gram FROM doc_at),
+hits AS (SELECT doc_id, i, span, item_id FROM doc_windows JOIN item_windows USING (span, gram)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + span)) AS place FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.contaminated_words(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
