@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
 from struct import pack
@@ -261,12 +260,9 @@ class Utf8Machine:
 def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The plain definition, for tests: merge the leftmost adjacent pair of the lowest rank until none is left."""
     parts = [data[i:i + 1] for i in range(len(data))]
-    heap = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
-    while heap:
-        rank, at = heapq.heappop(heap)
+    while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]:
+        at = min(found)[1]
         parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        heap = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]
-        heapq.heapify(heap)
     return [ranks[p] for p in parts]
 
 

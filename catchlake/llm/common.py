@@ -147,15 +147,19 @@ def platt(logits: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float,
     pos, neg = labels.sum(), (1 - labels).sum()
     target = np.where(labels == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
     weight = np.where(labels == 1, prior / max(pos, 1), (1 - prior) / max(neg, 1)) * len(labels)
-    slope, offset = 1.0, 0.0
-    for _ in range(50):
-        p = sigmoid(slope * logits + offset)
-        g, h = weight * (p - target), weight * p * (1 - p) + 1e-9
-        grad = np.array([(g * logits).sum() + 0.1 * (slope - 1), g.sum()])
-        hess = np.array([[(h * logits * logits).sum() + 0.1, (h * logits).sum()], [(h * logits).sum(), h.sum() + 0.1]])
+    spread = max(float(np.std(logits)), 1e-6)
+    x = np.stack([logits / spread, np.ones(len(logits))], axis=1)
+    loss = lambda v: (weight * (np.logaddexp(0, x @ v) - target * (x @ v))).sum() + 0.01 * v[0] ** 2
+    v = np.zeros(2)
+    for _ in range(100):
+        p = sigmoid(x @ v)
+        grad = x.T @ (weight * (p - target)) + [0.02 * v[0], 0]
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([0.02, 1e-6])
         step = np.linalg.solve(hess, grad)
-        step *= min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
-        slope, offset = slope - step[0], offset - step[1]
-        if np.abs(step).max() < 1e-6:
+        size = 1.0
+        while size > 1e-6 and loss(v - size * step) > loss(v):
+            size /= 2
+        v = v - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return float(max(slope, 0.05)), float(offset)
+    return float(max(v[0], 0.0) / spread), float(v[1])

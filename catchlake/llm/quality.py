@@ -42,6 +42,7 @@ class MilSettings:
     max_rows: int = 4000  #: bound of the training sample, half of each class
     max_chars: int = 20_000  #: longer texts are not learned from
     held_back: float = 0.2
+    steps: int = 1000  #: small samples are gone through more often, up to so many steps
     block_words: int = 1 << 17
     seed: int = 11
 
@@ -166,7 +167,7 @@ def train_mil(sample: Sample, s: MilSettings = MilSettings()) -> MilModel:
     words = {int(i): cache.of(sample.texts[i].split()) if sample.texts[i].split() else np.zeros(1, np.int64) for i in fit}
     w = _start(s)
     sums = {k: np.full(v.shape, 1e-3, np.float32) for k, v in w.items()}
-    for _ in range(s.epochs):
+    for _ in range(max(s.epochs, -(-s.steps * s.batch // len(fit)))):
         rng.shuffle(fit)
         for at in range(0, len(fit), s.batch):
             ids = fit[at:at + s.batch]

