@@ -175,7 +175,7 @@ def j14(t):
 @check("j15_array_membership", """
 select g.id, gx, gy from {grid} g where g.id in (select unnest([l_partkey, l_partkey + 1]) from {lineitem})""")
 def j15(t):
-    listed = t.lineitem.select(F.explode(F.array(F.col("l_partkey"), F.col("l_partkey") + 1)).alias("id"))
+    listed = t.lineitem.select(F.explode(F.array(F.col("l_partkey"), F.col("l_partkey") + 1)).alias("id")).distinct()
     return t.grid.join(listed, "id", "left_semi").select("id", "gx", "gy")
 
 
@@ -189,7 +189,7 @@ def j16(t):
 
 
 @check("j17_area_weighted", """
-select r.universal_data_id, a.marine_layer_id, a.area_id, cast(sum(r.allocated_catch * a.water_area / c.water_area) as decimal(28,6)) as catch
+select r.universal_data_id, a.marine_layer_id, a.area_id, cast(sum(r.allocated_catch * cast(a.water_area / c.water_area as decimal(18,12))) as decimal(28,6)) as catch
 from {allocation_result} r join {simple_area_cell_assignment_raw} a on a.cell_id = r.cell_id
 join {cell} c on c.cell_id = r.cell_id group by 1, 2, 3""")
 def j17(t):

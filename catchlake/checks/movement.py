@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,7 +12,7 @@ from catchlake.checks.registry import check, spark_of
 from catchlake.checks.summaries import lookups
 from catchlake.operators.partitions import key_distribution, partition_map
 from catchlake.plans import documents
-from catchlake.plans.summaries import summarize_eez, summarize_high_seas, summarize_rfmo
+from catchlake.plans.summaries import summarize_eez, summarize_rfmo
 from catchlake.session import materialize, shared_path
 from catchlake.sources import readers, writers
 
@@ -18,15 +21,26 @@ MANIFEST_ROWS = [
      "orders_done", ["o_totalprice"], 8),
     (1, "CATCH", "supplier", "s_suppkey", None, None, "master", "supplier", None, 2),
     (3, "other", "part", None, None, "", "master", "part", [], 1),
+    (4, "Catch", "lineitem", "l_orderkey", "l_orderkey, count(*) as parts", "GROUP BY l_orderkey", "allocation", "order_parts", None, 150),
+    (5, "Catch", "customer", None, "c_custkey, c_nationkey", "c_nationkey between 3 and 9", "master", "customer", ["c_nationkey"], 1),
 ]
 
 
-@check("p01_read_source", "select o_orderkey, o_custkey from {orders} where o_orderstatus = 'F'")
+@check("p01_read_source", """
+select 'allocation' as part, 'orders_done' as name, o_orderkey as a, cast(o_custkey as bigint) as b from {orders} where o_orderstatus = 'F'
+union all select 'master', 'supplier', s_suppkey, cast(s_nationkey as bigint) from {supplier}
+union all select 'master', 'part', p_partkey, cast(p_size as bigint) from {part}
+union all select 'allocation', 'order_parts', l_orderkey, count(*) from {lineitem} group by l_orderkey
+union all select 'master', 'customer', c_custkey, null from {customer} where c_nationkey between 3 and 9""")
 def p01(t):
-    spark = spark_of(t)
-    manifest = readers.manifest_for(spark.createDataFrame(MANIFEST_ROWS, readers.MANIFEST_SCHEMA), schema="allocation")
-    source = readers.SourceTable.from_manifest(manifest.first())
-    return readers.read_source(spark, source, readers.ParquetReader(t.folder))
+    """Every row of the manifest, in id order, into its target table."""
+    spark, root = spark_of(t), shared_path(spark_of(t), "pulled")
+    readers.pull_all(spark, spark.createDataFrame(MANIFEST_ROWS, readers.MANIFEST_SCHEMA), readers.ParquetReader(t.folder), root)
+    columns = {"allocation/orders_done": ("o_orderkey", "o_custkey"), "master/supplier": ("s_suppkey", "s_nationkey"),
+               "master/part": ("p_partkey", "p_size"), "allocation/order_parts": ("l_orderkey", "parts"), "master/customer": ("c_custkey", None)}
+    return reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/{table}").select(
+        F.lit(table.split("/")[0]).alias("part"), F.lit(table.split("/")[1]).alias("name"), F.col(a).alias("a"),
+        (F.col(b) if b else F.lit(None)).cast("bigint").alias("b")) for table, (a, b) in columns.items()])
 
 
 @check("p03_full_refresh", """
@@ -71,22 +85,45 @@ def p06(t):
     return ranges_of(t)
 
 
-@check("p08_text_interchange", "select universal_data_id, unit_price, taxon_key from {allocation_data}")
+#: Texts with tabs, line ends, quotes, backslashes, the mark of NULL, blanks at the ends and none at all.
+HARD_TEXTS = """select doc_id, case doc_id % 9 when 0 then text when 1 then null when 2 then '' when 3 then concat(chr(92), 'N')
+  when 4 then concat('  ', text, ' ') when 5 then concat(chr(9), text, chr(9), chr(92)) when 6 then concat('a', chr(13), chr(10), chr(92), 'n', chr(34), text)
+  when 7 then concat(chr(92), chr(92), 't', chr(10)) else concat('"', text, ', "') end as hard from {documents}"""
+
+
+def hard_texts(t):
+    return spark_of(t).sql(HARD_TEXTS, documents=t.documents)
+
+
+@check("p08_text_interchange", f"select universal_data_id, unit_price, taxon_key, hard from {{allocation_data}} left join ({HARD_TEXTS}) h on doc_id = universal_data_id")
 def p08(t):
     data = t.allocation_data.select("universal_data_id", "unit_price", "taxon_key")
+    data = data.join(hard_texts(t), F.col("doc_id") == F.col("universal_data_id"), "left").drop("doc_id")
     path = shared_path(spark_of(t), "text")
     writers.write_text(data, path)
     return readers.read_text(spark_of(t), path, data.schema)
 
 
-@check("p09_csv_per_entity", """
-select main_area_id, taxon_key, year, catch_sum from {stock_fact}""")
+@check("p09_csv_per_entity", f"""
+select main_area_id, taxon_key, year, catch_sum, null as hard from {{stock_fact}}
+union all select cast(doc_id % 7 as int), doc_id, null, null, hard from ({HARD_TEXTS}) h""")
 def p09(t):
-    columns = ["taxon_key", "year", "catch_sum"]
+    columns = ["taxon_key", "year", "catch_sum", "hard"]
     path = shared_path(spark_of(t), "csv-per-entity")
-    writers.write_csv_per_entity(t.stock_fact.select("main_area_id", *columns), "main_area_id", path)
-    schema = T.StructType([t.stock_fact.schema[c] for c in columns] + [t.stock_fact.schema["main_area_id"]])
-    return spark_of(t).read.schema(schema).option("header", True).csv(path)
+    texts = hard_texts(t).select((F.col("doc_id") % 7).cast("int").alias("main_area_id"), F.col("doc_id").alias("taxon_key"), "hard")
+    rows = t.stock_fact.select("main_area_id", *columns[:-1]).unionByName(texts, allowMissingColumns=True)
+    writers.write_csv_per_entity(rows, "main_area_id", path)
+    schema = T.StructType([rows.schema[c] for c in columns] + [rows.schema["main_area_id"]])
+    return readers.read_csv(spark_of(t), path, schema)
+
+
+@check("p10_csv_texts", f"""
+select 4 as entity_layer_id, doc_id as entity_id, concat(doc_id, ',', case when hard is null then '' when hard = '' then '""'
+  when hard like '%"%' or hard like '%,%' or hard like concat('%', chr(10), '%') or hard like concat('%', chr(13), '%')
+  then concat('"', replace(hard, '"', '""'), '"') else hard end) as csv_data from ({HARD_TEXTS}) h""")
+def p10_texts(t):
+    rows = hard_texts(t).withColumns({"marine_layer_id": F.lit(4), "main_area_id": F.col("doc_id")})
+    return documents.csv_cache(rows, ["doc_id", "hard"], exclude=(-1,))
 
 
 @check("p10_csv_cache", """
@@ -94,14 +131,14 @@ select 4 as entity_layer_id, rfmo_id as entity_id,
   concat(universal_data_id, ',', coalesce(cast(eez_id as varchar), ''), ',', total_catch) as csv_data
 from (
   select universal_data_id, area_id as rfmo_id, eez_id,
-    cast(sum(allocated_catch * a.water_area / c.water_area) as decimal(28,6)) as total_catch
+    cast(sum(allocated_catch * cast(a.water_area / c.water_area as decimal(18,12))) as decimal(28,6)) as total_catch
   from {allocation_result} r join {simple_area_cell_assignment_raw} a on a.cell_id = r.cell_id and a.marine_layer_id = 4
   join {cell} c on c.cell_id = r.cell_id
   join {allocation_simple_area} s on s.allocation_simple_area_id = r.allocation_simple_area_id
   group by 1, 2, 3) x
 where rfmo_id <> 9""")
 def p10(t):
-    d = lookups(t)
+    d = lookups(t, "weights", "simple_area")
     rows = summarize_rfmo(t.allocation_result, d["weights"], d["simple_area"])
     rows = rows.select("universal_data_id", F.col("rfmo_id").alias("main_area_id"), "eez_id",
                        F.col("total_catch").cast("decimal(28,6)").alias("total_catch"), F.lit(4).alias("marine_layer_id"))
@@ -131,31 +168,17 @@ def p12(t):
 
 
 @check("p13_json_document", """
-select cast(length(concat('{"name":"taxon","children":[', string_agg(json_object('taxon_key', taxon_key, 'name', common_name,
-  'taxon_level_id', level, 'lineage', lineage), ',' order by common_name, taxon_key), ']}')) as bigint) as characters
-from {taxon_lineage}""")
+with listed as (select row_number() over (order by common_name, taxon_key) as place, json_object('taxon_key', taxon_key, 'name', common_name,
+  'taxon_level_id', level, 'lineage', lineage) as line from {taxon_lineage})
+select place, concat(case when place = 1 then '' else ',' end, line) as text from listed
+union all select 0, '{"name":"taxon","children":['
+union all select (select count(*) + 1 from listed), ']}'""")
 def p13(t):
+    """Every line of the written document, numbered as the part files read one after the other have them."""
     path = shared_path(spark_of(t), "document")
     writers.write_json_doc(documents.taxon_list(t.taxon_lineage), ["section", "name", "taxon_key"], path)
-    return spark_of(t).read.text(path).agg(F.sum(F.length("value")).alias("characters"))
-
-
-@check("p14_write_fact", """
-select 1 as marine_layer_id, count(*) as fact_rows from (
-  select distinct eez_id, fao_area_id, universal_data_id from {allocation_result} r join {allocation_simple_area} s
-  on s.allocation_simple_area_id = r.allocation_simple_area_id where eez_id > 0) x
-union all
-select 2, count(*) from (
-  select distinct fao_area_id, universal_data_id from {allocation_result} r join {allocation_simple_area} s
-  on s.allocation_simple_area_id = r.allocation_simple_area_id where eez_id = 0) x""")
-def p14(t):
-    """Written twice and one layer once more: no row is doubled and the other layer stays."""
-    spark, path = spark_of(t), shared_path(spark_of(t), "fact")
-    eez = summarize_eez(t.allocation_result, t.allocation_simple_area).withColumn("marine_layer_id", F.lit(1))
-    seas = summarize_high_seas(t.allocation_result, t.allocation_simple_area).withColumn("marine_layer_id", F.lit(2))
-    writers.write_fact(eez.unionByName(seas, allowMissingColumns=True), path)
-    writers.write_fact(eez, path)
-    return spark.read.parquet(path).groupBy("marine_layer_id").agg(F.count(F.lit(1)).alias("fact_rows"))
+    lines = spark_of(t).read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")))
+    return lines.select((F.row_number().over(Window.orderBy("file", "pos")) - 1).cast("bigint").alias("place"), F.col("col").alias("text"))
 
 
 @check("p15_write_summary", """

@@ -42,21 +42,21 @@ select o_orderkey as universal_data_id, cast(o_custkey % 25 as int) as fishing_e
 from {orders}""",
     "allocation_result": """
 select l_orderkey as universal_data_id, l_partkey as cell_id, l_suppkey as allocation_simple_area_id,
-  cast(case when l_quantity < 2 then 0 else l_quantity end as decimal(18,4)) as allocated_catch
+  cast(case when l_quantity < 2 then 0 when l_partkey % 50 = 7 then 0.0001 else l_quantity end as decimal(18,4)) as allocated_catch
 from {lineitem}""",
     "allocation_simple_area": """
 select s_suppkey as allocation_simple_area_id, case when s_suppkey % 5 = 0 then 0 else s_nationkey + 1 end as eez_id,
   s_nationkey % 5 + 1 as fao_area_id
 from {supplier}""",
-    "cell": "select p_partkey as cell_id, cast(p_size + 10 as decimal(18,4)) as water_area from {part}",
+    "cell": "select p_partkey as cell_id, cast((p_size + 10) * 21 as decimal(18,4)) as water_area from {part}",
     "simple_area_cell_assignment_raw": """
 select case p_partkey % 4 when 0 then 3 when 1 then 4 when 2 then 14 else 19 end as marine_layer_id,
   cast(p_size % 12 + 1 as int) as area_id, p_partkey as cell_id, cast(p_size % 5 + 1 as int) as fao_area_id,
-  cast((p_size + 10) * 0.5 as decimal(18,4)) as water_area
+  cast((p_size + 10) * case p_partkey % 3 when 0 then 7 when 1 then 3 else 0.007 end as decimal(18,4)) as water_area
 from {part}
 union all
 select case p_partkey % 4 when 0 then 3 when 1 then 4 when 2 then 14 else 19 end, cast(p_size % 12 + 2 as int), p_partkey,
-  cast(p_size % 5 + 1 as int), cast((p_size + 10) * 0.25 as decimal(18,4))
+  cast(p_size % 5 + 1 as int), cast((p_size + 10) * 5.25 as decimal(18,4))
 from {part}""",
     "area_fao": """
 select distinct cast(p_size % 12 + 1 as int) as area_id, cast(p_size % 5 + 1 as int) as fao_area_id from {part}""",
@@ -164,7 +164,16 @@ from {nation} join {region} on n_regionkey = r_regionkey
 union all
 select 1000000 + s_suppkey, s_name, 3, concat(r_name, '.', n_name, '.', s_name), concat(r_name, '.', n_name),
   s_suppkey % 2 = 0, s_suppkey % 3 = 0, cast(s_suppkey * 10.75 as decimal(17,2)), cast(s_suppkey * 1000.5 as decimal(17,2))
-from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
+from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
+union all
+select 5000000 + s_suppkey, s_name, 4, concat(r_name, '.', n_name, '.', s_name, '.', cast(case when s_suppkey % 3 = 0 then 1 else s_suppkey end as varchar(20))),
+  case when s_suppkey % 5 = 0 then concat(r_name, '.', n_name, '.lost') else concat(r_name, '.', n_name, '.', s_name) end,
+  false, false, cast(s_suppkey * 2.5 as decimal(17,2)), cast(null as decimal(17,2))
+from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey
+union all
+select 6000000 + s_suppkey, concat(s_name, ' twin'), 3, concat(r_name, '.', n_name, '.', s_name), concat(r_name, '.', n_name),
+  false, false, cast(1 as decimal(17,2)), cast(1 as decimal(17,2))
+from {supplier} join {nation} on s_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey where s_suppkey % 4 = 1""",
     "lineage_box": f"""
 select s_suppkey as gid, 1000000 + s_suppkey as taxon_key, s_suppkey % 2 = 1 as is_extended, {_BOX} from {{supplier}}
 union all
@@ -206,6 +215,8 @@ def with_views(sql: str) -> str:
     body = _NAME.sub(r"\1", sql).strip()
     if not views:
         return body
+    if body.lower().startswith("with recursive"):
+        return f"with recursive {parts},\n{body[14:].lstrip()}"
     return f"with {parts},\n{body[4:].lstrip()}" if body.lower().startswith("with") else f"with {parts}\n{body}"
 
 

@@ -10,18 +10,18 @@ from pyspark.sql import types as T
 
 from catchlake.functions.columns import coef_of_variation
 
-TOTAL_DIGITS = 26
+TOTAL_DIGITS, TOTAL_SCALE = 26, 12
 
 
 def total(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
-    """Sum by key. A decimal total is kept at 26 digits so that later products stay exact."""
+    """Sum by key. A decimal total is kept at 26 digits, 12 of them after the point at most, so that later products fit."""
     summed = df.groupBy(*keys).agg(F.sum(column).alias(name))
     return narrowed(summed, name)
 
 
 def narrowed(df: DataFrame, *names: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema}
-    casts = {n: F.col(n).cast(T.DecimalType(TOTAL_DIGITS, kinds[n].scale))
+    casts = {n: F.col(n).cast(T.DecimalType(TOTAL_DIGITS, min(kinds[n].scale, TOTAL_SCALE)))
              for n in names if isinstance(kinds[n], T.DecimalType) and kinds[n].precision > TOTAL_DIGITS}
     return df.withColumns(casts)
 

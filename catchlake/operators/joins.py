@@ -55,7 +55,7 @@ def split_end_use(df: DataFrame, end_use: DataFrame, amounts: list[str], discard
 
     Where the discard rule holds, a discard goes to its own end use unscaled, once per end use it matches.
     """
-    share = F.coalesce("end_use_percentage", F.lit(1))
+    share = F.coalesce("end_use_percentage", F.lit(1).cast(end_use.schema["end_use_percentage"].dataType))
     use = F.coalesce("end_use_type_id", F.lit(DEFAULT_END_USE))
     rule = F.lit(discard_rule) if isinstance(discard_rule, bool) else discard_rule
     discard = rule & (F.col("catch_type_id") == DISCARD_CATCH_TYPE)
@@ -132,18 +132,25 @@ def allowed_pairs(df: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame
     return df.join(pairs.select(*keys), keys)
 
 
+SHARE_TYPE = "decimal(18,12)"
+
+
 def cell_weights(assignment: DataFrame, cell: DataFrame) -> DataFrame:
-    """Areas of each cell with the two water areas that make up the weight: one lookup for the large join."""
+    """Areas of each cell with the share of the cell's water that each has: one lookup for the large join.
+
+    The share keeps 12 digits after the point, so that a product with a catch of 18 digits fits whole and sums stay exact.
+    """
     assigned = assignment.select("marine_layer_id", "area_id", "cell_id", F.col("fao_area_id").alias("cell_fao_area_id"),
-                                 F.col("water_area").alias("assigned_water"))
-    return assigned.join(cell.select("cell_id", F.col("water_area").alias("cell_water")), "cell_id")
+                                 F.col("water_area").alias("_assigned"))
+    joined = assigned.join(cell.select("cell_id", F.col("water_area").alias("_water")), "cell_id")
+    return joined.withColumn("share", F.try_divide("_assigned", "_water").cast(SHARE_TYPE)).drop("_assigned", "_water")
 
 
 def area_weighted(result: DataFrame, weights: DataFrame) -> DataFrame:
     """Catch of each cell shared out to the areas the cell is assigned to, by water area (see cell_weights).
 
-    A cell without water gives NULL, which sums skip. The assignment's own FAO area comes along as cell_fao_area_id.
+    Rows keep all digits; they are rounded once, after they are summed. A cell without water gives NULL, which sums skip.
+    The assignment's own FAO area comes along as cell_fao_area_id.
     """
-    share = F.try_divide(F.col("allocated_catch") * F.col("assigned_water"), F.col("cell_water"))
     joined = result.join(weights, "cell_id")
-    return joined.withColumn("allocated_catch", share).drop("assigned_water", "cell_water")
+    return joined.withColumn("allocated_catch", F.col("allocated_catch") * F.col("share")).drop("share")

@@ -6,22 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catchlake.constants import RESULT_PARTITIONS
+from catchlake.operators.sizing import measured
+from catchlake.session import materialize
 
 
 def key_distribution(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def ranged(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """df in ranges of the key that hold about equal numbers of rows, numbered in the key's order as _stretch.
+
+    Ranges come from a sample of the rows, so they follow the keys' density, and a far key makes no difference. They are
+    written, since another run would sample other ranges.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(parts, key).withColumn("_stretch", F.spark_partition_id()), "ranged")
+
+
 def running_total(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Running sum of value in key order over one row per whole-number key, without one long window.
+    """Running sum of value in key order over one row per key, without one long window.
 
-    Keys are cut into about sqrt(span) equal stretches. One window runs inside each stretch, a second one over the
-    stretch totals, so neither holds more than about sqrt(span) rows.
+    One window runs inside each range of keys (see ranged), a second one over the totals of the ranges, of which there are as
+    many as shuffle partitions.
     """
-    span = (F.max(key) - F.min(key) + 1).cast("double")
-    ends = df.agg(F.struct(F.min(key).alias("low"), F.ceil(F.sqrt(span)).alias("width"))).scalar()
-    cut = df.withColumn("_ends", ends).withColumn(
-        "_stretch", F.floor((F.col(key) - F.col("_ends.low")) / F.col("_ends.width")).cast("bigint")).drop("_ends")
+    cut = ranged(df, key)
     totals = cut.groupBy("_stretch").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
@@ -60,6 +69,6 @@ def with_partition_id(df: DataFrame, ranges: DataFrame, key: str, stretches: int
     listed = ranges.withColumn("_ends", ends).select(
         "partition_id", low.alias("_lo"), high.alias("_hi"), F.explode(F.sequence(stretch(low), stretch(high))).alias("_stretch"))
     rows = df.withColumn("_ends", ends).withColumn("_stretch", stretch(F.col(key))).drop("_ends")
-    side = F.broadcast(listed)
+    side = measured(listed=listed)["listed"]
     found = rows.join(side, (rows["_stretch"] == side["_stretch"]) & F.col(key).between(F.col("_lo"), F.col("_hi")))
     return found.select(*df.columns, "partition_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,6 @@ def cell_catch(data, result, eez_ids, taxon, catch_type, reporting_status, years
     return enrich_cells(cell_sums(caught, result), taxon, catch_type, reporting_status)
 
 
-def refresh_year(cells: DataFrame, path: str) -> None:
-    """Write cell catch by year; only the years present in the frame are replaced."""
-    write_partitioned(cells, path, "year")
+def refresh_year(cells: DataFrame, path: str, years: Sequence[int] = ()) -> None:
+    """Write cell catch by year; the years present in the frame and those listed are replaced."""
+    write_partitioned(cells, path, "year", years)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from catchlake import constants as C
 from catchlake.functions.columns import has_key_prefix, money_text, tally_bucket
 from catchlake.operators.aggregates import with_bounds
-from catchlake.sources.writers import write_csv_per_entity
+from catchlake.sources.writers import CSV_OPTIONS, write_csv_per_entity
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -27,7 +28,7 @@ def csv_cache(fact: DataFrame, columns: Sequence[str], layer: int = C.RFMO,
     """
     rows = _entity_rows(fact, layer, exclude)
     return rows.select(F.lit(layer).alias("entity_layer_id"), F.col("main_area_id").alias("entity_id"),
-                       F.to_csv(F.struct(*columns)).alias("csv_data"))
+                       F.to_csv(F.struct(*columns), CSV_OPTIONS).alias("csv_data"))
 
 
 def write_csv_cache(fact: DataFrame, columns: Sequence[str], path: str, layer: int = C.RFMO,
@@ -88,30 +89,46 @@ def entity_treemap(sums: DataFrame, entity: DataFrame) -> DataFrame:
                           '{"id":0,"name":"All Fishing Entities","children":[', "]}")
 
 
-AFTER_ALL = "￿"
+AFTER_ALL, STEP = "\uffff", "\u0001"
+
+
+def taxon_walk(taxa: DataFrame, prefix: str) -> DataFrame:
+    """Every taxon that a walk down from the roots meets, with root_order and path: one step for each taxon on the way.
+
+    A taxon whose chain of parents has a gap is not met. Taxa that share a lineage are siblings, and what lies below the
+    lineage is met below each of them. One join for each level of the tree, of which there are few.
+    """
+    step = F.concat(F.element_at(F.split("lineage", r"\."), -1), F.lit(STEP), F.lpad(F.col("taxon_key").cast("string"), 20, "0"))
+    taxa = taxa.withColumn("step", step)
+    depth = taxa.agg(F.max(F.size(F.split("lineage", r"\.")))).first()[0] or 0
+    roots = taxa.filter((F.col("level") == 1) & has_key_prefix(F.col("taxon_key"), prefix))
+    found = [roots.select("*", F.col("common_name").alias("root_order"), F.array("step").alias("path"))]
+    for _ in range(depth - 1):
+        above = found[-1].select(F.col("lineage").alias("parent"), "root_order", F.col("path").alias("_above"))
+        below = taxa.filter(F.col("lineage") != F.col("parent")).join(above, "parent")
+        found.append(below.select(*taxa.columns, "root_order", F.concat("_above", F.array("step")).alias("path")))
+    return reduce(DataFrame.unionByName, found).drop("step")
 
 
 def taxon_tree(taxa: DataFrame, prefix: str, root_name: str) -> DataFrame:
     """The taxon tree as text pieces (root_order, path, text); read in that order they are one nested JSON document.
 
     A node opens in one piece and, if it has children, closes in another that sorts behind all its descendants. The
-    nesting comes out of the sort, so there is no fold per level and no node is gathered with its descendants.
+    nesting comes out of the sort, so no node is gathered with its descendants.
     """
-    path = F.split("lineage", r"\.")
     node = F.struct(F.col("taxon_key").alias("key"), F.col("common_name").alias("name"), "level", "lineage", "parent",
                     F.col("is_distribution_available").alias("is_dist"), F.col("is_extent_available").alias("is_extent"),
                     money_text(F.col("total_catch")).alias("total_catch"), money_text(F.col("total_value")).alias("total_value"))
     json = F.to_json(node, JSON_OPTIONS)
-    nodes = taxa.withColumns({"path": path, "root": F.element_at(path, 1), "body": F.substring(json, F.lit(1), F.length(json) - 1)})
-    roots = nodes.filter((F.col("level") == 1) & has_key_prefix(F.col("taxon_key"), prefix)).select(
-        "root", F.col("common_name").alias("root_order"))
-    nodes = nodes.join(roots, "root").withColumn("above", F.coalesce("parent", F.lit("")))
+    nodes = taxon_walk(taxa, prefix).select(
+        "root_order", "path", F.substring(json, F.lit(1), F.length(json) - 1).alias("body"),
+        F.slice("path", F.lit(1), F.size("path") - 1).alias("above"))
 
     # Order among children is (root name at the top level, own path below); the first one carries no comma.
     place = F.struct("root_order", "path")
     families = nodes.groupBy("above").agg(F.min(place).alias("first"))
-    parents = families.select(F.col("above").alias("lineage"), F.lit(True).alias("is_parent"))
-    nodes = nodes.join(families, "above").join(parents, "lineage", "left")
+    parents = families.select(F.col("above").alias("path"), F.lit(True).alias("is_parent"))
+    nodes = nodes.join(families, "above").join(parents, "path", "left")
     comma = F.when(place == F.col("first"), F.lit("")).otherwise(F.lit(","))
     opened = F.concat(comma, "body", F.when(F.col("is_parent"), F.lit(',"children":[')).otherwise(F.lit("}")))
     closed = F.struct(F.concat("path", F.array(F.lit(AFTER_ALL))).alias("path"), F.lit("]}").alias("text"))

@@ -28,6 +28,9 @@ DATA_KEYS = (
     "sector_type_id",
 )
 
+#: Prices have ten digits before the point at most, and amounts 12 after it, so that a product has room for all of them.
+PRICE_TYPE, AMOUNT_TYPE = "decimal(12,2)", "decimal(26,12)"
+
 AREA_KEYS = ("marine_layer_id", "main_area_id", "sub_area_id")
 
 
@@ -90,7 +93,7 @@ def catch_by_dimensions(rows: DataFrame, data: DataFrame, unit_price: bool) -> D
     sums = [F.sum("total_catch").alias("catch")]
     wanted = ["universal_data_id", *DATA_KEYS]
     if unit_price:
-        sums.append(F.sum(F.col("unit_price") * F.col("total_catch")).alias("catch_value"))
+        sums.append(F.sum(F.col("unit_price").cast(PRICE_TYPE) * F.col("total_catch").cast(AMOUNT_TYPE)).alias("catch_value"))
         wanted.append("unit_price")
     joined = rows.join(data.select(*wanted), "universal_data_id")
     grouped = joined.groupBy(*AREA_KEYS, "eez_id", *DATA_KEYS).agg(*sums)
@@ -121,7 +124,7 @@ def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame],
         # A layer at unit price must not be repeated by the price table, so it brings no end use to that join.
         rows = rows.withColumns({"_use": F.col("end_use_type_id"), "end_use_type_id": F.when(priced, F.col("end_use_type_id"))})
         rows = with_price(rows, dims["price"]).withColumn("end_use_type_id", F.col("_use")).drop("_use")
-        value = F.coalesce("price", F.lit(C.DEFAULT_UNIT_PRICE)) * F.col("catch")
+        value = F.coalesce("price", F.lit(C.DEFAULT_UNIT_PRICE)).cast(PRICE_TYPE) * F.col("catch").cast(AMOUNT_TYPE)
         rows = rows.withColumn("catch_value", F.when(priced, value).otherwise(F.col("catch_value")) if at_unit_price else value)
     if any_layer(lambda x: x.score == "lookup"):
         rows = with_score(rows, dims["scores"])

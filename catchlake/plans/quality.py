@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import and_
 
@@ -59,6 +59,6 @@ def run_rules(df: DataFrame, rules: Mapping[int, str], key: str) -> DataFrame:
     return df.select(F.explode(F.array_compact(broken)).alias("rule_id"), F.col(key))
 
 
-def write_rule_results(violations: DataFrame, path: str) -> None:
-    """Replace the result of the rules that were run and of no others."""
-    write_partitioned(violations, path, "rule_id")
+def write_rule_results(violations: DataFrame, path: str, rules: Iterable[int]) -> None:
+    """Replace the result of the rules that were run, also of those that find nothing any more, and of no others."""
+    write_partitioned(violations, path, "rule_id", list(rules))

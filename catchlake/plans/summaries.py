@@ -63,11 +63,10 @@ def summarize_ifa(result, weights) -> DataFrame:
     return total(named, [ID, "eez_id", "fao_area_id"], "allocated_catch", "total_catch")
 
 
-def summarize_global(eez: DataFrame, high_seas: DataFrame) -> DataFrame:
-    """Area 1 is all EEZ catch of an id, area 2 all its high seas catch."""
-    parts = [total(part, [ID], "total_catch", "total_catch").withColumn("area_id", F.lit(area))
-             for area, part in ((1, eez), (2, high_seas))]
-    return parts[0].unionByName(parts[1]).select(ID, "area_id", "total_catch")
+def summarize_global(simple: DataFrame) -> DataFrame:
+    """Area 1 is all EEZ catch of an id, area 2 all its high seas catch; both from one pass (see simple_base)."""
+    area = F.when(F.col("eez_id") > 0, 1).otherwise(2)
+    return total(simple.withColumn("area_id", area), [ID, "area_id"], "total_catch", "total_catch")
 
 
 def two_step_summary(result, weights, simple_area, layer: int, name: str, pairs: DataFrame | None = None) -> DataFrame:
@@ -118,7 +117,8 @@ def weighted_base(result, weights, simple_area, layer_pairs: DataFrame) -> DataF
     rows = rows.join(areas, "allocation_simple_area_id", "left").filter(ifa | F.col("_known"))
     rows = rows.join(layer_pairs, ["marine_layer_id", "area_id", "fao_area_id"], "left")
     rows = rows.filter(~F.col("marine_layer_id").isin(*PAIRED_LAYERS) | F.col("times_listed").isNotNull())
-    weight = F.col("allocated_catch") * F.coalesce("times_listed", F.lit(1))
+    catch = F.col("allocated_catch")  # a product with a count has no room for all digits, so only pairs listed twice take it
+    weight = F.when(F.col("times_listed") > 1, catch.cast("decimal(26,12)") * F.col("times_listed").cast("int")).otherwise(catch)
     rows = rows.withColumns({"eez_id": _only(~ifa, "eez_id"), "cell_fao_area_id": _only(ifa, "cell_fao_area_id"),
                              "allocated_catch": weight})
     return total(rows, ["marine_layer_id", ID, "area_id", "eez_id", "cell_fao_area_id"], "allocated_catch", "total_catch")
@@ -150,5 +150,5 @@ def summarize_all(result, weights, simple_area, layer_pairs, keep=lambda df, nam
         "rfmo": of(C.RFMO).select(ID, F.col("area_id").alias("rfmo_id"), "eez_id", "total_catch"),
         "ifa": of(C.IFA).select(ID, F.col("area_id").alias("eez_id"), F.col("cell_fao_area_id").alias("fao_area_id"),
                                 "total_catch"),
-        "global": summarize_global(eez, high_seas),
+        "global": summarize_global(simple),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -36,13 +36,15 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach. Taken from the session; made up only where the session names none."""
+    """The folder all executors can reach, as the session names it. A session whose executor is the driver's own process, and
+    no other, is given a temporary folder where it names none."""
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"{CHECKPOINT_KEY} is not set; name a folder that every executor can reach")
-    return os.path.join(tempfile.gettempdir(), "catchlake-shared")
+    spark.conf.set(CHECKPOINT_KEY, tempfile.mkdtemp(prefix="catchlake-"))
+    return spark.conf.get(CHECKPOINT_KEY)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catchlake.operators.partitions import with_partition_id
-from catchlake.sources.writers import NULL_TEXT
+from catchlake.sources.writers import CSV_OPTIONS, ESCAPES, NULL_TEXT, full_refresh
 
 # JDBC address by kind of server.
 JDBC_URLS = {
@@ -17,6 +18,11 @@ JDBC_URLS = {
     "sqlserver": "jdbc:sqlserver://{server}:{port};databaseName={dbname}",
 }
 
+#: What the parser puts for a value that is not there; no text is this.
+NO_TEXT = "\u0000NULL\u0000"
+
+CLAUSE = re.compile(r"(where|group\s+by|having|order\s+by|limit|join|inner|left|right|full|cross|union)\b", re.IGNORECASE)
+
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType(), False),
     T.StructField("source_database_name", T.StringType()),
@@ -33,31 +39,35 @@ MANIFEST_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class SourceTable:
-    """What to read of one table. `where` is a condition without the word WHERE."""
+    """What to read of one table. `clause` is what follows the table in a query; a bare condition is given its WHERE."""
 
     table: str
     select: str = "*"
-    where: str | None = None
+    clause: str = ""
     excluded: tuple[str, ...] = ()
     key: str | None = None
     threads: int = 8
 
     @classmethod
     def from_manifest(cls, row) -> "SourceTable":
-        where = (row["source_where_clause"] or "").strip()
-        if where.lower().startswith("where "):
-            where = where[6:]
-        return cls(row["source_table_name"], row["source_select_clause"] or "*", where or None,
+        clause = (row["source_where_clause"] or "").strip()
+        if clause and not CLAUSE.match(clause):
+            clause = f"where {clause}"
+        return cls(row["source_table_name"], row["source_select_clause"] or "*", clause,
                    tuple(row["target_excluded_columns"] or ()), row["source_key_column"], row["number_of_threads"] or 8)
 
     @property
     def query(self) -> str:
-        return f"select {self.select} from {self.table}" + (f" where {self.where}" if self.where else "")
+        return f"select {self.select} from {self.table} {self.clause}".rstrip()
 
 
 @dataclass(frozen=True)
 class JdbcReader:
-    """Reads through Spark's JDBC source; with key bounds the read is split into ranges of the key."""
+    """Reads through Spark's JDBC source, split by the source's key: into equal ranges between bounds, or by a partition map.
+
+    A source with a key and several threads must have bounds, be it those that key_bounds asks the database for; it is
+    never read by one task in silence.
+    """
 
     kind: str
     server: str
@@ -66,10 +76,15 @@ class JdbcReader:
     properties: dict[str, str] = field(default_factory=dict)
     bounds: dict[str, tuple[int, int]] = field(default_factory=dict)
 
+    @property
+    def url(self) -> str:
+        return JDBC_URLS[self.kind].format(server=self.server, port=self.port, dbname=self.dbname)
+
     def options(self, source: SourceTable) -> dict[str, str]:
-        options = dict(self.properties, url=JDBC_URLS[self.kind].format(
-            server=self.server, port=self.port, dbname=self.dbname), dbtable=f"({source.query}) source")
-        if source.key and source.table in self.bounds:
+        options = dict(self.properties, url=self.url, dbtable=f"({source.query}) source")
+        if source.key and source.threads > 1:
+            if source.table not in self.bounds:
+                raise ValueError(f"{source.table} has the key {source.key} but no bounds; see key_bounds and predicates")
             low, high = self.bounds[source.table]
             options |= {"partitionColumn": source.key, "lowerBound": str(low), "upperBound": str(high),
                         "numPartitions": str(source.threads)}
@@ -78,6 +93,33 @@ class JdbcReader:
     def read(self, spark: SparkSession, source: SourceTable) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options(source)).load()
 
+    def bounds_options(self, source: SourceTable) -> dict[str, str]:
+        """What asks the database for the least and the largest key of a source, in one row."""
+        ends = f"(select min({source.key}) as low, max({source.key}) as high from ({source.query}) source) ends"
+        return dict(self.properties, url=self.url, dbtable=ends)
+
+    def key_bounds(self, spark: SparkSession, source: SourceTable) -> tuple[int, int]:
+        row = spark.read.format("jdbc").options(**self.bounds_options(source)).load().first()
+        return row["low"], row["high"]
+
+    def read_ranges(self, spark: SparkSession, source: SourceTable, ranges: DataFrame) -> DataFrame:
+        """One task for each range of a partition map, of about equal numbers of rows."""
+        return spark.read.jdbc(self.url, f"({source.query}) source", predicates=predicates(ranges, source.key),
+                               properties=dict(self.properties))
+
+    def write_options(self, table: str) -> dict[str, str]:
+        return dict(self.properties, url=self.url, dbtable=table)
+
+    def write(self, df: DataFrame, table: str) -> None:
+        """Append to a table of the database."""
+        df.write.format("jdbc").options(**self.write_options(table)).mode("append").save()
+
+
+def predicates(ranges: DataFrame, key: str) -> list[str]:
+    """A condition for each range of a partition map, which has as many rows as the read has tasks."""
+    rows = ranges.orderBy("partition_id").collect()
+    return [f"{key} between {r['begin_universal_data_id']} and {r['end_universal_data_id']}" for r in rows]
+
 
 @dataclass(frozen=True)
 class ParquetReader:
@@ -87,15 +129,26 @@ class ParquetReader:
 
     def read(self, spark: SparkSession, source: SourceTable) -> DataFrame:
         df = spark.read.parquet(f"{self.root}/{source.table}.parquet")
-        if source.where:
-            df = df.filter(F.expr(source.where))
-        return df if source.select == "*" else df.selectExpr(*[c.strip() for c in source.select.split(",")])
+        return spark.sql(f"select {source.select} from {{source}} {source.clause}", source=df)
 
 
 def read_source(spark: SparkSession, source: SourceTable, reader) -> DataFrame:
     return reader.read(spark, source).drop(*source.excluded)
 
 
+def pull_all(spark: SparkSession, manifest: DataFrame, reader, root: str) -> list[str]:
+    """Read every row of a manifest in id order, leave out its excluded columns and replace the target table by it.
+
+    Gives the tables' paths in that order. A manifest has a row for each table, so it is small.
+    """
+    paths = []
+    for row in manifest.orderBy("id").collect():
+        source = SourceTable.from_manifest(row)
+        paths.append(f"{root}/{row['target_schema_name']}/{row['target_table_name']}")
+        full_refresh(reader.read(spark, source), paths[-1], source.excluded)
+    return paths
+
+
 def manifest_for(manifest: DataFrame, schema: str | None = None, database: str | None = None) -> DataFrame:
     """Manifest rows of a target schema, or of a source database whatever its case, in id order."""
     if schema is not None:
@@ -111,9 +164,26 @@ def pull_by_partition(result: DataFrame, ranges: DataFrame) -> DataFrame:
     return with_partition_id(caught, ranges, "universal_data_id")
 
 
+def unescaped(column: Column) -> Column:
+    """A value of COPY text. Doubled backslashes are cut out first, so that what follows one is never taken for an escape."""
+    def plain(part: Column) -> Column:
+        for char, mark in ESCAPES[1:]:
+            part = F.replace(part, F.lit(mark), F.lit(char))
+        return part
+
+    whole = F.array_join(F.transform(F.split(column, r"\\\\"), plain), "\\")
+    return F.when(column != NULL_TEXT, whole)
+
+
 def read_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Tab-separated UTF-8 text with \\N for NULL, typed by an explicit schema."""
-    return spark.read.schema(schema).options(sep="\t", nullValue=NULL_TEXT, encoding="UTF-8").csv(path)
+    """The text format of COPY (see writers.write_text), typed by an explicit schema."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.split("value", "\t").alias("_values"))
+    return lines.select(*[unescaped(F.get("_values", F.lit(i))).cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header as the writers make it: line ends may stand inside quotes, and an empty text is quoted, unlike NULL."""
+    return spark.read.schema(schema).options(header=True, multiLine=True, nullValue=NO_TEXT, **CSV_OPTIONS).csv(path)
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*.shp") -> DataFrame:

@@ -4,18 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchlake.constants import YEAR_COPY_COLUMNS
+from catchlake.session import materialize
 
 NULL_TEXT = "\\N"
+#: In the order of writing; the backslash first.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\u0000", "\\x00"))
+#: Blanks at the ends stay, and a quote is doubled, so that any text is read as it was written.
+CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def write_partitioned(df: DataFrame, path: str, *keys: str) -> None:
-    """Parquet by key; a rerun replaces the partitions it writes and leaves the others."""
-    spread = df.hint("rebalance", *keys)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+def write_partitioned(df: DataFrame, path: str, key: str, refreshed: Sequence[int | str] = ()) -> None:
+    """Parquet by key; a rerun replaces the partitions it writes and leaves the others.
+
+    refreshed lists the partitions that the frame is the whole new content of: those of them that have no rows any more are
+    emptied. The frame is written once, aside, to know which these are; the target changes only when it is complete.
+    """
+    if refreshed:
+        df = materialize(df, "refresh")
+    spread = df.hint("rebalance", key)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    if refreshed:
+        wanted = df.filter(F.col(key).isin(*refreshed)).select(F.col(key).cast("string")).distinct()
+        present = {row[0] for row in wanted.collect()}  # no more rows than refreshed has
+        nothing = df.drop(key).limit(0).coalesce(1)
+        for value in refreshed:
+            if str(value) not in present:
+                nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{key}={value}")
 
 
 def full_refresh(df: DataFrame, path: str, exclude: Sequence[str] = ()) -> None:
@@ -28,9 +46,9 @@ def write_summary(df: DataFrame, root: str, area_type: str) -> None:
     full_refresh(df, f"{root}/{area_type}")
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Replace the layers present in the frame, so that a rerun cannot double them."""
-    write_partitioned(fact, path, "marine_layer_id")
+def write_fact(fact: DataFrame, path: str, layers: Sequence[int] = ()) -> None:
+    """Replace the layers present in the frame and those listed, so that a rerun neither doubles rows nor keeps old ones."""
+    write_partitioned(fact, path, "marine_layer_id", layers)
 
 
 def write_by_year(data: DataFrame, path: str, columns: Sequence[str] = YEAR_COPY_COLUMNS) -> None:
@@ -39,15 +57,24 @@ def write_by_year(data: DataFrame, path: str, columns: Sequence[str] = YEAR_COPY
     spread.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("year").parquet(path)
 
 
+def escaped(column: Column) -> Column:
+    """A value as COPY text: backslash, tab, line ends and zero are written with a backslash, NULL as \\N."""
+    out = column.cast("string")
+    for plain, mark in ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(mark))
+    return F.coalesce(out, F.lit(NULL_TEXT))
+
+
 def write_text(df: DataFrame, path: str) -> None:
-    """Tab-separated UTF-8 text with \\N for NULL."""
-    df.write.mode("overwrite").options(sep="\t", nullValue=NULL_TEXT, encoding="UTF-8").csv(path)
+    """One line of UTF-8 for each row, in the text format of COPY: values parted by tabs, \\N for NULL."""
+    line = F.concat_ws("\t", *[escaped(F.col(c)) for c in df.columns])
+    df.select(line.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
 def write_csv_per_entity(df: DataFrame, key: str, path: str) -> None:
     """One folder of CSV per entity, each file with a header; entities without rows have no folder."""
     spread = df.hint("rebalance", key)
-    spread.write.mode("overwrite").partitionBy(key).option("header", True).csv(path)
+    spread.write.mode("overwrite").partitionBy(key).options(header=True, **CSV_OPTIONS).csv(path)
 
 
 def write_json_doc(lines: DataFrame, order: Sequence[str], path: str, text: str = "text") -> None:

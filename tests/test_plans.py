@@ -41,7 +41,7 @@ def test_four_weighted_layers_share_one_scan(tables):
 
 def test_scan_reads_only_what_is_used(tables):
     text = plan(summaries.summarize_eez(tables.allocation_result, tables.allocation_simple_area))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double>" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_quantity:double>" in text
 
 
 def test_fact_uses_hash_aggregates_and_no_products(tables):

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from catchlake.checks import CHECKS
 from catchlake.fixtures import BASE_TABLES, VIEWS, Tables, with_views
 from conftest import FOLDER
 
@@ -37,7 +38,7 @@ def test_view(spark, duck, name):
     same(getattr(Tables(spark, FOLDER), name), *answer(duck, with_views(f"select * from {{{name}}}")))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_query(spark, duck, name):
     same(QUERIES[name](spark, FOLDER), *answer(duck, ORACLES[name]))
 

@@ -1,13 +1,15 @@
 """Sources and sinks."""
 
 from catchlake.operators.partitions import key_distribution, partition_map
-from catchlake.plans import documents
+import pytest
+
+from catchlake.plans import documents, quality
 from catchlake.session import shared_dir, shared_path
 from catchlake.sources import readers, writers
 
 
 def test_jdbc_options():
-    source = readers.SourceTable("allocation_result", select="*", where="AllocatedCatch > 0", key="id", threads=16)
+    source = readers.SourceTable("allocation_result", select="*", clause="where AllocatedCatch > 0", key="id", threads=16)
     reader = readers.JdbcReader("postgres", "db.example.com", 5432, "catch", {"user": "u"}, {"allocation_result": (1, 900)})
     options = reader.options(source)
     assert options["url"] == "jdbc:postgresql://db.example.com:5432/catch"
@@ -20,8 +22,54 @@ def test_jdbc_options():
 def test_manifest_choice_and_order(spark):
     from catchlake.checks.movement import MANIFEST_ROWS
     manifest = spark.createDataFrame(MANIFEST_ROWS, readers.MANIFEST_SCHEMA)
-    assert [r["id"] for r in readers.manifest_for(manifest, database="catch").collect()] == [1, 2]
-    assert [r["id"] for r in readers.manifest_for(manifest, schema="master").collect()] == [1, 3]
+    assert [r["id"] for r in readers.manifest_for(manifest, database="catch").collect()] == [1, 2, 4, 5]
+    assert [r["id"] for r in readers.manifest_for(manifest, schema="master").collect()] == [1, 3, 5]
+
+
+def test_clauses_stay_as_they_are():
+    def clause(text):
+        return readers.SourceTable.from_manifest({
+            "source_table_name": "t", "source_select_clause": None, "source_where_clause": text, "target_excluded_columns": None,
+            "source_key_column": None, "number_of_threads": None}).query
+    assert clause("GROUP BY UniversalDataID") == "select * from t GROUP BY UniversalDataID"
+    assert clause("where a = 1 group by b") == "select * from t where a = 1 group by b"
+    assert clause("a = 1 and wherever = 2") == "select * from t where a = 1 and wherever = 2"
+    assert clause(" ") == clause(None) == "select * from t"
+
+
+def test_keyed_tables_are_never_read_by_one_task(spark):
+    source = readers.SourceTable("allocation_result", key="id", threads=150)
+    reader = readers.JdbcReader("postgres", "db.example.com", 5432, "catch", {"user": "u"})
+    with pytest.raises(ValueError, match="no bounds"):
+        reader.options(source)
+    ends = reader.bounds_options(source)["dbtable"]
+    assert ends == "(select min(id) as low, max(id) as high from (select * from allocation_result) source) ends"
+    ranges = spark.createDataFrame([(2, 8, 20, 3), (1, 1, 7, 4)], "partition_id int, begin_universal_data_id long, end_universal_data_id long, record_count long")
+    assert readers.predicates(ranges, "id") == ["id between 1 and 7", "id between 8 and 20"]
+    assert reader.write_options("log.errors") == {"user": "u", "url": "jdbc:postgresql://db.example.com:5432/catch", "dbtable": "log.errors"}
+
+
+def test_listed_partitions_are_emptied(spark):
+    path = shared_path(spark, "refresh-test")
+    schema = "rule_id int, id int"
+    quality.write_rule_results(spark.createDataFrame([(1, 10), (2, 20), (3, 30)], schema), path, [1, 2, 3])
+    quality.write_rule_results(spark.createDataFrame([(1, 11)], schema), path, [1, 2])
+    assert {(r["rule_id"], r["id"]) for r in spark.read.parquet(path).collect()} == {(1, 11), (3, 30)}
+    quality.write_rule_results(spark.createDataFrame([], schema), path, [1, 3])
+    assert spark.read.parquet(path).count() == 0
+
+
+HARD = ["", "\\N", "\\", "\\\\n", "\\n", "a\tb", " x ", "\r\n", "\n", '"', '","', "\u0000", "é", "\\t\t\\", None]
+
+
+def test_texts_come_back_as_they_were(spark):
+    df = spark.createDataFrame(list(enumerate(HARD)), "id int, name string")
+    path = shared_path(spark, "text-test")
+    writers.write_text(df, path)
+    assert dict(readers.read_text(spark, path, df.schema).collect()) == dict(enumerate(HARD))
+    path = shared_path(spark, "csv-test")
+    writers.write_csv_per_entity(df.selectExpr("1 AS entity", "*"), "entity", path)
+    assert {r["id"]: r["name"] for r in readers.read_csv(spark, path, df.schema).collect()} == dict(enumerate(HARD))
 
 
 def test_text_keeps_nulls_and_letters(spark):
