@@ -46,13 +46,13 @@ def f05(t):
 
 
 LOWEST_PRICE = """
-with lowest as (select year, fishing_entity_id, taxon_key, price from {price}
+with lowest as (select year, fishing_entity_id, taxon_key, end_use_type_id, price from {price}
   qualify row_number() over (partition by year, fishing_entity_id, taxon_key order by end_use_type_id) = 1)
 """
 
 
 @check("f06_update_price", LOWEST_PRICE + """
-select universal_data_id, coalesce(p.price, d.unit_price) as unit_price from {allocation_data} d
+select universal_data_id, case when p.end_use_type_id is not null then p.price else d.unit_price end as unit_price from {allocation_data} d
 left join lowest p on p.year = d.year and p.fishing_entity_id = d.fishing_entity_id and p.taxon_key = d.taxon_key""")
 def f06(t):
     return clean.update_price(t.allocation_data, t.price).select("universal_data_id", "unit_price")

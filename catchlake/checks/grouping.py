@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catchlake.checks.registry import check, spark_of
+from catchlake.checks.registry import check, in_order, spark_of
 from catchlake.operators import aggregates as A
 from catchlake.operators.joins import uncertainty_periods, with_score
 from catchlake.operators.windows import with_run
@@ -117,14 +117,20 @@ def a13(t):
     return t.allocation_data.select("fishing_entity_id", "taxon_key", "year").distinct()
 
 
-@check("o01_multi_key_sort", "select main_area_id, year, taxon_key, catch_sum from {stock_fact} order by 1, 2, 3, 4")
+@check("o01_multi_key_sort", """
+select main_area_id, year, taxon_key, catch_sum, cast(row_number() over (order by main_area_id nulls first, year nulls first,
+  taxon_key nulls first, catch_sum nulls first) as int) as position from {stock_fact}""")
 def o01(t):
-    return t.stock_fact.select("main_area_id", "year", "taxon_key", "catch_sum").orderBy("main_area_id", "year", "taxon_key", "catch_sum")
+    rows = t.stock_fact.select("main_area_id", "year", "taxon_key", "catch_sum").orderBy("main_area_id", "year", "taxon_key", "catch_sum")
+    return in_order(rows, "sorted")
 
 
-@check("o02_descending_nulls_first", "select universal_data_id, unit_price from {allocation_data} order by unit_price desc nulls first")
+@check("o02_descending_nulls_first", """
+select universal_data_id, unit_price, cast(row_number() over (order by unit_price desc nulls first, universal_data_id) as int) as position
+from {allocation_data}""")
 def o02(t):
-    return t.allocation_data.select("universal_data_id", "unit_price").orderBy(F.col("unit_price").desc_nulls_first())
+    rows = t.allocation_data.select("universal_data_id", "unit_price")
+    return in_order(rows.orderBy(F.col("unit_price").desc_nulls_first(), "universal_data_id"), "sorted")
 
 
 @check("o04_first_per_key", """
@@ -162,10 +168,12 @@ def u03(t):
 
 
 @check("w02_forward_run", """
-with annual as (select main_area_id, taxon_key, year, sum(catch_sum) as catch from {stock_fact} group by 1, 2, 3)
-select main_area_id, taxon_key, year, cast(catch as decimal(28,4)) as catch, cast(case when coalesce(catch, 0) = 0 then 0 else
-  sum(case when coalesce(catch, 0) = 0 then 0 else 1 end) over (partition by main_area_id, taxon_key order by year
-    rows between current row and 4 following) end as int) as positive_catch_count from annual""")
+with annual as (select main_area_id, taxon_key, year, sum(catch_sum) as catch, row_number() over (partition by main_area_id, taxon_key
+  order by year) as place from {stock_fact} group by 1, 2, 3)
+select a.main_area_id, a.taxon_key, a.year, cast(any_value(a.catch) as decimal(28,4)) as catch,
+  cast(count(*) filter (where a.catch <> 0 and b.catch <> 0) as int) as positive_catch_count
+from annual a join annual b on b.main_area_id = a.main_area_id and b.taxon_key = a.taxon_key and b.place between a.place and a.place + 4
+group by a.main_area_id, a.taxon_key, a.year""")
 def w02(t):
     annual = t.stock_fact.groupBy("main_area_id", "taxon_key", "year").agg(F.sum("catch_sum").cast("decimal(28,4)").alias("catch"))
     return with_run(annual, ["main_area_id", "taxon_key"], "year", "catch")

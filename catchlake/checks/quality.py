@@ -4,37 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catchlake.checks.registry import check, spark_of
+from catchlake.checks.registry import check, in_order, spark_of
 from catchlake.operators.sizing import measured
 from catchlake.plans import documents, quality
 from catchlake.session import materialize, shared_path
 
 
 @check("q07_catch_fluctuation", """
-select name, a.main_area_id as area_id, layer_name, round(coevar, 8) as coevar from (
-  select area_key, sqrt(var_samp(cast(catch as double))) / avg(catch) as coevar from (
-    select area_key, year, sum(catch_sum) as catch from {stock_fact} group by 1, 2) b group by 1) s
+with annual as (select area_key, year, sum(catch_sum) as catch from {stock_fact} group by all),
+spread as (select area_key, sqrt(var_samp(cast(catch as double))) / avg(catch) as coevar from annual group by all)
+select name, a.main_area_id as area_id, layer_name, round(coevar, 8) as coevar,
+  cast(row_number() over (order by coevar desc nulls first, a.main_area_id, layer_name) as int) as position from spread s
 join {area} a on a.area_key = s.area_key join {entity_name} n on n.marine_layer_id = a.marine_layer_id and n.id = a.main_area_id""")
 def q07(t):
     d = measured(area=t.area, names=t.entity_name)
-    return quality.catch_fluctuation(t.stock_fact, d["area"], d["names"]).withColumn("coevar", F.round("coevar", 8))
+    report = in_order(quality.catch_fluctuation(t.stock_fact, d["area"], d["names"]), "fluctuation")
+    return report.withColumn("coevar", F.round("coevar", 8))
 
 
 @check("q08_compare_distribution", """
-with wet as (select cell_id from {cell} where water_area > 0),
-gone as (select o.taxon_key, count(*) as n from {taxon_distribution} o
-  left join {new_distribution} v on v.taxon_key = o.taxon_key and v.cell_id = o.cell_id
-  where o.cell_id in (select cell_id from wet) and v.relative_abundance is null
-  and o.taxon_key in (select taxon_key from {new_distribution}) group by 1),
-before as (select taxon_key, count(*) as n from {taxon_distribution} where relative_abundance > 0
-  and cell_id in (select cell_id from wet) group by 1),
-after_ as (select taxon_key, count(*) as n from {new_distribution} where relative_abundance > 0
-  and cell_id in (select cell_id from wet) group by 1)
-select t.common_name, g.taxon_key, g.n as cells_now_missing, b.n as old_cells, a.n as new_cells
-from gone g join before b on b.taxon_key = g.taxon_key join {taxon_name} t on t.taxon_key = g.taxon_key
-left join after_ a on a.taxon_key = g.taxon_key""")
+with compared as (
+  select coalesce(o.taxon_key, v.taxon_key) as taxon_key, o.cell_id is not null as was, v.cell_id is not null as is_now,
+    o.relative_abundance as old_share, v.relative_abundance as new_share, c.cell_id is not null as wet
+  from {taxon_distribution} o full join {new_distribution} v on v.taxon_key = o.taxon_key and v.cell_id = o.cell_id
+  left join (select cell_id from {cell} where water_area > 0) c on c.cell_id = coalesce(o.cell_id, v.cell_id))
+select common_name, taxon_key, count(*) filter (where was and wet and new_share is null) as cells_now_missing,
+  count(*) filter (where wet and old_share > 0) as old_cells, nullif(count(*) filter (where wet and new_share > 0), 0) as new_cells,
+  cast(row_number() over (order by count(*) filter (where was and wet and new_share is null) desc, taxon_key) as int) as position
+from compared join {taxon_name} using (taxon_key) group by common_name, taxon_key
+having cells_now_missing > 0 and old_cells > 0 and count(*) filter (where is_now) > 0""")
 def q08(t):
-    return quality.compare_distribution(t.taxon_distribution, t.new_distribution, t.cell, t.taxon_name)
+    return in_order(quality.compare_distribution(t.taxon_distribution, t.new_distribution, t.cell, t.taxon_name), "comparison")
 
 
 RULES = {

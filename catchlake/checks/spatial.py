@@ -8,6 +8,7 @@ from catchlake.checks.registry import check
 from catchlake.functions.columns import ring_area
 from catchlake.operators import grid as G
 from catchlake.plans import extents
+from catchlake.session import materialize
 
 MEET = "b.xmin <= g.xmax and g.xmin <= b.xmax and b.ymin <= g.ymax and g.ymin <= b.ymax"
 CLIP = f"""
@@ -73,7 +74,7 @@ where n.cell_id is null"""
 
 @check("g06_outside_extent", OUTSIDE)
 def g06(t):
-    return G.outside_extent(t.taxon_distribution, t.grid, t.taxon_extent_box)
+    return G.outside_extent(t.taxon_distribution, t.grid, t.taxon_extent_box, keep=materialize)
 
 
 CHILDREN = """

@@ -7,55 +7,67 @@ from pyspark.sql import functions as F
 from catchlake import constants as C
 from catchlake.checks.registry import check
 from catchlake.functions.columns import percent2
+from catchlake.operators.aggregates import with_bounds
 from catchlake.operators.partitions import key_distribution, running_total
 from catchlake.operators.windows import centred_mean, with_peak, with_post_peak_min
 from catchlake.plans import stocks as Q
 from catchlake.session import materialize
 
-# The SQL works with tables a step at a time; smoothed values are kept as exact sums of one to three whole numbers.
+# The SQL states the definitions over sets: ordered aggregates joined back, self joins on places, and a table of rules.
 SERIES = """
-annual as (select main_area_id, taxon_key, year, cast(sum(catch_sum) as decimal(20,0)) as catch from {stock_fact}
-  where marine_layer_id in (1, 2) group by 1, 2, 3),
-series as (select k.main_area_id, k.taxon_key, y.time_business_key as year, a.catch
-  from (select distinct main_area_id, taxon_key from annual) k cross join {stock_years} y
-  left join annual a on a.main_area_id = k.main_area_id and a.taxon_key = k.taxon_key and a.year = y.time_business_key),
-marked as (select *, first(year) over p as peak_year, first(catch) over p as peak_catch_sum,
-  case when coalesce(catch, 0) = 0 then 0 else sum(case when coalesce(catch, 0) = 0 then 0 else 1 end) over (
-    partition by main_area_id, taxon_key order by year rows between current row and 4 following) end as run
-  from series window p as (partition by main_area_id, taxon_key order by coalesce(catch, 0) desc, year)),
-kept as (select main_area_id, taxon_key, max(year) as final_year from marked where coalesce(catch, 0) > 0 group by 1, 2
-  having sum(catch) >= 1000 and max(year) - min(year) + 1 >= 10 and max(run) >= 5),
-collated as (select m.main_area_id, m.taxon_key, m.year, m.catch as catch_sum, m.peak_year, m.peak_catch_sum, k.final_year,
-  first(m.year) over q as post_peak_min_year, first(m.catch) over q as post_peak_min_catch_sum
-  from marked m join kept k on k.main_area_id = m.main_area_id and k.taxon_key = m.taxon_key where coalesce(m.catch, 0) <> 0
-  window q as (partition by m.main_area_id, m.taxon_key
-    order by case when m.year > m.peak_year then m.catch end asc nulls last, m.year))"""
-
+yearly as (select main_area_id, taxon_key, year, cast(sum(catch_sum) as decimal(20,0)) as tonnes from {stock_fact}
+  where marine_layer_id in (1, 2)
+    and taxon_key not in (100000, 100011, 100025, 100039, 100047, 100058, 100077, 100139, 100239, 100339) group by all),
+calendar as (select time_business_key as year, row_number() over (order by time_business_key) as place from {stock_years}),
+cells_of_years as (select s.main_area_id, s.taxon_key, c.year, c.place, y.tonnes
+  from (select distinct main_area_id, taxon_key from yearly) s cross join calendar c left join yearly y using (main_area_id, taxon_key, year)),
+peaks as (select main_area_id, taxon_key, arg_max(year, {'size': coalesce(tonnes, 0), 'early': -year}) as peak_year from cells_of_years group by all),
+tops as (select p.*, c.tonnes as peak_catch_sum from peaks p join cells_of_years c on c.main_area_id = p.main_area_id and c.taxon_key = p.taxon_key
+  and c.year = p.peak_year),
+caught as (select * from cells_of_years where tonnes > 0),
+large as (select main_area_id, taxon_key, max(year) as final_year from caught group by all
+  having sum(tonnes) >= 1000 and max(year) - min(year) >= 9),
+steady as (select distinct a.main_area_id, a.taxon_key from caught a join caught b on b.main_area_id = a.main_area_id and b.taxon_key = a.taxon_key
+  and b.place - a.place between 0 and 4 group by a.main_area_id, a.taxon_key, a.place having count(*) = 5),
+stocks as (select t.*, l.final_year from tops t join large l using (main_area_id, taxon_key) semi join steady using (main_area_id, taxon_key)),
+troughs as (select s.main_area_id, s.taxon_key, arg_min(c.year, {'size': c.tonnes, 'early': c.year}) as year
+  from stocks s join caught c on c.main_area_id = s.main_area_id and c.taxon_key = s.taxon_key and c.year > s.peak_year group by all),
+lowest as (select s.main_area_id, s.taxon_key, coalesce(any_value(t.year), min(c.year)) as year from stocks s
+  join caught c using (main_area_id, taxon_key) left join troughs t using (main_area_id, taxon_key) group by all),
+collated as (select c.main_area_id, c.taxon_key, c.year, c.tonnes as catch_sum, s.peak_year, s.peak_catch_sum, s.final_year,
+  w.year as post_peak_min_year, v.tonnes as post_peak_min_catch_sum
+  from caught c join stocks s using (main_area_id, taxon_key) join lowest w on w.main_area_id = c.main_area_id and w.taxon_key = c.taxon_key
+  join caught v on v.main_area_id = w.main_area_id and v.taxon_key = w.taxon_key and v.year = w.year)"""
+
+#: When a row lies against the peak, its share of the peak (up to a tenth, below half, half, above), and whether it is back
+#: from below a tenth; null: no matter.
 CATEGORIES = SERIES + """,
-categorized as (select *, case
-  when peak_year = final_year or (year <= peak_year and catch_sum * 10 <= peak_catch_sum * 5) then 4
-  when catch_sum * 10 > peak_catch_sum * 5 then 3
-  when catch_sum * 10 > peak_catch_sum and catch_sum * 10 < peak_catch_sum * 5 and post_peak_min_catch_sum * 10 < peak_catch_sum
-    and year > post_peak_min_year then 5
-  when catch_sum * 10 > peak_catch_sum and catch_sum * 10 < peak_catch_sum * 5 and year > peak_year then 2
-  when catch_sum * 10 <= peak_catch_sum and year > peak_year then 1
-  else 6 end as category_id from collated)"""
+rules(era, part, back, category_id) as (values ('open', null, null, 4), ('before', 'tenth', null, 4), ('before', 'less', null, 4),
+  ('before', 'half', null, 4), ('before', 'more', null, 3), ('after', 'more', null, 3), ('after', 'half', null, 6),
+  ('after', 'less', true, 5), ('after', 'less', false, 2), ('after', 'tenth', null, 1)),
+described as (select *, case when peak_year = final_year then 'open' when year > peak_year then 'after' else 'before' end as era,
+  case sign(2 * catch_sum - peak_catch_sum) when 1 then 'more' when 0 then 'half'
+    else case when 10 * catch_sum > peak_catch_sum then 'less' else 'tenth' end end as part,
+  10 * post_peak_min_catch_sum < peak_catch_sum and year > post_peak_min_year as back from collated),
+categorized as (select d.* exclude (era, part, back), r.category_id from described d join rules r on r.era = d.era
+  and coalesce(r.part, d.part) = d.part and coalesce(r.back, d.back) = d.back)"""
 
 SHARES = CATEGORIES + """,
 tally as (select main_area_id, category_id, year, sum(catch_sum) as catch, count(*) as stocks from categorized
-  where category_id <> 6 group by 1, 2, 3),
-ends as (select main_area_id, min(year) as b, max(year) as e from tally group by 1),
-in_year as (select main_area_id, year, sum(stocks) as stocks from tally group by 1, 2),
-smooth as (select t.main_area_id, t.category_id, t.year, t.stocks * 100.0 / i.stocks as nss,
-  case when t.year in (e.b, e.e) then cast(t.catch as double) else avg(cast(t.catch as double)) over (
-    partition by t.main_area_id, t.category_id order by t.year rows between 1 preceding and 1 following) end as css
-  from tally t join ends e on e.main_area_id = t.main_area_id
-  join in_year i on i.main_area_id = t.main_area_id and i.year = t.year),
-filled as (select k.main_area_id, k.category_id, y.time_business_key as year, coalesce(s.css, 0.0) as catch, coalesce(s.nss, 0.0) as nss
+  where category_id < 6 group by all),
+numbered as (select *, row_number() over (partition by main_area_id, category_id order by year) as place from tally),
+areas as (select main_area_id, min(year) as b, max(year) as e from tally group by all),
+means as (select a.main_area_id, a.category_id, a.year, cast(sum(b.catch) as double) / count(*) as mean from numbered a
+  join numbered b on b.main_area_id = a.main_area_id and b.category_id = a.category_id and abs(b.place - a.place) <= 1 group by all),
+counted as (select main_area_id, year, sum(stocks) as stocks from tally group by all),
+valued as (select main_area_id, category_id, year, if(year = r.b or year = r.e, cast(t.catch as double), m.mean) as catch,
+  t.stocks * 100.0 / c.stocks as nss from tally t join means m using (main_area_id, category_id, year)
+  join counted c using (main_area_id, year) join areas r using (main_area_id)),
+filled as (select k.main_area_id, k.category_id, y.time_business_key as year, coalesce(v.catch, 0.0) as catch, coalesce(v.nss, 0.0) as nss
   from (select distinct main_area_id, category_id from tally) k cross join {stock_years} y
-  left join smooth s on s.main_area_id = k.main_area_id and s.category_id = k.category_id and s.year = y.time_business_key),
-shares as (select main_area_id, category_id, year, nss, case when sum(catch) over w <> 0 then catch * 100.0 / sum(catch) over w
-  else 0.0 end as css from filled window w as (partition by main_area_id, year))"""
+  left join valued v on v.main_area_id = k.main_area_id and v.category_id = k.category_id and v.year = y.time_business_key),
+totals as (select main_area_id, year, sum(catch) as total from filled group by all),
+shares as (select main_area_id, category_id, year, nss, if(total = 0, 0.0, catch * 100.0 / total) as css from filled join totals using (main_area_id, year))"""
 
 
 def two_digits(value: str) -> str:
@@ -67,7 +79,7 @@ def categorized(t):
     return Q.stock_category(Q.stock_collate(t.stock_fact, t.stock_years))
 
 
-@check("w01_peak", f"with {SERIES} select main_area_id, taxon_key, year, catch as catch_sum, peak_year, peak_catch_sum from marked")
+@check("w01_peak", f"with {SERIES} select main_area_id, taxon_key, year, tonnes as catch_sum, peak_year, peak_catch_sum from cells_of_years join tops using (main_area_id, taxon_key)")
 def w01(t):
     return with_peak(Q.annual_series(t.stock_fact, t.stock_years), Q.STOCK, "year", "catch_sum")
 
@@ -81,12 +93,15 @@ def w03(t):
 
 
 @check("w04_centred_mean", """
-with annual as (select taxon_key, year, cast(sum(catch_sum) as decimal(20,0)) as catch from {stock_fact} group by 1, 2)
-select taxon_key, year, round(case when year in (1, 30) then cast(catch as double) else avg(cast(catch as double)) over (
-  partition by taxon_key order by year rows between 1 preceding and 1 following) end, 6) as smooth from annual""")
+with annual as (select taxon_key, year, cast(sum(catch_sum) as decimal(20,0)) as catch from {stock_fact} group by all),
+numbered as (select *, row_number() over (partition by taxon_key order by year) as place from annual),
+span as (select min(year) as b, max(year) as e from annual)
+select a.taxon_key, a.year, round(if(a.year = any_value(s.b) or a.year = any_value(s.e), cast(any_value(a.catch) as double),
+  cast(sum(b.catch) as double) / count(b.catch)), 6) as smooth
+from numbered a join numbered b on b.taxon_key = a.taxon_key and abs(b.place - a.place) <= 1 cross join span s group by a.taxon_key, a.year""")
 def w04(t):
     annual = t.stock_fact.groupBy("taxon_key", "year").agg(F.sum("catch_sum").cast("decimal(20,0)").alias("catch"))
-    rows = annual.withColumns({"begin_year": F.lit(1), "end_year": F.lit(30)})
+    rows = with_bounds(annual, "year").withColumnsRenamed({"min_year": "begin_year", "max_year": "end_year"})
     smooth = centred_mean(rows, ["taxon_key"], "year", "catch", "begin_year", "end_year", "smooth")
     return smooth.select("taxon_key", "year", F.round("smooth", 6).alias("smooth"))
 

@@ -33,7 +33,7 @@ def _literals(name: str, values, **more) -> str:
 
 VIEWS = {
     "allocation_data": """
-select o_orderkey as universal_data_id, cast(o_custkey % 25 as int) as fishing_entity_id, year(o_orderdate) as year,
+select o_orderkey as universal_data_id, cast(case when o_custkey % 97 = 5 then 223 else o_custkey % 25 end as int) as fishing_entity_id, year(o_orderdate) as year,
   cast(o_custkey % 40 as int) as taxon_key, cast(o_custkey % 4 + 1 as int) as sector_type_id,
   case o_orderstatus when 'F' then 2 else 1 end as catch_type_id,
   case o_orderstatus when 'P' then 2 else 1 end as reporting_status_id,
@@ -69,7 +69,7 @@ join {_literals("end_use_type_id", (1, 2), end_use_percentage=("cast(0.7 as deci
   on u.one = d.one""",
     "price": f"""
 select year, fishing_entity_id, case when taxon_key % 3 = 0 then taxon_key + 100 else taxon_key end as taxon_key,
-  end_use_type_id, cast(100 + taxon_key * 10 + end_use_type_id as decimal(18,2)) as price
+  end_use_type_id, cast(case when taxon_key % 11 = 4 then null else 100 + taxon_key * 10 + end_use_type_id end as decimal(18,2)) as price
 from (select distinct 1 as one, year, fishing_entity_id, taxon_key from {{allocation_data}}) d
 join {_literals("end_use_type_id", (1, 2, 4))} u on u.one = d.one""",
     "uncertainty_eez": f"""
@@ -110,7 +110,7 @@ select main_area_id, marine_layer_id, 1000 * marine_layer_id + 10 * (main_area_i
   cast(catch_sum * (taxon_key % 7 + 1) as decimal(24,4)) as real_value
 from (
   select cast(user_id % 5 + 1 as int) as main_area_id, cast(event_id % 2 + 1 as int) as marine_layer_id,
-    user_id as taxon_key, day(ts) as year,
+    case user_id % 41 when 7 then 100000 when 19 then 100339 else user_id end as taxon_key, day(ts) as year,
     cast(round(value * case when (day(ts) + user_id) % 29 = 0 then null
       when user_id % 11 = 0 then cast(0.01 as double)
       when day(ts) <= user_id % 30 then cast(1 as double) + day(ts) * cast(0.3 as double)

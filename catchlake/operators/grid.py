@@ -90,18 +90,20 @@ def extent_from_distribution(dist: DataFrame, grid: DataFrame, taxa: DataFrame)
     return filled.unionByName(neighbours(filled, grid, ["taxon_key"])).distinct()
 
 
-def outside_extent(dist: DataFrame, grid: DataFrame, boxes: DataFrame, distance: float = 0.1, size: float = 1.0) -> DataFrame:
+def outside_extent(dist: DataFrame, grid: DataFrame, boxes: DataFrame, distance: float = 0.1, size: float = 1.0,
+                   keep=lambda df, name: df) -> DataFrame:
     """Cells of a taxon farther than distance from an extent of it: (taxon_key, is_extended, cell_id).
 
     An extent is all boxes of one (taxon, is_extended). Each extent reports the cells it misses; a taxon without an
     extent reports none, nor does one all of whose cells are backfilled. Near cells are found through bins, and what
-    is left of a taxon's cells is outside, so a cell is never measured against every box.
+    is left of a taxon's cells is outside, so a cell is never measured against every box. keep(df, name) may write the
+    taxa's cells and return the written table, so that the distribution is read once.
     """
     extent = ["taxon_key", "is_extended"]
     cell = ["taxon_key", "cell_id"]
-    tested = dist.join(dist.filter("not is_backfilled").select("taxon_key").distinct(), "taxon_key", "left_semi")
-    tested = tested.select(*cell).distinct()
-    places = tested.join(grid.select(F.col("id").alias("cell_id"), *CORNERS), "cell_id")
+    cells = keep(dist.groupBy(*cell).agg(F.bool_or(~F.col("is_backfilled")).alias("_seen")), "taxon-cells")
+    tested = cells.join(cells.filter("_seen").select("taxon_key").distinct(), "taxon_key", "left_semi")
+    places = tested.select(*cell).join(grid.select(F.col("id").alias("cell_id"), *CORNERS), "cell_id")
     outlines = boxes.select(*extent, *CORNERS).distinct()
 
     pairs = touching(outlines, places, size, distance, on=["taxon_key"])

@@ -21,7 +21,7 @@ def catch_fluctuation(fact: DataFrame, area: DataFrame, names: DataFrame) -> Dat
     placed = stats.join(area.select("area_key", "marine_layer_id", "main_area_id"), "area_key")
     named = with_entity_name(placed, names)
     report = named.select("name", F.col("main_area_id").alias("area_id"), "layer_name", "coevar")
-    return report.orderBy(F.col("coevar").desc_nulls_first(), "area_id")
+    return report.orderBy(F.col("coevar").desc_nulls_first(), "area_id", "layer_name")
 
 
 def compare_distribution(old: DataFrame, new: DataFrame, cells: DataFrame, taxon: DataFrame) -> DataFrame:

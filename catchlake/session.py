@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +21,8 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; a cluster brings its own."""
+def local_session(cores: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session for tests and the benchmark, with its shared folder; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("catchlake")
@@ -30,6 +32,8 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config(CHECKPOINT_KEY, shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -47,9 +51,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get(CHECKPOINT_KEY)
 
 
+_WRITTEN: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to the shared folder within the block. Results that are still wanted must be read by then."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _WRITTEN[before:]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        del _WRITTEN[before:]
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

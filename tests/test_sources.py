@@ -124,4 +124,13 @@ def test_extent_files_are_listed_with_their_folder(spark, tmp_path):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
+    class Session:
+        class sparkContext:  # noqa: N801
+            master = "local-cluster[3,2,1024]"
+
+        conf = {"spark.checkpoint.dir": "hdfs://host/shared/"}
+
+    assert shared_dir(Session) == "hdfs://host/shared/" and shared_path(Session, "x").startswith("hdfs://host/shared/x-")
+    Session.conf = {}
+    with pytest.raises(ValueError, match="every executor"):
+        shared_dir(Session)
