@@ -103,7 +103,7 @@ class Transducer:
     the new token follows and how many places at the front nothing can follow any more.
     """
 
-    def __init__(self, ranks: dict[bytes, int], states: int = 150_000, look: int = 64):
+    def __init__(self, ranks: dict[bytes, int], states: int = 300_000, look: int = 64):
         self.merges, self.limit, self.look = Merges(ranks), states, look
         self.whole = {t: r for t, r in ranks.items() if len(t) == 1 or self.merges.split(r)}
         self.states: dict[tuple, State] = {}
@@ -190,9 +190,9 @@ class Codec:
 
     SHORT = 64
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = 400_000, states: int = 300_000):
         self.ranks, self.find = ranks, regex.compile(pattern).findall
-        self.transducer = Transducer(ranks)
+        self.transducer = Transducer(ranks, states)
         self.tokens = self.transducer.merges.tokens
         self.pieces = TwoAges(self._packed, pieces)
 
@@ -266,14 +266,14 @@ def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-@lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    """The codec of a rank file, once in each Python worker."""
-    return Codec(read_ranks(path), pattern)
+@lru_cache(maxsize=1)
+def codec(path: str, pattern: str, pieces: int, states: int) -> Codec:
+    """The codec of a rank file, once in each Python worker, which keeps it from task to task."""
+    return Codec(read_ranks(path), pattern, pieces, states)
 
 
-def _round_trip(path: str, pattern: str, ids_too: bool):
-    own = codec(path, pattern)
+def _round_trip(path: str, pattern: str, ids_too: bool, pieces: int, states: int):
+    own = codec(path, pattern, pieces, states)
 
     def work(texts: list) -> list:
         n, ids, decoded, kept = [], [], [], []
@@ -292,12 +292,13 @@ def _round_trip(path: str, pattern: str, ids_too: bool):
 
 
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
-                      ids: str | None = None) -> DataFrame:
+                      ids: str | None = None, pieces: int = 400_000, states: int = 300_000) -> DataFrame:
     """Digests of each text's ids and of the text decoded from them. Rows stay where they are: no shuffle.
 
-    ids names a column for the ids themselves, packed as little-endian unsigned 32-bit integers.
+    ids names a column for the ids themselves, packed as little-endian unsigned 32-bit integers. pieces and states bound what a
+    worker keeps, about 1 KB for each state and 250 bytes for each piece; fewer take less memory and more time.
     """
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
     fields += [T.StructField(ids, T.BinaryType())] if ids else []
-    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern, ids is not None), [key])
+    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern, ids is not None, pieces, states), [key])
