@@ -69,7 +69,17 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
 
-@register("op9_warc")
+BASE32_SQL = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(digest, {5 * g + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
+    for g in range(8) for shift in (15, 10, 5, 0))
+
+
+@register("op9_warc", f"""
+WITH bodies AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS low FROM bodies GROUP BY digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {BASE32_SQL} AS payload_digest,
+  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id > low THEN low END AS refers_to
+FROM bodies JOIN firsts USING (digest)""")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
 
@@ -96,7 +106,19 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judged_pages(table(spark, folder, "pages"), rules)
 
 
-@register("op8_minhash")
+@register("op8_minhash", r"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i
+  FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON b.gram = a.gram AND b.doc_id > a.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, s.b FROM reached r JOIN steps s ON s.a = r.other)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+""")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHashSettings(words=3, percent=85))
 

@@ -36,3 +36,14 @@ def test_stages_against_plain_versions(spark):
 def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "token_ids"] and rows.count() > 50
+
+
+def test_stages_take_odd_documents(spark, docs_of, odd_texts):
+    """Nulls, empty and very long texts, repeated rows and columns with the operators' names go through every stage."""
+    docs = docs_of([*odd_texts, *odd_texts[-2:]])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = corpus_pipeline.materialize(stage(spark, docs, FOLDER), name)
+        assert after.columns == docs.columns
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
+        docs = after
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
