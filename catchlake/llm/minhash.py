@@ -9,7 +9,9 @@ Documents with equal sets are one class with its smallest id, so copies never ma
 first compared with the bucket's smallest one only, which joins a family of near copies without pairs among its
 members. Components of the confirmed links follow. Then only buckets that still hold several components are compared
 in full, and only classes of different components. So no link between different components is left unseen, while no bucket
-is expanded into all its pairs. Hot buckets travel through joins that adaptive execution splits.
+is expanded into all its pairs. For this comparison the classes in such buckets get a longer signature of 1024 permutations, so
+that of copies just short of the threshold few pairs are left to confirm; both estimates are conditions of the join, as is
+that a pair meets in its first common band, so the join makes one row for each pair left. Hot buckets travel through joins that adaptive execution splits.
 
 At a similarity of 0.85 a pair shares no band with a chance of 6e-11, at 0.8 of 5e-8. The estimate is cut five
 standard deviations below the threshold.
@@ -22,7 +24,7 @@ results; a very long text is taken whole, in blocks; an empty table gives no row
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 from hashlib import blake2b
 
@@ -46,6 +48,7 @@ class MinHashSettings:
     bands: int = 32
     rows: int = 4
     sigmas: float = 5.0
+    fine: int = 1024  #: permutations of the longer signature
     block: int = 4096  #: shingles hashed at a time
     seed: int = 23
 
@@ -53,12 +56,10 @@ class MinHashSettings:
     def permutations(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def least_equal(self) -> int:
-        """The least number of equal low bits (pairs of them) with which a pair is confirmed or not."""
-        j = self.percent / 100
-        p = 0.25 + 0.75 * j
-        return math.floor(self.permutations * p - self.sigmas * math.sqrt(self.permutations * p * (1 - p)))
+    def least_equal(self, permutations: int) -> int:
+        """The least number of equal pairs of low bits with which a pair goes on."""
+        p = 0.25 + 0.75 * self.percent / 100
+        return math.floor(permutations * p - self.sigmas * math.sqrt(permutations * p * (1 - p)))
 
 
 def word_hash(word: bytes) -> int:
@@ -133,6 +134,18 @@ def signatures(docs: DataFrame, s: MinHashSettings, key: str = "doc_id", text: s
     return with_text_columns(docs.select(F.col(key).alias("_id"), F.col(text).alias("_body")), "_body", fields, partial(Signer, s), ["_id"])
 
 
+class _FineSigner:
+    """The packed low bits of a longer signature."""
+
+    def __init__(self, s: MinHashSettings):
+        self.s = s
+        self.signer = Signer(replace(s, bands=s.fine // s.rows, seed=s.seed + 1, block=512))
+
+    def __call__(self, texts: list) -> list:
+        cache = self.signer.cache
+        return [[self.signer.bits(self.signer.minima(shingles(t, self.s.words, cache))) for t in texts]]
+
+
 def equal_bits(a: str, b: str, integers: int) -> Column:
     """How many of the packed pairs of bits are equal in two signatures."""
     odd = F.lit(0x5555555555555555)
@@ -152,19 +165,19 @@ class _Shingler:
         return [[shingles(t, self.s.words, self.cache).view(np.int64) for t in texts]]
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, s: MinHashSettings, key: str, text: str) -> DataFrame:
-    """The sets of the documents wanted (_node, and whatever else), of one row for each id."""
+def _made_of(docs: DataFrame, wanted: DataFrame, name: str, maker, s: MinHashSettings, key: str, text: str) -> DataFrame:
+    """What maker makes of the documents wanted (_node, and whatever else)."""
     found = docs.select(F.col(key).alias("_id"), F.col(text).alias("_body")).join(
         measured(wanted=wanted)["wanted"], F.col("_id") == F.col("_node")).drop("_id")
-    return with_text_columns(found, "_body", [T.StructField("_shingles", T.ArrayType(T.LongType(), False))], partial(_Shingler, s), wanted.columns)
+    return with_text_columns(found, "_body", [T.StructField(name, T.ArrayType(T.LongType(), False))], partial(maker, s), wanted.columns)
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, s: MinHashSettings, key: str, text: str) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough. Each set travels once for each pair of its own at b, and
     once for all pairs at a."""
-    members = _sets(docs, pairs.select(F.col("b").alias("_node"), "a"), s, key, text).select(
+    members = _made_of(docs, pairs.select(F.col("b").alias("_node"), "a"), "_shingles", _Shingler, s, key, text).select(
         "a", F.col("_node").alias("b"), F.col("_shingles").alias("_theirs"))
-    leaders = _sets(docs, pairs.select(F.col("a").alias("_node")).distinct(), s, key, text)
+    leaders = _made_of(docs, pairs.select(F.col("a").alias("_node")).distinct(), "_shingles", _Shingler, s, key, text)
     both = members.join(leaders, F.col("a") == F.col("_node"))
     common = F.size(F.array_intersect("_theirs", "_shingles"))
     total = F.size("_theirs") + F.size("_shingles") - common
@@ -181,14 +194,14 @@ def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key
     classed = inked.join(copied, F.col("_set") == F.col("_copied"), "left").withColumn("_node", F.coalesce("_node", "_id")).drop("_copied")
     heads = materialize(classed.filter("_id = _node").select("_node", "_bands", "_bits", F.col("n_shingles").alias("_n")), "heads")
 
-    buckets = heads.select(F.explode("_bands").alias("_key"), "_node")
+    buckets = heads.select(F.posexplode("_bands").alias("_band", "_key"), "_node")
     shared = buckets.groupBy("_key").agg(F.min("_node").alias("_first"), F.max("_node").alias("_last")).filter("_first < _last")
     shared = measured(shared=materialize(shared.select(F.col("_key"), F.col("_first")), "shared-buckets"))["shared"]
-    members = materialize(buckets.join(shared, "_key").select("_key", "_node", "_first"), "bucket-members")
+    members = materialize(buckets.join(shared, "_key").select("_key", "_band", "_node", "_first"), "bucket-members")
 
     facts = measured(facts=heads.select("_node", "_bits", "_n"))["facts"]
     side = lambda name: facts.select(F.col("_node").alias(name), F.col("_bits").alias(f"_bits_{name}"), F.col("_n").alias(f"_n_{name}"))
-    alike = (equal_bits("_bits_a", "_bits_b", s.permutations // 32) >= s.least_equal) & (
+    alike = (equal_bits("_bits_a", "_bits_b", s.permutations // 32) >= s.least_equal(s.permutations)) & (
         F.lit(100) * F.least("_n_a", "_n_b") >= F.lit(s.percent) * F.greatest("_n_a", "_n_b"))
     stars = members.filter("_node > _first").select(F.col("_first").alias("a"), F.col("_node").alias("b")).distinct()
     stars = materialize(stars.join(side("a"), "a").join(side("b"), "b").filter(alike).select("a", "b").distinct(), "star-pairs")
@@ -197,13 +210,17 @@ def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key
 
     named = measured(found=found)["found"]
     placed = members.join(named, F.col("_node") == F.col("node"), "left").select(
-        "_key", "_node", F.coalesce("component", "_node").alias("_part"))
+        "_key", "_band", "_node", F.coalesce("component", "_node").alias("_part"))
     mixed = placed.groupBy("_key").agg(F.min("_part").alias("_low"), F.max("_part").alias("_high")).filter("_low < _high").select("_key")
-    open_ = placed.join(measured(mixed=mixed)["mixed"], "_key").join(facts, "_node")
-    open_ = materialize(open_.select("_key", "_node", "_part", "_bits", "_n"), "open-buckets")
-    left, right = (open_.select("_key", F.col("_node").alias(x), F.col("_part").alias(f"_part_{x}"), F.col("_bits").alias(f"_bits_{x}"), F.col("_n").alias(f"_n_{x}"))
+    open_ = materialize(placed.join(measured(mixed=mixed)["mixed"], "_key").join(facts, "_node"), "open-buckets")
+    fine = _made_of(docs, open_.select("_node").distinct(), "_fine", _FineSigner, s, key, text)
+    fine = fine.join(heads.select("_node", "_bands"), "_node").dropDuplicates(["_node"])
+    open_ = materialize(open_.join(measured(fine=materialize(fine, "fine-signatures"))["fine"], "_node"), "open-signatures")
+    left, right = (open_.select(F.col("_key").alias(f"_key_{x}"), F.col("_node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("_part", "_bits", "_fine", "_n", "_band", "_bands")])
                    for x in ("a", "b"))
-    condition = (left["_key"] == right["_key"]) & (F.col("a") < F.col("b")) & (F.col("_part_a") != F.col("_part_b")) & alike
+    nearly = equal_bits("_fine_a", "_fine_b", s.fine // 32) >= s.least_equal(s.fine)
+    earlier = F.arrays_overlap(F.slice("_bands_a", F.lit(1), F.col("_band_a")), F.slice("_bands_b", F.lit(1), F.col("_band_a")))
+    condition = (F.col("_key_a") == F.col("_key_b")) & (F.col("a") < F.col("b")) & (F.col("_part_a") != F.col("_part_b")) & alike & nearly & ~earlier
     crossing = left.hint("shuffle_merge").join(right, condition).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     crossing = materialize(crossing, "crossing-pairs")
     more = materialize(_confirmed(docs, crossing, s, key, text), "links")
@@ -212,7 +229,7 @@ def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key
     named = signed.select("_id", "n_shingles", "_set").join(copied, F.col("_set") == F.col("_copied"), "left")
     named = named.withColumn("_node", F.when(F.col("n_shingles") > 0, F.coalesce("_node", "_id")))
     named = named.join(found, F.col("_node") == F.col("node"), "left")
-    component = F.coalesce("component", "_node", "_id")
+    component = F.when(F.col("_id").isNotNull(), F.coalesce("component", "_node", "_id"))
     return named.select(F.col("_id").alias(key), "n_shingles", component.alias("component_id"), F.col("_id").eqNullSafe(component).alias("kept"))
 
 
