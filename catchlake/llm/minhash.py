@@ -32,6 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from catchlake.llm.common import TwoAges, free_name, with_text_columns
 from catchlake.llm.components import components
@@ -49,7 +50,7 @@ class MinHashSettings:
     rows: int = 4
     sigmas: float = 5.0
     fine: int = 1024  #: permutations of the longer signature
-    block: int = 4096  #: shingles hashed at a time
+    block: int = 256  #: shingles hashed at a time
     seed: int = 23
 
     @property
@@ -63,7 +64,7 @@ class MinHashSettings:
 
 
 def word_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+    return xxh64_intdigest(word) - (1 << 63)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -139,7 +140,7 @@ class _FineSigner:
 
     def __init__(self, s: MinHashSettings):
         self.s = s
-        self.signer = Signer(replace(s, bands=s.fine // s.rows, seed=s.seed + 1, block=512))
+        self.signer = Signer(replace(s, bands=s.fine // s.rows, seed=s.seed + 1, block=64))
 
     def __call__(self, texts: list) -> list:
         cache = self.signer.cache
