@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+BATCH_ROWS = 512
+ARROW_ROWS_KEY, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,16 +68,23 @@ def with_text_columns(df: DataFrame, text: str, fields: Sequence[T.StructField],
     field. keep names the columns that go on (all by default); one that has the name of a new field is replaced.
     """
     ship_package(df.sparkSession)
+    if df.sparkSession.conf.get(ARROW_ROWS_KEY) == "10000":  # the default; texts are long, and a batch lies in memory several times
+        df.sparkSession.conf.set(ARROW_ROWS_KEY, ARROW_ROWS)
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     kinds = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = factory()
-        for batch in batches:
-            made = work(batch.column(text).to_pylist()) if batch.num_rows else [[] for _ in fields]
-            columns = [batch.column(c) for c in kept] + [pa.array(c, type=k) for c, k in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=kept + names)
+        for whole in batches:
+            for at in range(0, max(whole.num_rows, 1), BATCH_ROWS):  # bounds what Python holds of a batch
+                batch = whole.slice(at, BATCH_ROWS)
+                made = work(batch.column(text).to_pylist()) if batch.num_rows else [[] for _ in fields]
+                columns = [batch.column(c) for c in kept] + [pa.array(c, type=k) for c, k in zip(made, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=kept + names)
+        del work
+        gc.collect()
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
     return df.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)

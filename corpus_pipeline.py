@@ -36,8 +36,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, packed, with their count and the digests of ids and decoded text."""
-    return byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids="token_ids")
+    """Token ids of each document, packed, with their count and the digests of ids and decoded text.
+
+    Workers that also serve the other stages keep fewer pieces and states.
+    """
+    return byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids="token_ids",
+                                      pieces=100_000, states=80_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_duplicates", drop_near_duplicates),
