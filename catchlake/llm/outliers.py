@@ -2,16 +2,19 @@
 
 Counts of each text become a vector of five transformed statistics. For every language and source the minimum covariance
 determinant gives a centre and a covariance that up to a quarter of odd rows can't move, and a row whose Mahalanobis distance
-from the centre is too large is rejected.
+from the centre is above the 99.9 % point of chi-square with five degrees (20.5) is rejected.
 
 The estimate runs as aggregations over a narrow table. Two starts (medians and quartiles; plain mean and covariance) are
 improved by concentration steps: rows are counted and summed by bins of their distance, the bins that hold the nearest three
 quarters are added up to the next centre and covariance, and the start with the smaller determinant goes on. One aggregation
 with map-side sums is one step, whatever a group's share of the rows; no group is ever gathered. Statistics are rounded to
-1/256, so that sums are whole numbers and don't depend on the order of tasks. Variances get a floor, since most texts have
-no symbols or repeated lines at all.
+1/256, so that sums are whole numbers and don't depend on the order of tasks. What a statistic varies by, given those before
+it, is taken as its floor where it is less, since most texts have no symbols or repeated lines at all. The floors are such that
+in the shortest text that passes the base rule the chance of its words' lengths (0.3 is their mean's deviation), one symbol, one
+repeated line or one repeated triple is no outlier by itself.
 
-Sources of a language with few rows are taken together, and languages with few rows as well.
+Sources of a language with few rows are taken together, and languages with few rows as well. What is left over is judged by
+the estimate of all rows if it is few itself.
 
 Cases: null and empty texts have no words and fail the base rule; a null language or source is one of its own; ties and
 repeated rows get equal verdicts; with fewer rows than a group needs, in all, nothing is rejected beyond the base rule.
@@ -35,18 +38,23 @@ SYMBOLS = "#*$%&|<>"
 PLACE_BITS = 26
 SCALE = 256
 D = 5
+ALL = "every"  #: the group whose estimate is that of all rows
 
 
 @dataclass(frozen=True)
 class McdSettings:
-    floors: tuple[float, ...] = (0.5, 0.3, 0.3, 0.6, 0.8)  #: least standard deviations of the five statistics
+    floors: tuple[float, ...] = (0.1, 0.3, 0.25, 0.25, 0.57)  #: least standard deviations of the five statistics
     share: float = 0.75  #: of the rows that the covariance is taken from
     steps: int = 2  #: concentration steps of each start
     more: int = 2  #: and of the better one
     least: int = 100  #: rows that a group needs
-    cut: float = 60.0  #: squared distance from which a row is rejected
+    quantile: float = 0.999  #: of chi-square: the squared distance above which a row is rejected
     bins: int = 40  #: of distances, in each step of e
 
+    @property
+    def cut(self) -> float:
+        return chi2_point(self.quantile, D)
+
 
 def chi2_cdf(x: float, k: int) -> float:
     """By the series of the incomplete gamma function."""
@@ -60,13 +68,17 @@ def chi2_cdf(x: float, k: int) -> float:
     return total * math.exp(-z + a * math.log(z) - math.lgamma(a))
 
 
-def consistency(share: float) -> float:
-    """What a covariance of the nearest share of normal rows must be multiplied by."""
+def chi2_point(share: float, k: int) -> float:
     low, high = 0.0, 200.0
     for _ in range(80):
         mid = (low + high) / 2
-        low, high = (mid, high) if chi2_cdf(mid, D) < share else (low, mid)
-    return share / chi2_cdf(low, D + 2)
+        low, high = (mid, high) if chi2_cdf(mid, k) < share else (low, mid)
+    return low
+
+
+def consistency(share: float) -> float:
+    """What a covariance of the nearest share of normal rows must be multiplied by."""
+    return share / chi2_cdf(chi2_point(share, D), D + 2)
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -111,8 +123,9 @@ def statistics() -> list[Column]:
     return [F.round(v * SCALE).cast("bigint").alias(f"x{i}") for i, v in enumerate(values)]
 
 
-def _grouped(rows: DataFrame, least: int) -> DataFrame:
-    """Add _g: language and source; the small sources of a language, or the small languages, together; null if all are few."""
+def _grouped(rows: DataFrame, least: int) -> tuple[DataFrame, bool]:
+    """Add _g: language and source; the small sources of a language, or the small languages, together; ALL if those are few,
+    and null if all rows are few. And whether some rows have ALL."""
     own = F.concat(F.coalesce(F.hex("lang"), F.lit("-")), F.lit("/"), F.coalesce(F.hex("source"), F.lit("-")))
     lang = F.coalesce(F.hex("lang"), F.lit("-"))
     rows = rows.withColumns({"_own": own, "_lang": lang})
@@ -120,11 +133,11 @@ def _grouped(rows: DataFrame, least: int) -> DataFrame:
     rest = counts.withColumn("_rest", F.sum(F.when(F.col("count") < least, F.col("count"))).over(W.partitionBy("_lang")))
     level = F.when(F.col("count") >= least, F.concat(F.lit("s"), "_own")).when(F.col("_rest") >= least, F.concat(F.lit("l"), "_lang")).otherwise(F.lit("all"))
     rest = materialize(rest.select(F.col("_own").alias("_own2"), level.alias("_g"), "count"), "groups")
-    small = rest.filter(F.col("_g") == "all").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_n"))
-    if small.first()["_n"] < least:
-        rest = rest.withColumn("_g", F.when(F.col("_g") != "all", F.col("_g")))
+    small, whole = rest.agg(F.coalesce(F.sum(F.when(F.col("_g") == "all", F.col("count"))), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    if small < least:
+        rest = rest.withColumn("_g", F.when(F.col("_g") != "all", F.col("_g")).otherwise(F.lit(ALL if whole >= least else None)))
     groups = measured(groups=rest.drop("count"))["groups"]
-    return rows.join(groups, F.col("_own") == F.col("_own2"), "left").drop("_own", "_own2", "_lang")
+    return rows.join(groups, F.col("_own") == F.col("_own2"), "left").drop("_own", "_own2", "_lang"), 0 < small < least <= whole
 
 
 PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
@@ -140,18 +153,17 @@ def _estimate(sums: DataFrame, factor: float, s: McdSettings) -> DataFrame:
     kept = [c for c in sums.columns if c in ("_g", "_start")]
     mean = {i: F.col(f"s{i}") / F.col("n") / SCALE for i in range(D)}
     out = sums.select(*kept, *[mean[i].alias(f"m{i}") for i in range(D)], *[
-        ((F.col(f"s{i}{j}") / F.col("n") / (SCALE * SCALE) - mean[i] * mean[j]) * factor + (s.floors[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}")
-        for i, j in PAIRS])
-    return _factor(out, kept)
+        ((F.col(f"s{i}{j}") / F.col("n") / (SCALE * SCALE) - mean[i] * mean[j]) * factor).alias(f"c{i}{j}") for i, j in PAIRS])
+    return _factor(out, kept, s)
 
 
-def _factor(out: DataFrame, kept: list[str]) -> DataFrame:
+def _factor(out: DataFrame, kept: list[str], s: McdSettings) -> DataFrame:
     for i in range(D):
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            out = out.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
+            out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(s.floors[i] ** 2))) if i == j else rest / F.col(f"l{j}{j}"))
     for i in range(D):
         for j in range(i + 1):
             rest = F.lit(1.0) if i == j else F.lit(0.0)
@@ -184,10 +196,10 @@ def _first_estimates(rows: DataFrame, s: McdSettings) -> DataFrame:
     quart = ranked.groupBy("_g", "_i").agg(at(0.25).alias("a"), at(0.5).alias("m"), at(0.75).alias("b"))
     wide = quart.groupBy("_g").agg(*[
         F.max(F.when(F.col("_i") == i, F.col(c))).alias(f"{c}{i}") for i in range(D) for c in ("a", "m", "b")])
-    spread = lambda i: F.pow((F.col(f"b{i}") - F.col(f"a{i}")) / 1.349, 2) + s.floors[i] ** 2
+    spread = lambda i: F.pow((F.col(f"b{i}") - F.col(f"a{i}")) / 1.349, 2)
     diagonal = wide.select("_g", *[f"m{i}" for i in range(D)],
                            *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
-    robust = _factor(diagonal, ["_g"]).withColumn("_start", F.lit(1))
+    robust = _factor(diagonal, ["_g"], s).withColumn("_start", F.lit(1))
     return materialize(plain.unionByName(robust), "mcd")
 
 
@@ -220,8 +232,10 @@ def rule_verdicts(docs: DataFrame, s: McdSettings = McdSettings(), key: str = "d
     read = docs.select(F.col(key).alias("doc_id"), "lang", "source", F.col(text).alias("text"))
     rows = with_counts(read).withColumn("_failed", base_failed())
     rows = materialize(rows.select("*", *statistics()), "statistics")
-    rows = _grouped(rows, s.least)
-    inner = materialize(rows.filter(~F.col("_failed") & F.col("_g").isNotNull()).select("_g", *[f"x{i}" for i in range(D)]), "vectors")
+    rows, leftovers = _grouped(rows, s.least)
+    names = F.array(F.when(F.col("_g") != ALL, F.col("_g")), F.when(F.lit(leftovers), F.lit(ALL)))
+    inner = rows.filter(~F.col("_failed") & F.col("_g").isNotNull()).select(F.explode(F.array_compact(names)).alias("_g"), *[f"x{i}" for i in range(D)])
+    inner = materialize(inner, "vectors")
     estimates = measured(e=estimates_of(inner, s).withColumnRenamed("_g", "_g2"))["e"]
     judged = rows.join(estimates, F.col("_g") == F.col("_g2"), "left").withColumn("distance", distance())
     far = F.coalesce(F.col("distance") > s.cut, F.lit(False))

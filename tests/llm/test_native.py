@@ -102,6 +102,34 @@ def test_counts_and_verdicts(spark, docs_of, odd_texts):
     assert outliers.rule_verdicts(docs.limit(0)).count() == 0
 
 
+def test_each_statistic_rejects_alone(spark, docs_of):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    fresh = lambda n: " ".join(rng.choice(words) + "aa" for _ in range(n))
+    long_words = lambda n: " ".join(rng.choice(words) + "a" * 12 for _ in range(n))
+    lines = fresh(20).split()
+    odd = [fresh(30_000),  # length
+           long_words(200),  # length of words
+           fresh(200) + " %" * 12,  # mild: six symbols in 100 words
+           fresh(200) + "\n" + "\n".join(w for w in lines for _ in range(2)),  # repeated lines, no repeated triple
+           fresh(200) + " " + " ".join([fresh(20)] * 4)]  # under a third is repeated
+    mild = [fresh(200) + " %", fresh(200) + "\nx\nx", fresh(200) + " aaa bbb ccc " + fresh(3) + " aaa bbb ccc"]
+    texts = [fresh(rng.randint(100, 400)) for _ in range(500)] + odd + mild + odd + mild
+    langs = ["en"] * 508 + ["xx"] * 8  # too few for an estimate of their own, so that of all rows judges them
+    docs = docs_of(texts, langs, clash=False).select("doc_id", "text", "lang", outliers.F.lit("one").alias("source"))
+    rows = {r["doc_id"]: r for r in outliers.rule_verdicts(docs).collect()}
+    assert not any(r["base_failed"] for r in rows.values())
+    assert [rows[i]["kept"] for i in range(500, 516)] == ([False] * 5 + [True] * 3) * 2 and sum(r["kept"] for r in rows.values()) >= 500
+
+
+def test_no_variance_and_equal_statistics_give_finite_distances(spark):
+    rows = [("a", 1500, 1280, 0, i % 7 * 100, i % 7 * 100) for i in range(200)]
+    df = spark.createDataFrame(rows, "_g string, x0 long, x1 long, x2 long, x3 long, x4 long")
+    found = outliers.estimates_of(df, outliers.McdSettings())
+    far = df.withColumnRenamed("_g", "_g2").crossJoin(found).select(outliers.distance().alias("d")).collect()
+    assert all(0 <= r["d"] < 100 for r in far)
+
+
 def test_centre_withstands_a_fifth_of_odd_rows(spark):
     """Against the plain covariance: with 20 % of far rows it would hide them."""
     rng = random.Random(1)
