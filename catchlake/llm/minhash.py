@@ -1,7 +1,7 @@
 """Near-duplicates by b-bit MinHash.
 
 A document is the set of hashes of its word shingles. Of 128 permutations the least hash each is taken; four minima in a row
-make one of 32 band keys, and the two low bits of every minimum are packed into four integers. Documents with a common
+make one of 32 band keys, and the two low bits of every minimum, mixed, are packed into four integers. Documents with a common
 band key are candidates; the share of equal low bits, counted on the packed integers and corrected for chance
 agreement, estimates their similarity, and what could reach the threshold is confirmed on the full sets.
 
@@ -108,8 +108,9 @@ class Signer:
         return key.view(np.int64)
 
     def bits(self, minima: np.ndarray) -> np.ndarray:
-        """Two low bits of each minimum, 32 minima in an integer."""
-        low = (minima & np.uint64(3)).reshape(-1, 32) << (np.uint64(2) * np.arange(32, dtype=np.uint64))
+        """Two low bits of each mixed minimum, 32 minima in an integer. Those of the bare minima a*h + b with odd a depend on two
+        bits of h alone, so whether two minima agree by chance would be the same in all permutations."""
+        low = (_mixed(minima) & np.uint64(3)).reshape(-1, 32) << (np.uint64(2) * np.arange(32, dtype=np.uint64))
         return np.bitwise_or.reduce(low, axis=1).view(np.int64)
 
     def __call__(self, texts: list) -> list:
