@@ -89,9 +89,9 @@ def hits_of(docs: DataFrame, items: DataFrame, g: Grams) -> DataFrame:
     return both.select("_id", "_text", "item_id", F.explode(F.array_compact(F.array(*starts))).alias("_start"))
 
 
-def contaminated_words(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, key: str = "doc_id", text: str = "text",
-                       item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """For each document: n_words, n_hit (words inside an occurring window), n_items and items_sha256, contaminated."""
+def _hits(docs: DataFrame, benchmark: DataFrame, span: int, k: int, key: str = "doc_id", text: str = "text",
+          item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Columns _id, _text (a hash of the text), item_id, _start and _span: every window of documents that occurs in an item."""
     read = docs.select(F.col(key).alias("_id"), F.xxhash64(F.col(text)).alias("_text"), words_of(text).alias("_w"))
     items = benchmark.select(F.col(item).alias("item_id"), words_of(item_text).alias("_w")).filter(
         F.col("item_id").isNotNull() & (F.size("_w") > 0))
@@ -102,7 +102,13 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, span: int = 10, k:
     for own, g in parts:
         part = hits_of(read, own, g).withColumn("_span", F.lit(g.span))
         hits = part if hits is None else hits.unionByName(part)
-    hits = materialize(hits.distinct(), "hits")
+    return materialize(hits.distinct(), "hits")
+
+
+def contaminated_words(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, key: str = "doc_id", text: str = "text",
+                       item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """For each document: n_words, n_hit (words inside an occurring window), n_items and items_sha256, contaminated."""
+    hits = _hits(docs, benchmark, span, k, key, text, item, item_text)
     # a word is counted at the first of the windows, in order of their starts, that reach it
     ends = F.array_sort(F.collect_set(F.struct("_start", (F.col("_start") + F.col("_span")).alias("_end"))))
     covered = F.aggregate("_ends", F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")), lambda acc, x: F.struct(
@@ -120,8 +126,8 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, span: int = 10, k:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5) -> DataFrame:
-    """The documents without any window of the benchmark, with their columns."""
-    name = free_name(docs, "_bad")
-    bad = contaminated_words(docs, benchmark, span, k).filter("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    """The documents without any window of the benchmark, with their columns. A row goes by its id, null or not, and its text."""
+    name, body = free_name(docs, "_bad"), free_name(docs, "_bad_text")
+    bad = _hits(docs, benchmark, span, k).select(F.col("_id").alias(name), F.col("_text").alias(body)).distinct()
     bad = measured(bad=materialize(bad, "contaminated"))["bad"]
-    return docs.join(bad, F.col("doc_id") == F.col(name), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)) & (F.xxhash64(F.col("text")) == F.col(body)), "left_anti")

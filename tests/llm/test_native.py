@@ -59,6 +59,15 @@ def test_decontamination_agrees_with_all_windows(spark, docs_of, odd_texts):
     assert collections.Counter(r["doc_id"] for r in twice) == dict.fromkeys(want, 2) and {r["doc_id"]: r["n_hit"] for r in twice} == {i: w[1] for i, w in want.items()}
 
 
+def test_rows_are_dropped_by_id_and_text(spark):
+    dirty, clean = prose(101, 30), prose(900, 30)
+    bench = spark.createDataFrame([(1, dirty)], "item_id long, text string")
+    rows = [(None, dirty), (None, clean), (None, None), (1, dirty), (1, clean), (2, clean), (3, f"{clean} {dirty}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = winnowing.drop_contaminated(docs, bench)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(None, clean), (None, None), (1, clean), (2, clean)], key=str)
+
+
 def test_every_shared_span_has_a_common_fingerprint(spark):
     rng = random.Random(9)
     for _ in range(5):
