@@ -236,8 +236,28 @@ def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key
 
 
 def drop_near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings()) -> DataFrame:
-    """One document of each group, that of the least id, with the documents' columns."""
+    """One row of each group, that of the least id, with the documents' columns.
+
+    Where ids are null or repeated, a row goes by its id and text together, rows without an id after all others. Rows without words
+    and id are linked with nothing and stay.
+    """
     name = free_name(docs, "_gone")
-    gone = near_duplicates(docs, s).filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    gone = measured(gone=materialize(gone, "duplicates"))["gone"]
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    if docs.groupBy("doc_id").count().filter(F.col("doc_id").isNull() | (F.col("count") > 1)).isEmpty():
+        gone = near_duplicates(docs, s).filter(~F.col("kept")).select(F.col("doc_id").alias(name))
+        gone = measured(gone=materialize(gone, "duplicates"))["gone"]
+        return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    own, row = free_name(docs, "_own"), free_name(docs, "_row")
+    keyed = docs.withColumn(own, F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.md5(F.col("text")).alias("z")))
+    found = near_duplicates(keyed, s, key=own).groupBy(own).agg(F.min("kept").alias("_kept"), F.max("n_shingles").alias("_n"), F.count("*").alias("_rows"))
+    found = materialize(found, "duplicates")
+    inked = (F.col("_n") > 0) | F.col(own)["y"].isNotNull()
+    gone = found.filter(~F.col("_kept")).select(F.col(own).alias(name))
+    many = found.filter(F.col("_kept") & (F.col("_rows") > 1) & inked).select(F.col(own).alias(name))
+    small = measured(gone=gone, many=many)
+    same = F.col(own).eqNullSafe(F.col(name))
+    left = keyed.join(small["gone"], same, "left_anti")
+    once = left.join(small["many"], same, "left_anti").select(*docs.columns)
+    # repeated rows have equal ids and texts; the rest of the columns decides, with map-side aggregation
+    others = F.xxhash64(*[F.col(c) for c in docs.columns])
+    picked = left.join(small["many"], same, "left_semi").groupBy(own).agg(F.min_by(F.struct(*docs.columns), others).alias(row))
+    return once.unionByName(picked.select(f"{row}.*"))

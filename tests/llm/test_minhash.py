@@ -66,6 +66,17 @@ def test_other_cases(spark, docs_of):
     assert minhash.near_duplicates(docs.limit(0), s).count() == 0
 
 
+def test_one_row_of_repeats_and_of_rows_without_id(spark):
+    a, b, c = prose(1, 40), prose(2, 40), prose(3, 40)
+    rows = [(5, a, "x"), (5, a, "x"), (5, a, "y"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (None, None, "x"), (None, None, "x"),
+            (7, c, "x"), (7, f"{a} tail", "x"), (2, "", "x"), (2, "", "x"), (10, c, "x"), (10, c, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _own string")
+    kept = minhash.drop_near_duplicates(docs, minhash.MinHashSettings())
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert kept.columns == docs.columns
+    assert got == sorted([(5, a), (None, b), (None, None), (None, None), (7, c), (2, "")], key=str)
+
+
 def test_bits_estimate_similarity(spark):
     signer = minhash.Signer(minhash.MinHashSettings())
     rng = np.random.default_rng(1)
