@@ -10,6 +10,20 @@ from catchlake.operators.sizing import measured
 from catchlake.session import materialize
 
 
+#: Halving an array of up to so many ends.
+MOST_ENDS = 1 << 24
+
+
+def place_among(value: Column, ends: Column) -> Column:
+    """How many entries of a sorted array are not above the value, found by halving. 0 for a null value or array."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_ENDS.bit_length()))])
+
+    def halved(at: Column, step: Column) -> Column:
+        return F.when(F.try_element_at(ends, at + step) <= value, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), halved)
+
+
 def key_distribution(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"))
 
