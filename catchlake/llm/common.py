@@ -60,6 +60,18 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """mapInArrow with this package on the workers.
+
+    Where the session has Spark's default of 10,000 rows an Arrow batch, it is set to 1000 for the session, since texts are long and a
+    batch lies in memory several times; another setting is left as it is.
+    """
+    ship_package(df.sparkSession)
+    if df.sparkSession.conf.get(ARROW_ROWS_KEY) == "10000":
+        df.sparkSession.conf.set(ARROW_ROWS_KEY, ARROW_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def with_text_columns(df: DataFrame, text: str, fields: Sequence[T.StructField], factory: Callable[[], Callable],
                       keep: Sequence[str] | None = None) -> DataFrame:
     """Add columns made from a text column, in Arrow batches.
@@ -67,9 +79,6 @@ def with_text_columns(df: DataFrame, text: str, fields: Sequence[T.StructField],
     factory is called once a task and returns a function from a list of texts (None for null) to one list or array per
     field. keep names the columns that go on (all by default); one that has the name of a new field is replaced.
     """
-    ship_package(df.sparkSession)
-    if df.sparkSession.conf.get(ARROW_ROWS_KEY) == "10000":  # the default; texts are long, and a batch lies in memory several times
-        df.sparkSession.conf.set(ARROW_ROWS_KEY, ARROW_ROWS)
     names = [f.name for f in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     kinds = [to_arrow_type(f.dataType) for f in fields]
@@ -87,7 +96,7 @@ def with_text_columns(df: DataFrame, text: str, fields: Sequence[T.StructField],
         pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     schema = T.StructType([df.schema[c] for c in kept] + list(fields))
-    return df.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
+    return map_batches(df.select(*dict.fromkeys([*kept, text])), run, schema)
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchlake.llm import byte_bpe, minhash, outliers, quality, sharding, token_counts, toxicity, url_filters, warc, winnowing
+from catchlake.llm import byte_bpe, divergence, minhash, outliers, quality, sharding, spelling, token_counts, toxicity, url_filters, warc, weighted_sampling, winnowing
 from catchlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,58 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.contaminated_words(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+#: crc32 is made by its table of 256 remainders, since DuckDB has no function for it; near words meet in what is left without one letter.
+@register("op11_spelling_variants", r"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM (SELECT CAST(range AS BIGINT) AS n FROM range(256))),
+runs AS (SELECT id, run, count(*) AS k FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+  unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (SELECT id, run, k, hex(encode(id || ':' || run)) AS code FROM runs),
+hashed AS (SELECT run, k, xor(list_reduce([4294967295] || list_transform(range(length(code) // 2), lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM coded, crc),
+edited AS (SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM edited WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+cut AS (SELECT word, n, length(word) AS len, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.len = b.len AND a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT w.word, c.word, c.n FROM words w JOIN cut c ON c.rest = w.word
+  UNION SELECT c.word, w.word, w.n FROM words w JOIN cut c ON c.rest = w.word),
+ranked AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS place FROM near),
+formed AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 5 * w.n THEN r.other END AS form, CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1),
+steps AS (SELECT word, word AS at FROM words UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN steps s ON s.word = f.word JOIN formed e ON e.word = s.at AND e.form IS NULL
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@register("op12_weighted_sampling")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, folder, "documents"))
+
+
+@register("op13_divergence_audit", r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+tf AS (SELECT lang, source, doc, term, count(*) AS n FROM (SELECT lang, source, doc, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM tf GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(t.n, 0)::HUGEINT AS n FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM tf GROUP BY ALL) t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+priced AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source)::HUGEINT + 2 * v) AS p,
+  1 + (1000000000 * (lang_n + 2)) // (total + 2 * v) AS q FROM counts JOIN sizes USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM priced WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found) WHERE part = 'pair' OR rank <= 10
+""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence_audit(table(spark, folder, "documents"))
