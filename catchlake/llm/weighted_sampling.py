@@ -1,6 +1,6 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text is a set of weighted terms: its runs of non-blank characters (cut after every 16 characters, so that unbroken text has terms
+A text is a set of weighted terms: its runs of non-blank bytes of UTF-8 (cut after every 16 bytes, so that unbroken text has terms
 as well), A-Z lower-cased, weighted by how often they occur. For each of 128 samples every term draws r and c from Gamma(2, 1) and b from
 [0, 1), all by a hash of the term and the sample's number. With a weight w, t = floor(ln w / r + b) and the value of the term is
 ln c - r (t - b + 1); the term of the least value is the sample, together with its t. Two texts have an equal sample with a
@@ -22,7 +22,6 @@ are not read, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -37,15 +36,20 @@ from catchlake.llm.common import map_batches
 from catchlake.operators.partitions import place_among
 from catchlake.session import materialize
 
-TERM = re.compile(r"[^\x20\x09-\x0D]{1,16}")
-LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+TERM_BYTES = 16
+
+
+def uniform(x: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    """Bits of hashes, 23 at most, as numbers between 0 and 1 and neither of them."""
+    whole = ((x >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.uint32).astype(np.float32)
+    return (whole + np.float32(0.5)) * np.float32(2.0 ** -bits)
 
 
 @dataclass(frozen=True)
 class SamplingSettings:
     samples: int = 128
     seed: int = 12
-    table: int = 16_384  #: terms whose draws a task keeps
+    table: int = 65_536  #: terms whose draws a task keeps, 2 KB each
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -61,28 +65,32 @@ class Sampler:
 
     def __init__(self, s: SamplingSettings):
         self.s = s
-        numbers = np.arange(5 * s.samples, dtype=np.uint64) + np.uint64(1)
-        self.steps = mixed(numbers * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s.seed)).reshape(5, s.samples)
+        numbers = np.arange(2 * s.samples, dtype=np.uint64) + np.uint64(1)
+        self.steps = mixed(numbers * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s.seed)).reshape(2, s.samples)
         size = max(s.table, self.BLOCK)
-        self.slots: dict[str, int] = {}
+        self.slots: dict[bytes, int] = {}
         self.hashes = np.zeros(size, np.uint64)
         # ln c, r, b and the value of the term at a weight of 1, where t is 0
-        self.draws = np.zeros((4, size, s.samples))
+        self.draws = np.zeros((4, size, s.samples), np.float32)
 
-    def slots_of(self, terms: list[str]) -> np.ndarray:
+    def slots_of(self, terms: list[bytes]) -> np.ndarray:
         """Where the draws of the terms lie. A full table starts again; a block of terms always fits."""
-        new = [t for t in terms if t not in self.slots]
+        found = list(map(self.slots.get, terms))
+        if None not in found:
+            return np.array(found)
+        new = [t for t, slot in zip(terms, found) if slot is None]
         if len(self.slots) + len(new) > len(self.hashes):
             self.slots.clear()
             new = terms
-        if new:
-            at = len(self.slots)
-            hashes = np.fromiter((xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.s.seed) for t in new), np.uint64, len(new))
-            u = ((mixed(hashes[None, :, None] ^ self.steps[:, None, :]) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
-            r, c, b = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
-            self.hashes[at:at + len(new)] = hashes
-            self.draws[:, at:at + len(new)] = c, r, b, c - r * (1 - b)
-            self.slots.update(zip(new, range(at, at + len(new))))
+        at = len(self.slots)
+        hashes = np.fromiter((xxh64_intdigest(t, self.s.seed) for t in new), np.uint64, len(new))
+        for_c, for_r = mixed(hashes[None, :, None] ^ self.steps[:, None, :])
+        c = np.log(-np.log(uniform(for_c, 41, 23) * uniform(for_c, 18, 23)))
+        r = -np.log(uniform(for_r, 44, 20) * uniform(for_r, 24, 20))
+        b = uniform(for_r, 1, 23)
+        self.hashes[at:at + len(new)] = hashes
+        self.draws[:, at:at + len(new)] = c, r, b, c - r * (1 - b)
+        self.slots.update(zip(new, range(at, at + len(new))))
         return np.fromiter(map(self.slots.__getitem__, terms), np.int64, len(terms))
 
     def values(self, slots: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,14 +99,14 @@ class Sampler:
         t = np.floor(logs[:, None] / r + b)
         return c - r * (t - b + 1), t
 
-    def samples(self, weights: dict[str, int]) -> np.ndarray:
+    def samples(self, weights: dict[bytes, int]) -> np.ndarray:
         """The sample's hash, 16 bits, for each number; terms must not be empty."""
         terms, column = list(weights), np.arange(self.s.samples)
         best, found = np.full(self.s.samples, np.inf), np.zeros(self.s.samples, np.uint64)
         for at in range(0, len(terms), self.BLOCK):
             some = terms[at:at + self.BLOCK]
             slots = self.slots_of(some)
-            counts = np.fromiter((weights[t] for t in some), np.float64, len(some))
+            counts = np.fromiter(map(weights.__getitem__, some), np.float32, len(some))
             values, t = self.draws[3, slots], None
             heavy = np.flatnonzero(counts > 1)
             if len(heavy):
@@ -117,10 +125,18 @@ class Sampler:
         return (mixed(found + self.steps[0]) & np.uint64(0xFFFF)).astype(">u2")
 
     def __call__(self, text: str) -> str:
-        weights = Counter(TERM.findall(text.translate(LOWER)))
+        weights = term_weights(text)
         return self.samples(weights).tobytes().hex() if weights else ""
 
 
+def term_weights(text: str) -> Counter:
+    words = Counter(text.encode("utf-8", "surrogatepass").lower().split())  # bytes: A-Z only, and blanks of ASCII
+    for word in [w for w in words if len(w) > TERM_BYTES]:
+        n = words.pop(word)
+        words.update({piece: n * k for piece, k in Counter(word[i:i + TERM_BYTES] for i in range(0, len(word), TERM_BYTES)).items()})
+    return words
+
+
 def likeness(a: str, b: str) -> float:
     """The estimated generalised Jaccard similarity of two fingerprints' texts."""
     if not a or not b:
