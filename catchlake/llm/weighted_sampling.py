@@ -1,7 +1,7 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text is a set of weighted terms: its runs of non-blank bytes of UTF-8 (cut after every 16 bytes, so that unbroken text has terms
-as well), A-Z lower-cased, weighted by how often they occur. For each of 128 samples every term draws r and c from Gamma(2, 1) and b from
+as well), A-Z lower-cased, weighted by how often they occur. For each of 96 samples every term draws r and c from Gamma(2, 1) and b from
 [0, 1), all by a hash of the term and the sample's number. With a weight w, t = floor(ln w / r + b) and the value of the term is
 ln c - r (t - b + 1); the term of the least value is the sample, together with its t. Two texts have an equal sample with a
 probability of their generalised Jaccard similarity: the sum of the smaller weights over the sum of the larger ones. A fingerprint
@@ -47,7 +47,7 @@ def uniform(x: np.ndarray, shift: int, bits: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class SamplingSettings:
-    samples: int = 128
+    samples: int = 96
     seed: int = 12
     table: int = 65_536  #: terms whose draws a task keeps, 2 KB each
 
