@@ -270,7 +270,8 @@ def visits(words: DataFrame, trees: dict[int, Node]) -> DataFrame:
 
 def near_pairs(words: DataFrame, s: SpellingSettings) -> DataFrame:
     """All pairs of words one edit apart, once: a, a_n, b, b_n."""
-    placed = visits(words, cells_of(words, s)).repartition("cell").sortWithinPartitions("cell", "visits")
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number of its own is not merged: rows are few, but dear
+    placed = visits(words, cells_of(words, s)).repartition(parts, "cell").sortWithinPartitions("cell", "visits")
     schema = pa.schema([("a", pa.string()), ("a_n", pa.int64()), ("b", pa.string()), ("b_n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
