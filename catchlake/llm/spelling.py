@@ -8,7 +8,7 @@ The upper part of each length's tree is made from a bounded sample of the vocabu
 the space is cut into cells; every word is in the cell that its point lies in, so the sample bears on the balance and never on the result. A
 word visits the cells whose box its range touches: of its own length those behind its own cell, so that a pair meets once. Inside a cell
 the lower part of the tree is built over the cell's words, and visitors stream past it in batches. Words with equal counts
-(anagrams) share a point and are never compared with each other.
+(anagrams) share a point.
 
 Counting words is one pass in Arrow batches with a bounded table of partial sums for each task; nothing but words and counts is shuffled.
 The form of a word is its near word of the largest count where that is large enough, and the root follows forms by path
@@ -205,7 +205,7 @@ class CellIndex:
                 q, p = some[q], node.points[p]
                 if own:
                     q, p = q[q < p], p[q < p]
-                found = np.abs(vectors[q] - self.vectors[p]).sum(axis=1) == radius
+                found = np.abs(vectors[q] - self.vectors[p]).sum(axis=1) <= radius
                 q, p = q[found], p[found]
                 found = one_edit(letters[q], self.letters[p])
                 yield q[found], p[found]
