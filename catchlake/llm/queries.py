@@ -78,7 +78,7 @@ BASE32_SQL = " || ".join(
 WITH bodies AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages),
 firsts AS (SELECT digest, min(page_id) AS low FROM bodies GROUP BY digest)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {BASE32_SQL} AS payload_digest,
-  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id > low THEN low END AS refers_to
+  CASE WHEN page_id > low THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > low THEN low END AS refers_to
 FROM bodies JOIN firsts USING (digest)""")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, folder, "pages").select("page_id", "url", "html"))
@@ -102,7 +102,7 @@ fits AS (SELECT page_id, rule_host || rule_path AS rule, verdict, row_number() O
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
 """)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS rules(host, path, verdict)")
     return url_filters.judged_pages(table(spark, folder, "pages"), rules)
 
 

@@ -67,14 +67,35 @@ def test_round_trip(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "'x' AS record_type", "'x' AS _first", "'x' AS _digest")
     assert order(warc.archive_round_trip(df).collect()) == order(expected(pages))
     assert warc.archive_round_trip(df.limit(0)).count() == 0
-    assert order(warc.archive_round_trip(df.unionByName(df)).collect()) == order(expected(pages))  # repeated captures are one
+    assert order(warc.archive_round_trip(df.unionByName(df)).collect()) == order(expected(pages + pages))
+
+
+def test_every_row_is_a_capture(spark):
+    pages = [(1, "http://a", "x")] * 4 + [(2, "http://a", "x")] * 2500 + [(None, None, "x")] * 3 + [(None, "", "x"), (None, "", "y"), (None, "", "y"), (3, None, None), (3, "", ""), (3, "", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    assert order(warc.archive_round_trip(df).collect()) == order(expected(pages))
+    path = shared_path(spark, "warc")
+    warc.write_archives(df, path)
+    records = warc.read_records(spark, path)
+    assert records.count() == 3 * len(pages) == records.select("record_id").distinct().count()
+    assert warc.assemble_captures(records).count() == len(pages)
+
+
+def test_files_are_bounded_by_bytes(spark):
+    pages = [(i, "http://a", f"{i} " + "x" * n) for i, n in enumerate([10] * 12 + [400] * 6 + [3000] * 3)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = shared_path(spark, "warc")
+    warc.write_archives(df, path, sizes=((100, 5), (1000, 2), (None, 1)))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").collect()
+    assert collections.Counter(f["path"].split("/")[-2] for f in files) == {"upto-100": 3, "upto-1000": 3, "upto-any": 3}
+    assert warc.read_records(spark, path).filter("record_type = 'response'").count() == len(pages)
 
 
 def test_captures_are_nested_rows(spark):
     path = shared_path(spark, "warc")
     pages = spark.createDataFrame([(i, f"http://h{i}/", f"body {i % 3}") for i in range(20)], "page_id long, url string, html string")
-    warc.write_archives(pages, path, captures=3)
-    names = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    warc.write_archives(pages, path, sizes=((None, 3),))
+    names = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect()]
     assert len(names) >= 7
     records = warc.read_records(spark, path)
     assert {r["record_type"]: r["count"] for r in records.groupBy("record_type").count().collect()} == {
