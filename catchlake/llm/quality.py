@@ -1,6 +1,7 @@
 """Quality classifier: attention-based multiple-instance learning over the passages of a document.
 
-A document is a bag of passages of 64 words. Each passage is encoded from the mean of hashed word and word-shape
+A document is a bag of passages of 64 words; a word of more than 31 characters goes in as consecutive pieces of 31, so that the
+whole text counts, be it without blanks. Each passage is encoded from the mean of hashed word and word-shape
 embeddings and a few rates (repeated word triples, symbols, capitals, lengths). Gated attention gives each passage a
 weight, the weighted sum of passages is the document's representation, and a logistic layer scores it. Only document
 labels are known, so the attention learns which passages matter. Trained in numpy on a bounded sample.
@@ -26,6 +27,7 @@ from catchlake.llm.common import Sample, TwoAges, free_name, platt, sigmoid, tra
 
 SHAPE = re.compile(r"(.)\1+", re.DOTALL)
 RATES = 6
+PIECE = 31  #: the most characters of a word whose length and symbols fit the bits kept of them
 
 
 @dataclass(frozen=True)
@@ -55,16 +57,24 @@ class MilModel:
     scale: tuple[float, float] = (1.0, 0.0)
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, long ones in pieces."""
+    words = (text or "").split()
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
+
+
 def word_facts(word: str, buckets: int, shapes: int) -> int:
-    """Word row (16 bits), shape row (12), length (6), symbols (5), capitals flag (1) and 20 more bits of the hash."""
+    """Of a word of PIECE characters at most: word row (16 bits), shape row (12), length (6), symbols (5), capitals flag (1) and 20 more bits of the hash."""
     data = word.encode("utf-8", "surrogatepass")
     code = zlib.crc32(data)
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     shape = zlib.crc32(SHAPE.sub(r"\1\1", kinds).encode("utf-8", "surrogatepass"))
-    symbols = sum(not c.isalnum() and c not in ".,;:'\"-" for c in word[:64])
+    symbols = sum(not c.isalnum() and c not in ".,;:'\"-" for c in word)
     capitals = word.isupper() and len(word) > 1
     more = zlib.adler32(data) ^ zlib.crc32(data, 99)
-    return (code % buckets) | (shape % shapes) << 16 | min(len(word), 63) << 28 | min(symbols, 31) << 34 | capitals << 39 | (more & 0xFFFFF) << 40
+    return (code % buckets) | (shape % shapes) << 16 | len(word) << 28 | symbols << 34 | capitals << 39 | (more & 0xFFFFF) << 40
 
 
 def _cache(s: MilSettings) -> TwoAges:
@@ -114,7 +124,7 @@ def _layout(texts: list, cache: TwoAges, s: MilSettings):
     """Bags of about block_words words; a longer text is a block of its own."""
     block, size = [], 0
     for text in texts:
-        words = cache.of((text or "").split())
+        words = cache.of(words_of(text))
         words = words if len(words) else np.zeros(1, np.int64)
         if block and size + len(words) > s.block_words:
             yield _bags(block, s)
@@ -164,7 +174,7 @@ def train_mil(sample: Sample, s: MilSettings = MilSettings()) -> MilModel:
     held, fit = order[:back], order[back:]
     if len(set(sample.labels[fit].tolist())) < 2 or len(set(sample.labels[held].tolist())) < 2:
         held = fit = order
-    words = {int(i): cache.of(sample.texts[i].split()) if sample.texts[i].split() else np.zeros(1, np.int64) for i in fit}
+    words = {int(i): w if len(w := cache.of(words_of(sample.texts[i]))) else np.zeros(1, np.int64) for i in fit}
     w = _start(s)
     sums = {k: np.full(v.shape, 1e-3, np.float32) for k, v in w.items()}
     for _ in range(max(s.epochs, -(-s.steps * s.batch // len(fit)))):
@@ -216,7 +226,7 @@ def score_texts(model: MilModel, texts: list, cache: TwoAges | None = None) -> n
 
 def attention(model: MilModel, text: str) -> list[tuple[str, float]]:
     """The passages of one text with their attention weights, to see what a score rests on."""
-    words = (text or "").split()
+    words = words_of(text)
     b = next(_layout([text], _cache(model.settings), model.settings))
     a = _forward(model.weights, b, model.settings)["a"]
     p = model.settings.passage
