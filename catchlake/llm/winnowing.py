@@ -3,11 +3,11 @@
 Of a text's hashed k-grams, the least of every run of w consecutive ones is kept as a fingerprint, so two texts that share
 at least k + w - 1 words share a fingerprint inside. Fingerprints of documents and items are joined; each common one is
 extended by comparing the words around it, and every window of k + w - 1 equal words is a hit. Words are compared, so a
-clash of hashes makes no hit. An item shorter than a window is one window of its own length; documents are then searched
-for all grams of that length.
+clash of hashes makes no hit. An item shorter than a window is one window of its own length; documents are searched
+for all grams of the lengths of short items in the same pass.
 
-All of it is built-in functions. Documents are read for fingerprints, again for those that share one, and once for the
-count of words; only fingerprints and hits travel, no texts. The items' fingerprints are broadcast if they are measured
+All of it is built-in functions. Documents are read for fingerprints of all lengths, again for those that share one, and once for
+the count of words; only fingerprints and hits travel, no texts. The items' fingerprints are broadcast if they are measured
 small, and joined by shuffle otherwise.
 
 Cases: null and empty texts have no words; documents without words, and all documents where the benchmark is empty, have
@@ -18,6 +18,7 @@ not the text each get their own. A very long text is processed whole.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from catchlake.operators.sizing import measured
 from catchlake.session import materialize
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-PLACE_BITS = 26  #: of the number that is compared, so many low bits hold the place
+PLACE_BITS = 31  #: of the number that is compared, so many low bits hold the place; an array has no more entries
 
 
 @dataclass(frozen=True)
@@ -46,63 +47,65 @@ def words_of(text: str) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(F.col(text), F.lit(""))), NOT_WORD), "")
 
 
-def with_fingerprints(texts: DataFrame, g: Grams, context: bool) -> DataFrame:
-    """A row for each fingerprint of column _w: _hash, _place and, if asked for, the words around it in _around: those of
-    all windows that hold it, null beyond the text's ends. The other columns stay; _w goes."""
-    hashes = texts.withColumn("_h", F.when(F.size("_w") >= g.k, F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("_w") - F.lit(g.k), F.lit(0))),
-        lambda i: F.xxhash64(*[F.get("_w", i + j) for j in range(g.k)]))).otherwise(F.array().cast("array<bigint>")))
-    low = F.lit((1 << PLACE_BITS) - 1)
-    placed = hashes.withColumn("_p", F.transform("_h", lambda x, i: x.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("bigint"))))
+def _marks(g: Grams, kind: int, context: bool) -> Column:
+    """An array of the fingerprints of column _w: _kind, _hash, _place and, if asked for, the words around it in _around: those of
+    all windows that hold it, null beyond the text's ends."""
+    size, low = F.size("_w"), F.lit((1 << PLACE_BITS) - 1)
+    gram = lambda i: F.xxhash64(*[F.get("_w", i + j) for j in range(g.k)])
+    hashes = F.transform(F.sequence(F.lit(0), F.greatest(size - F.lit(g.k), F.lit(0))), gram)
     if g.run > 1:
-        least = F.transform("_p", lambda x, i: F.least(x, *[F.get("_p", i + j) for j in range(1, g.run)]))
-        placed = placed.withColumn("_p", F.array_distinct(least))
-    place = lambda x: x.bitwiseAND(low).cast("int")
-    if context:
-        around = lambda at: F.transform(F.sequence(F.lit(1 - g.run), F.lit(g.span - 1)), lambda d: F.get("_w", at + d))
-        marks = F.transform("_p", lambda x: F.struct(F.get("_h", place(x)).alias("_hash"), place(x).alias("_place"), around(place(x)).alias("_around")))
+        placed = F.transform(hashes, lambda x, i: x.bitwiseAND(F.lit(-1 << PLACE_BITS)).bitwiseOR(i.cast("bigint")))
+        runs = F.transform(F.array(placed), lambda p: F.array_distinct(F.transform(p, lambda x, i: F.least(x, *[F.get(p, i + j) for j in range(1, g.run)]))))
+        places = F.transform(runs[0], lambda x: x.bitwiseAND(low).cast("int"))
     else:
-        marks = F.transform("_p", lambda x: F.struct(F.get("_h", place(x)).alias("_hash"), place(x).alias("_place")))
+        places = F.sequence(F.lit(0), F.greatest(size - F.lit(g.k), F.lit(0)))
+    around = lambda at: F.transform(F.sequence(F.lit(1 - g.run), F.lit(g.span - 1)), lambda d: F.get("_w", at + d))
+    mark = lambda at: F.struct(F.lit(kind).alias("_kind"), gram(at).alias("_hash"), at.alias("_place"), *([around(at).alias("_around")] if context else []))
+    return F.filter(F.transform(places, mark), lambda _: size >= g.k)
+
+
+def with_fingerprints(texts: DataFrame, kinds: dict[int, Grams], context: bool) -> DataFrame:
+    """A row for each fingerprint of column _w of each kind of grams, in one pass. The other columns stay; _w goes."""
     kept = [c for c in texts.columns if c != "_w"]
-    return placed.select(*kept, F.explode(marks).alias("_mark")).select(*kept, "_mark.*")
+    marks = F.concat(*[_marks(g, kind, context) for kind, g in kinds.items()])
+    return texts.select(*kept, F.inline(marks))
+
+
+WINDOW = 0  #: the kind of fingerprints for items of a window or more; that of a shorter item is its number of words
 
 
-def hits_of(docs: DataFrame, items: DataFrame, g: Grams) -> DataFrame:
-    """Columns _id, _text, item_id and _start: every window of documents that occurs in an item. docs has _id, _text (a hash
-    of the text) and _w, items has item_id and _w."""
-    marks = materialize(with_fingerprints(items, g, context=True), "item-fingerprints")
-    hashes = measured(hashes=marks.select("_hash").distinct())["hashes"]
-    found = materialize(with_fingerprints(docs, g, context=False).join(hashes, "_hash", "left_semi")
+def hits_of(docs: DataFrame, items: DataFrame, kinds: dict[int, Grams]) -> DataFrame:
+    """Columns _id, _text, item_id, _start and _span: every window of documents that occurs in an item. docs has _id, _text (a hash
+    of the text) and _w, items has item_id, _w and _kind."""
+    own = [with_fingerprints(items.filter(F.col("_kind") == kind).drop("_kind"), {kind: g}, context=True) for kind, g in kinds.items()]
+    marks = materialize(reduce(DataFrame.unionByName, own), "item-fingerprints")
+    hashes = measured(hashes=marks.select("_kind", "_hash").distinct())["hashes"]
+    found = materialize(with_fingerprints(docs, kinds, context=False).join(hashes, ["_kind", "_hash"], "left_semi")
                         .select("_id", "_text").distinct(), "documents-with-fingerprints")
     small = measured(found=found, marks=marks)
     near = docs.join(small["found"].select(F.col("_id").alias("_id2"), F.col("_text").alias("_text2")),
                      F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_text") == F.col("_text2")), "left_semi")
-    theirs = small["marks"].select("_hash", "item_id", F.col("_around").alias("_other"))
-    both = with_fingerprints(near, g, context=True).join(theirs, "_hash")
-    equal = [F.col("_around")[j] == F.col("_other")[j] for j in range(g.run + g.span - 1)]
-    starts = []
-    for s in range(g.run):
-        whole = equal[s]
-        for j in range(s + 1, s + g.span):
-            whole = whole & equal[j]
-        starts.append(F.when(whole, F.col("_place") + F.lit(1 - g.run + s)))
-    return both.select("_id", "_text", "item_id", F.explode(F.array_compact(F.array(*starts))).alias("_start"))
+    theirs = small["marks"].select("_kind", "_hash", "item_id", F.col("_around").alias("_other"))
+    both = with_fingerprints(near, kinds, context=True).join(theirs, ["_kind", "_hash"])
+    starts = F.array().cast("array<int>")
+    for kind, g in kinds.items():
+        equal = [F.col("_around")[j] == F.col("_other")[j] for j in range(g.run + g.span - 1)]
+        mine = F.array(*[F.when(reduce(Column.__and__, equal[s:s + g.span]), F.col("_place") + F.lit(1 - g.run + s)) for s in range(g.run)])
+        starts = F.when(F.col("_kind") == kind, mine).otherwise(starts)
+    spans = F.create_map(*[F.lit(x) for kind, g in kinds.items() for x in (kind, g.span)])
+    return both.select("_id", "_text", "item_id", F.element_at(spans, F.col("_kind")).alias("_span"), F.explode(F.array_compact(starts)).alias("_start"))
 
 
 def _hits(docs: DataFrame, benchmark: DataFrame, span: int, k: int, key: str = "doc_id", text: str = "text",
           item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Columns _id, _text (a hash of the text), item_id, _start and _span: every window of documents that occurs in an item."""
     read = docs.select(F.col(key).alias("_id"), F.xxhash64(F.col(text)).alias("_text"), words_of(text).alias("_w"))
-    items = benchmark.select(F.col(item).alias("item_id"), words_of(item_text).alias("_w")).filter(
-        F.col("item_id").isNotNull() & (F.size("_w") > 0))
-    short = [r["n"] for r in items.select(F.size("_w").alias("n")).filter(F.col("n") < span).distinct().orderBy("n").collect()]  # below span rows
-    parts = [(items.filter(F.size("_w") >= span), Grams(k, span - k + 1))]
-    parts += [(items.filter(F.size("_w") == n), Grams(n, 1)) for n in short]
-    hits = None
-    for own, g in parts:
-        part = hits_of(read, own, g).withColumn("_span", F.lit(g.span))
-        hits = part if hits is None else hits.unionByName(part)
-    return materialize(hits.distinct(), "hits")
+    size = F.size("_w")
+    items = benchmark.select(F.col(item).alias("item_id"), words_of(item_text).alias("_w")).filter(F.col("item_id").isNotNull() & (size > 0))
+    items = items.withColumn("_kind", F.when(size < span, size).otherwise(WINDOW))
+    lengths = [r["_kind"] for r in items.select("_kind").distinct().orderBy("_kind").collect()]  # span rows at most
+    kinds = {n: Grams(n, 1) if n else Grams(k, span - k + 1) for n in lengths or [WINDOW]}
+    return materialize(hits_of(read, items, kinds).distinct(), "hits")
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, span: int = 10, k: int = 5, key: str = "doc_id", text: str = "text",

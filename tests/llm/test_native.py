@@ -74,7 +74,7 @@ def test_every_shared_span_has_a_common_fingerprint(spark):
         shared = [rng.choice("abc") for _ in range(10)]
         a, b = ([rng.choice("abc") for _ in range(rng.randrange(20))] + shared + [rng.choice("abc") for _ in range(20)] for _ in range(2))
         df = spark.createDataFrame([(0, a), (1, b)], "id int, _w array<string>")
-        marks = winnowing.with_fingerprints(df, winnowing.Grams(5, 6), False).collect()
+        marks = winnowing.with_fingerprints(df, {winnowing.WINDOW: winnowing.Grams(5, 6)}, False).collect()
         places = [{r["_place"] for r in marks if r["id"] == i} for i in (0, 1)]
         starts = ["".join(a).index("".join(shared)), "".join(b).index("".join(shared))]
         inside = [{p - s for p in own if s <= p <= s + 5} for own, s in zip(places, starts, strict=True)]
