@@ -13,8 +13,10 @@ it, is taken as its floor where it is less, since most texts have no symbols or
 in the shortest text that passes the base rule the chance of its words' lengths (0.3 is their mean's deviation), one symbol, one
 repeated line or one repeated triple is no outlier by itself.
 
-Sources of a language with few rows are taken together, and languages with few rows as well. What is left over is judged by
-the estimate of all rows if it is few itself.
+An estimate needs `least` rows (100) that pass the base rule. A language and source with so many is judged by its own; those of one language with
+fewer are judged together, by an estimate of all of them; what has fewer than 100 rows of a language left in that way is taken
+together over all languages. If even that is fewer than 100 rows, they are judged by the estimate of all rows of the table, and if the
+table has fewer than 100 rows, nothing is estimated. So every row is judged by the closest group that is large enough, at every size.
 
 Cases: null and empty texts have no words and fail the base rule; a null language or source is one of its own; ties and
 repeated rows get equal verdicts; with fewer rows than a group needs, in all, nothing is rejected beyond the base rule.
@@ -35,8 +37,9 @@ from catchlake.session import materialize
 BLANK = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-PLACE_BITS = 26
+PLACE_BITS = 31  #: as many places as an array has
 SCALE = 256
+QUARTILE_BINS = 64
 D = 5
 ALL = "every"  #: the group whose estimate is that of all rows
 
@@ -188,11 +191,12 @@ def _joined(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def _first_estimates(rows: DataFrame, s: McdSettings) -> DataFrame:
     """Both starts of every group."""
     plain = _estimate(rows.groupBy("_g").agg(*_sums()), 1.0, s).withColumn("_start", F.lit(0))
-    values = rows.select("_g", F.posexplode(F.array(*[f"x{i}" for i in range(D)])).alias("_i", "_x"))
+    # quartiles by bins of 1/64 in the logarithm, of which there are a few thousand whatever the rows: summed map-side, short windows
+    values = rows.select("_g", F.posexplode(F.array(*[F.floor(F.log1p(f"x{i}") * QUARTILE_BINS) for i in range(D)])).alias("_i", "_x"))
     counts = values.groupBy("_g", "_i", "_x").count()
     up = W.partitionBy("_g", "_i").orderBy("_x")
     ranked = counts.withColumns({"_to": F.sum("count").over(up), "_n": F.sum("count").over(W.partitionBy("_g", "_i"))})
-    at = lambda q: F.min(F.when(F.col("_to") >= F.col("_n") * q, F.col("_x"))) / SCALE
+    at = lambda q: F.expm1(F.min(F.when(F.col("_to") >= F.col("_n") * q, F.col("_x"))) / QUARTILE_BINS) / SCALE
     quart = ranked.groupBy("_g", "_i").agg(at(0.25).alias("a"), at(0.5).alias("m"), at(0.75).alias("b"))
     wide = quart.groupBy("_g").agg(*[
         F.max(F.when(F.col("_i") == i, F.col(c))).alias(f"{c}{i}") for i in range(D) for c in ("a", "m", "b")])
