@@ -17,7 +17,7 @@ from catchlake.plans import cells as cell_plans
 from catchlake.plans import facts as fact_plans
 from catchlake.plans import summaries as S
 from catchlake.session import materialize, shared_path
-from catchlake.sources import writers
+from catchlake.sources import layout, readers, writers
 
 DIMS = ("end_use", "price", "cube_dim_taxon", "area", "time_dim", "catch_type",
         "reporting_status", "gear")
@@ -149,7 +149,7 @@ def p14(t):
     first = {n: materialize(layer_fact(t, n), n) for n in ("eez", "high_seas", "global")}
     writers.write_fact(first["eez"].unionByName(first["high_seas"]).unionByName(first["global"]), path)
     writers.write_fact(first["eez"], path, [C.EEZ, C.GLOBAL])
-    return published(spark_of(t).read.parquet(path))
+    return published(readers.read_current(spark_of(t), path))
 
 
 @check("b04_unit_price_value", """
@@ -196,6 +196,33 @@ def b18(t):
     return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, d))
 
 
+BUCKETS = 16
+
+
+def laid_out(t):
+    """The result and the allocation data in a layout by their common key, as pairs to be joined."""
+    by_id, root = layout.Layout("universal_data_id", BUCKETS), shared_path(spark_of(t), "laid-out")
+    result = layout.lay_out(t.allocation_result, f"{root}/result", by_id)
+    return layout.pairs_of(result, layout.lay_out_side(t.allocation_data, f"{root}/data", by_id))
+
+
+def bucketed_fact(t) -> DataFrame:
+    d = dims_and_lookups(t, "eez")
+    parts = [(S.summarize_eez(result, d["simple_area"]), data) for result, data in laid_out(t)]
+    return fact_plans.build_fact_of_parts(parts, d, LAYERS["eez"])
+
+
+def bucketed_cells(t) -> DataFrame:
+    areas = measured(a=t.allocation_simple_area)["a"]
+    parts = [(result, cell_plans.caught_data(data, S.summarize_eez(result, areas))) for result, data in laid_out(t)]
+    return cell_plans.cell_sums_of_parts(parts)
+
+
+@check("j01_bucketed_fact", fact_sql(LAYERS["eez"]))
+def j01_fact(t):
+    return published(bucketed_fact(t))
+
+
 CELL_SQL = """
 select d.year, d.taxon_key, d.fishing_entity_id, r.cell_id, t.commercial_group_id, t.functional_group_id, d.sector_type_id,
   ct.abbreviation as catch_status, rs.abbreviation as reporting_status, cast(sum(r.allocated_catch) as decimal(28,4)) as catch_sum,
@@ -210,13 +237,12 @@ group by all"""
 
 
 def _eez_ids(t) -> DataFrame:
-    """The ids of the written EEZ summary."""
-    return materialize(S.summarize_eez(t.allocation_result, measured(a=t.allocation_simple_area)["a"]), "eez-summary")
+    return materialize(cell_plans.eez_ids(t.allocation_result, measured(a=t.allocation_simple_area)["a"]), "eez-ids")
 
 
-def cells_of(t, year: int | None = None) -> DataFrame:
+def cells_of(t, year: int | None = None, ids: DataFrame | None = None) -> DataFrame:
     d = measured(taxon=t.cube_dim_taxon, catch_type=t.catch_type, status=t.reporting_status, years=t.time_dim, names=t.taxon_name)
-    return cell_plans.cell_catch(t.allocation_data, t.allocation_result, _eez_ids(t), d["taxon"], d["catch_type"], d["status"],
+    return cell_plans.cell_catch(t.allocation_data, t.allocation_result, ids or _eez_ids(t), d["taxon"], d["catch_type"], d["status"],
                                  d["years"], d["names"], year, materialize)
 
 
@@ -224,17 +250,25 @@ def _four(df: DataFrame) -> DataFrame:
     return df.withColumn("catch_sum", F.col("catch_sum").cast("decimal(28,4)"))
 
 
-@check("c01_cell_sums", """
+C01_SQL = """
 select d.year, d.taxon_key, d.fishing_entity_id, r.cell_id, d.sector_type_id, d.catch_type_id, d.reporting_status_id, d.gear_type_id,
   cast(sum(r.allocated_catch) as decimal(28,4)) as catch_sum
 from {allocation_data} d join {allocation_result} r on r.universal_data_id = d.universal_data_id
 where d.universal_data_id in (select universal_data_id from {allocation_result} x join {allocation_simple_area} s
-  on s.allocation_simple_area_id = x.allocation_simple_area_id where s.eez_id > 0) group by all""")
+  on s.allocation_simple_area_id = x.allocation_simple_area_id where s.eez_id > 0) group by all"""
+
+
+@check("c01_cell_sums", C01_SQL)
 def c01(t):
     return _four(cell_plans.cell_sums(materialize(cell_plans.caught_data(t.allocation_data, _eez_ids(t)), "caught-data"),
                                       t.allocation_result))
 
 
+@check("j01_bucketed_cells", C01_SQL)
+def j01_cells(t):
+    return _four(bucketed_cells(t))
+
+
 @check("c02_c03_cell_catch", CELL_SQL % "")
 def c02(t):
     return _four(cells_of(t))
@@ -244,6 +278,7 @@ def c02(t):
 def c04(t):
     """All years written, then two years again, of which one has no rows any more: every other row is there once."""
     path = shared_path(spark_of(t), "cell-catch")
-    cell_plans.refresh_year(cells_of(t), path)
-    cell_plans.refresh_year(cells_of(t, 1997), path, [1996, 1997])
-    return _four(spark_of(t).read.parquet(path))
+    ids = _eez_ids(t)
+    cell_plans.refresh_year(cells_of(t, ids=ids), path)
+    cell_plans.refresh_year(cells_of(t, 1997, ids), path, [1996, 1997])
+    return _four(readers.read_current(spark_of(t), path))

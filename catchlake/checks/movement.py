@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,7 @@ def p01(t):
     readers.pull_all(spark, spark.createDataFrame(MANIFEST_ROWS, readers.MANIFEST_SCHEMA), readers.ParquetReader(t.folder), root)
     columns = {"allocation/orders_done": ("o_orderkey", "o_custkey"), "master/supplier": ("s_suppkey", "s_nationkey"),
                "master/part": ("p_partkey", "p_size"), "allocation/order_parts": ("l_orderkey", "parts"), "master/customer": ("c_custkey", None)}
-    return reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/{table}").select(
+    return reduce(DataFrame.unionByName, [readers.read_current(spark, f"{root}/{table}").select(
         F.lit(table.split("/")[0]).alias("part"), F.lit(table.split("/")[1]).alias("name"), F.col(a).alias("a"),
         (F.col(b) if b else F.lit(None)).cast("bigint").alias("b")) for table, (a, b) in columns.items()])
 
@@ -48,7 +48,7 @@ select universal_data_id, cell_id, allocated_catch from {allocation_result}""")
 def p03(t):
     path = shared_path(spark_of(t), "full-refresh")
     writers.full_refresh(t.allocation_result, path, exclude=["allocation_simple_area_id"])
-    return spark_of(t).read.parquet(path)
+    return readers.read_current(spark_of(t), path)
 
 
 MAP_SQL = """
@@ -177,8 +177,8 @@ def p13(t):
     """Every line of the written document, numbered as the part files read one after the other have them."""
     path = shared_path(spark_of(t), "document")
     writers.write_json_doc(documents.taxon_list(t.taxon_lineage), ["section", "name", "taxon_key"], path)
-    lines = spark_of(t).read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")))
-    return lines.select((F.row_number().over(Window.orderBy("file", "pos")) - 1).cast("bigint").alias("place"), F.col("col").alias("text"))
+    lines = readers.read_in_order(spark_of(t), path, "place", "text", lineSep="\n")
+    return lines.select((F.col("place") - 1).alias("place"), F.col("value").alias("text"))
 
 
 @check("p15_write_summary", """
@@ -189,5 +189,5 @@ def p15(t):
     root = shared_path(spark_of(t), "summaries")
     for _ in range(2):
         writers.write_summary(summarize_eez(t.allocation_result, t.allocation_simple_area), root, "eez")
-    rows = spark_of(t).read.parquet(f"{root}/eez")
+    rows = readers.read_current(spark_of(t), f"{root}/eez")
     return rows.withColumn("total_catch", F.col("total_catch").cast("decimal(28,4)"))

@@ -8,6 +8,7 @@ from catchlake.checks.registry import check, in_order, spark_of
 from catchlake.operators.sizing import measured
 from catchlake.plans import documents, quality
 from catchlake.session import materialize, shared_path
+from catchlake.sources import readers
 
 
 @check("q07_catch_fluctuation", """
@@ -57,7 +58,7 @@ def q11(t):
     mended = t.raw_catch.filter("year <> 1996").withColumn("catch_type_id", F.lit(1))
     again = {r: RULES[r] for r in (1, 3)}
     quality.write_rule_results(quality.run_rules(mended, again, "id"), path, again)
-    return spark_of(t).read.parquet(path).select("rule_id", "id")
+    return readers.read_current(spark_of(t), path).select("rule_id", "id")
 
 
 NODE = """json_object('key', taxon_key, 'name', common_name, 'level', level, 'lineage', lineage, 'parent', parent,

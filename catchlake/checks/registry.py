@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchlake.fixtures import Tables, with_views
 from catchlake.session import shared_path
+from catchlake.sources.readers import read_in_order
 
 
 @dataclass(frozen=True)
@@ -35,8 +36,7 @@ def in_order(df: DataFrame, name: str) -> DataFrame:
     """A sorted frame with each row's position as it is read back from the written part files, one after the other."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    rows = df.sparkSession.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return rows.withColumn("position", F.row_number().over(Window.orderBy("_file", "_row"))).drop("_file", "_row")
+    return read_in_order(df.sparkSession, path).withColumn("position", F.col("position").cast("int"))
 
 
 def spark_of(tables: Tables) -> SparkSession:

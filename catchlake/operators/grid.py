@@ -115,19 +115,43 @@ def outside_extent(dist: DataFrame, grid: DataFrame, boxes: DataFrame, distance:
     return every.join(near, [*extent, "cell_id"], "left_anti").select(*extent, "cell_id")
 
 
-def purge_contained(boxes: DataFrame, key: str, box_id: str, size: float = 1.0) -> DataFrame:
+#: A box is covered by cells of a sixteenth of its longer side or up to twice that, so by 17 x 17 cells at most.
+ACROSS = 16
+LEVELS = (-30, 50)  #: cells measure 2 to the power of a level
+
+
+def _level(xmin: str, ymin: str, xmax: str, ymax: str) -> Column:
+    """The level of the cells that cover a box; that of a point is the lowest."""
+    side = F.greatest(F.col(xmax) - F.col(xmin), F.col(ymax) - F.col(ymin))
+    level = F.ceil(F.log2(F.nullif(side, F.lit(0.0)) / ACROSS)).cast("int")
+    return F.when(side >= 0, F.least(F.greatest(F.coalesce(level, F.lit(LEVELS[0])), F.lit(LEVELS[0])), F.lit(LEVELS[1])))
+
+
+def cover(boxes: DataFrame, prefix: str = "") -> DataFrame:
+    """A row for each cell of a quadtree (level, bx, by) that covers a part of a box. Cells are as large as the box is, so a box of any size has a few hundred."""
+    corners = [f"{prefix}{c}" for c in CORNERS]
+    levelled = boxes.withColumn("level", _level(*corners))
+    size = F.pow(F.lit(2.0), F.col("level"))
+    span = lambda axis: F.sequence(F.floor(F.col(f"{prefix}{axis}min") / size), F.floor(F.col(f"{prefix}{axis}max") / size))
+    return levelled.filter("level IS NOT NULL").withColumn("bx", F.explode(span("x"))).withColumn("by", F.explode(span("y")))
+
+
+def purge_contained(boxes: DataFrame, key: str, box_id: str) -> DataFrame:
     """Boxes of each key that lie in no other box of it. Of equal boxes the lowest id stays.
 
-    Equal boxes are folded into one before the join. A box is looked up under the bin of its lower-left corner only,
-    among the boxes that touch that bin.
+    Equal boxes are folded into one before the join. A box lies in none that is covered by smaller cells than itself, so its lower-left corner is looked
+    up once at each level from its own on that some box has, and there are as many of these as sizes of boxes double.
     """
     unique = boxes.groupBy(key, *CORNERS).agg(F.min(box_id).alias(box_id))
-    inner = unique.withColumns({"bx": _bin(F.col("xmin"), size), "by": _bin(F.col("ymin"), size)})
-    outer = binned(_prefixed(unique, "o_").withColumnRenamed(box_id, "o_id"), size, 0.0, "o_")
-    inner, outer = inner.alias("i"), outer.alias("o")
-    c = F.col
+    outer = cover(_prefixed(unique, "o_").withColumnsRenamed({box_id: "o_id", key: "o_key"}), "o_")
+    levels = [r[0] for r in unique.select(_level(*CORNERS)).distinct().collect() if r[0] is not None]  # as many as LEVELS has, at most
+    inner = unique.withColumn("_own", _level(*CORNERS)).withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>"))).filter("level >= _own")
+    size = F.pow(F.lit(2.0), F.col("level"))
+    inner = inner.withColumns({"bx": F.floor(F.col("xmin") / size), "by": F.floor(F.col("ymin") / size)}).alias("i")
+    outer, c = outer.alias("o"), F.col
     inside = (
-        (c(f"i.{key}") == c(f"o.{key}")) & (c("i.bx") == c("o.bx")) & (c("i.by") == c("o.by")) & (c(f"i.{box_id}") != c("o_id"))
+        (c(f"i.{key}") == c("o_key")) & (c("i.level") == c("o.level")) & (c("i.bx") == c("o.bx")) & (c("i.by") == c("o.by")) & (c(f"i.{box_id}") != c("o_id"))
         & (c("o_xmin") <= c("i.xmin")) & (c("o_ymin") <= c("i.ymin")) & (c("o_xmax") >= c("i.xmax")) & (c("o_ymax") >= c("i.ymax"))
     )
-    return inner.join(outer, inside, "left_anti").select(box_id, key, *CORNERS)
+    contained = inner.join(outer, inside, "left_semi").select(key, box_id).distinct()
+    return unique.join(contained, [key, box_id], "left_anti").select(box_id, key, *CORNERS)

@@ -6,17 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catchlake.constants import RESULT_PARTITIONS
-from catchlake.operators.sizing import measured
-from catchlake.session import materialize
 
 
-#: Halving an array of up to so many ends.
-MOST_ENDS = 1 << 24
-
-
-def place_among(value: Column, ends: Column) -> Column:
-    """How many entries of a sorted array are not above the value, found by halving. 0 for a null value or array."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_ENDS.bit_length()))])
+def place_among(value: Column, ends: Column, most: int = 1 << 24) -> Column:
+    """How many entries of a sorted array of `most` entries at most are not above the value, found by halving. 0 for a null value or array."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(most, 1).bit_length()))])
 
     def halved(at: Column, step: Column) -> Column:
         return F.when(F.try_element_at(ends, at + step) <= value, at + step).otherwise(at)
@@ -29,13 +23,18 @@ def key_distribution(df: DataFrame, key: str) -> DataFrame:
 
 
 def ranged(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
-    """df in ranges of the key that hold about equal numbers of rows, numbered in the key's order as _stretch.
+    """df with _stretch, the number of the range that its key falls in. Ranges hold about equal numbers of rows and follow the key's order.
 
-    Ranges come from a sample of the rows, so they follow the keys' density, and a far key makes no difference. They are
-    written, since another run would sample other ranges.
+    The ranges' ends are quantiles out of one mergeable sketch of all keys, made map-side, so they follow the keys' density, and a far
+    key makes no difference. Nothing is sorted or moved; a value of the key is always in one range.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(df.repartitionByRange(parts, key).withColumn("_stretch", F.spark_partition_id()), "ranged")
+    if parts < 2:
+        return df.withColumn("_stretch", F.lit(0))
+    shares = [i / parts for i in range(1, parts)]
+    ends = df.agg(F.percentile_approx(key, shares, 100 * parts)).first()[0] or []  # as many as ranges
+    cuts = F.array(*[F.lit(x) for x in sorted(set(ends))]) if ends else F.array().cast(f"array<{df.schema[key].dataType.simpleString()}>")
+    return df.withColumn("_stretch", place_among(F.col(key), cuts, parts))
 
 
 def running_total(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -68,21 +67,19 @@ def partition_map(dist: DataFrame, key: str, n: int = RESULT_PARTITIONS) -> Data
         "partition_id", "begin_universal_data_id", "end_universal_data_id", "record_count")
 
 
-def with_partition_id(df: DataFrame, ranges: DataFrame, key: str, stretches: int = 4096) -> DataFrame:
-    """Rows that fall in a range, with the id of that range.
+MOST_RANGES = 1 << 20
+
+
+def with_partition_id(df: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """Rows that fall in a range, with the id of that range. Ranges don't overlap.
 
-    The ids are cut into equal stretches and each range is listed under those it touches, so that a row is compared
-    with the one or two ranges of its stretch. The list has no more rows than there are ranges and stretches together.
+    The ranges' ends are one sorted array (a map has as many ranges as a move has tasks), and a row finds the last range that begins at its key or
+    before by halving it: no join, no shuffle, and one comparison with one range's end at last, wherever the keys lie.
     """
-    low, high = F.col("begin_universal_data_id"), F.col("end_universal_data_id")
-    ends = ranges.agg(F.struct(F.min(low).alias("low"), F.ceil((F.max(high) - F.min(low) + 1) / stretches).alias("width"))).scalar()
-
-    def stretch(value: Column) -> Column:
-        return F.floor((value - F.col("_ends.low")) / F.col("_ends.width")).cast("bigint")
-
-    listed = ranges.withColumn("_ends", ends).select(
-        "partition_id", low.alias("_lo"), high.alias("_hi"), F.explode(F.sequence(stretch(low), stretch(high))).alias("_stretch"))
-    rows = df.withColumn("_ends", ends).withColumn("_stretch", stretch(F.col(key))).drop("_ends")
-    side = measured(listed=listed)["listed"]
-    found = rows.join(side, (rows["_stretch"] == side["_stretch"]) & F.col(key).between(F.col("_lo"), F.col("_hi")))
-    return found.select(*df.columns, "partition_id")
+    entry = F.struct(F.col("begin_universal_data_id").alias("low"), F.col("end_universal_data_id").alias("high"), F.col("partition_id").alias("id"))
+    listed = F.sort_array(F.collect_list(entry))
+    begins = ranges.agg(F.transform(listed, lambda x: x["low"])).scalar()
+    entries = ranges.agg(listed).scalar()
+    placed = df.withColumns({"_begins": begins, "_entries": entries})
+    placed = placed.withColumn("_range", F.try_element_at("_entries", F.nullif(place_among(F.col(key), F.col("_begins"), MOST_RANGES), F.lit(0))))
+    return placed.filter(F.col(key) <= F.col("_range.high")).select(*df.columns, F.col("_range.id").alias("partition_id"))

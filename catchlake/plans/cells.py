@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catchlake.operators.blooms import thinned
 from catchlake.sources.writers import write_partitioned
 
 CELL_KEYS = (
@@ -15,6 +17,12 @@ CELL_KEYS = (
 )
 
 
+def eez_ids(result: DataFrame, simple_area: DataFrame) -> DataFrame:
+    """The ids with catch in an EEZ, without their sums."""
+    inside = simple_area.filter("eez_id > 0").select("allocation_simple_area_id")
+    return result.join(inside, "allocation_simple_area_id", "left_semi").select("universal_data_id").distinct()
+
+
 def caught_data(data: DataFrame, eez_ids: DataFrame) -> DataFrame:
     """Allocation data of the ids that have EEZ catch. Of an id with any number of rows one travels."""
     return data.join(eez_ids.select("universal_data_id").distinct(), "universal_data_id", "left_semi")
@@ -23,8 +31,13 @@ def caught_data(data: DataFrame, eez_ids: DataFrame) -> DataFrame:
 def cell_sums(caught: DataFrame, result: DataFrame) -> DataFrame:
     """Catch per cell. caught is best written first (caught_data): both sides of the join are then plain tables, and
     an id with a large share of the result is split over tasks."""
-    joined = caught.join(result.select("universal_data_id", "cell_id", "allocated_catch"), "universal_data_id")
-    return joined.groupBy(*CELL_KEYS).agg(F.sum("allocated_catch").alias("catch_sum"))
+    return cell_sums_of_parts([(result, caught)])
+
+
+def cell_sums_of_parts(parts: Sequence[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Catch per cell from parts of the result, each with the caught data that belongs to it (see sources.layout.pairs_of)."""
+    joined = [caught.join(result.select("universal_data_id", "cell_id", "allocated_catch"), "universal_data_id") for result, caught in parts]
+    return reduce(DataFrame.unionByName, joined).groupBy(*CELL_KEYS).agg(F.sum("allocated_catch").alias("catch_sum"))
 
 
 def enrich_cells(sums: DataFrame, taxon: DataFrame, catch_type: DataFrame, reporting_status: DataFrame) -> DataFrame:
@@ -43,13 +56,16 @@ def published_data(data: DataFrame, years: DataFrame, taxa: DataFrame) -> DataFr
 
 def cell_catch(data, result, eez_ids, taxon, catch_type, reporting_status, years, taxa, year: int | None = None,
                keep=lambda df, name: df) -> DataFrame:
-    """Cell catch of all years, or of one. The year test reaches the scan of the data.
+    """Cell catch of all years, or of one. The year test reaches the scan of the data, and of the result only rows whose id may be among the
+    year's go into the join (see operators.blooms).
 
     keep(df, name) may write the chosen data and return the written table.
     """
     if year is not None:
         data = data.filter(F.col("year") == year)
     caught = keep(caught_data(published_data(data, years, taxa), eez_ids), "caught-data")
+    if year is not None:
+        result = thinned(result, "universal_data_id", caught)
     return enrich_cells(cell_sums(caught, result), taxon, catch_type, reporting_status)
 
 

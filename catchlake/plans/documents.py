@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from catchlake import constants as C
 from catchlake.functions.columns import has_key_prefix, money_text, tally_bucket
 from catchlake.operators.aggregates import with_bounds
+from catchlake.session import materialize
 from catchlake.sources.writers import CSV_OPTIONS, write_csv_per_entity
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -90,24 +90,35 @@ def entity_treemap(sums: DataFrame, entity: DataFrame) -> DataFrame:
 
 
 AFTER_ALL, STEP = "\uffff", "\u0001"
+MOST_DOUBLINGS = 12  #: chains of up to 4096 taxa; a ring of parents, which no chain leaves, ends there
 
 
 def taxon_walk(taxa: DataFrame, prefix: str) -> DataFrame:
     """Every taxon that a walk down from the roots meets, with root_order and path: one step for each taxon on the way.
 
     A taxon whose chain of parents has a gap is not met. Taxa that share a lineage are siblings, and what lies below the
-    lineage is met below each of them. One join for each level of the tree, of which there are few.
+    lineage is met below each of them. Each round doubles the chains: what hangs under a taxon is joined to the chains that this taxon
+    hangs under itself, so the rounds, each one join of written tables, grow with the logarithm of the depth.
     """
     step = F.concat(F.element_at(F.split("lineage", r"\."), -1), F.lit(STEP), F.lpad(F.col("taxon_key").cast("string"), 20, "0"))
-    taxa = taxa.withColumn("step", step)
-    depth = taxa.agg(F.max(F.size(F.split("lineage", r"\.")))).first()[0] or 0
-    roots = taxa.filter((F.col("level") == 1) & has_key_prefix(F.col("taxon_key"), prefix))
-    found = [roots.select("*", F.col("common_name").alias("root_order"), F.array("step").alias("path"))]
-    for _ in range(depth - 1):
-        above = found[-1].select(F.col("lineage").alias("parent"), "root_order", F.col("path").alias("_above"))
-        below = taxa.filter(F.col("lineage") != F.col("parent")).join(above, "parent")
-        found.append(below.select(*taxa.columns, "root_order", F.concat("_above", F.array("step")).alias("path")))
-    return reduce(DataFrame.unionByName, found).drop("step")
+    is_root = (F.col("level") == 1) & has_key_prefix(F.col("taxon_key"), prefix)
+    taxa = materialize(taxa.withColumns({"step": step, "_root": F.coalesce(is_root, F.lit(False))}), "taxa")
+    below = taxa.filter("lineage <> parent")
+    above = taxa.select(F.col("lineage").alias("_lineage"), F.col("taxon_key").alias("top"), F.col("step").alias("_step"))
+    no_top = F.lit(None).cast(taxa.schema["taxon_key"].dataType)
+    roots = taxa.filter("_root").select("taxon_key", F.col("common_name").alias("root_order"), no_top.alias("top"), F.array("step").alias("path"))
+    # a chain is whole once it begins at a root; until then top is the taxon that it hangs under
+    chains = below.join(above, F.col("parent") == F.col("_lineage")).select("taxon_key", F.lit(None).cast("string").alias("root_order"), "top", F.array("step").alias("path"))
+    chains = materialize(roots.unionByName(chains), "chains")
+    for _ in range(MOST_DOUBLINGS):
+        if chains.filter("top IS NOT NULL").isEmpty():
+            break
+        upper = chains.select(F.col("taxon_key").alias("_key"), F.col("root_order").alias("_order"), F.col("top").alias("_top"), F.col("path").alias("_path"))
+        longer = chains.filter("top IS NOT NULL").join(upper, F.col("top") == F.col("_key")).select(
+            "taxon_key", F.col("_order").alias("root_order"), F.col("_top").alias("top"), F.concat("_path", "path").alias("path"))
+        chains = materialize(chains.filter("top IS NULL").unionByName(longer), "chains")
+    whole = chains.filter("top IS NULL")
+    return taxa.drop("step", "_root").join(whole.drop("top"), "taxon_key")
 
 
 def taxon_tree(taxa: DataFrame, prefix: str, root_name: str) -> DataFrame:

@@ -88,19 +88,23 @@ def _in(layers: Sequence[Layer], test: Callable[[Layer], bool]) -> Column:
     return F.col("marine_layer_id").isin(*ids)
 
 
-def catch_by_dimensions(rows: DataFrame, data: DataFrame, unit_price: bool) -> DataFrame:
+#: Rows and allocation data, or several pairs of them that are joined one by one (see sources.layout.pairs_of).
+Parts = Sequence[tuple[DataFrame, DataFrame]]
+
+
+def catch_by_dimensions(parts: Parts, unit_price: bool) -> DataFrame:
     """Catch, and its value at unit price where a layer uses that, at the grain of the data's dimensions."""
     sums = [F.sum("total_catch").alias("catch")]
     wanted = ["universal_data_id", *DATA_KEYS]
     if unit_price:
         sums.append(F.sum(F.col("unit_price").cast(PRICE_TYPE) * F.col("total_catch").cast(AMOUNT_TYPE)).alias("catch_value"))
         wanted.append("unit_price")
-    joined = rows.join(data.select(*wanted), "universal_data_id")
+    joined = reduce(DataFrame.unionByName, [rows.join(data.select(*wanted), "universal_data_id") for rows, data in parts])
     grouped = joined.groupBy(*AREA_KEYS, "eez_id", *DATA_KEYS).agg(*sums)
     return narrowed(grouped, *["catch", "catch_value"][:len(sums)])
 
 
-def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
+def build_facts(parts: Parts, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
     """The 22 fact columns of all rows of the given layers.
 
     dims: end_use, price, scores (see uncertainty_periods), cube_dim_taxon, area, time_dim, catch_type,
@@ -111,12 +115,13 @@ def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame],
 
     if any_layer(lambda x: x.allowed):
         listed = dims["allowed_area"].withColumn("_listed", F.lit(True))
-        rows = rows.join(listed, ["marine_layer_id", "main_area_id"], "left")
-        rows = rows.filter(~_in(layers, lambda x: x.allowed) | F.col("_listed")).drop("_listed")
+        unlisted = ~_in(layers, lambda x: x.allowed)
+        parts = [(rows.join(listed, ["marine_layer_id", "main_area_id"], "left").filter(unlisted | F.col("_listed")).drop("_listed"), data)
+                 for rows, data in parts]
 
     priced = _in(layers, lambda x: x.end_use_price)
     at_unit_price = any_layer(lambda x: not x.end_use_price)
-    rows = catch_by_dimensions(rows, data, at_unit_price)
+    rows = catch_by_dimensions(parts, at_unit_price)
     amounts = ["catch", "catch_value"] if at_unit_price else ["catch"]
     rows = split_end_use(rows, dims["end_use"], amounts, _in(layers, lambda x: x.discard_rule))
 
@@ -159,12 +164,17 @@ def build_facts(rows: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame],
 
 def build_fact(summary: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
     """The fact of one layer from its summary."""
-    return build_facts(layer_rows(summary, layer), data, dims, [layer])
+    return build_facts([(layer_rows(summary, layer), data)], dims, [layer])
+
+
+def build_fact_of_parts(parts: Parts, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
+    """The fact of one layer from the summaries of a table's parts, each with the data that belongs to it."""
+    return build_facts([(layer_rows(summary, layer), data) for summary, data in parts], dims, [layer])
 
 
 def build_all_facts(simple: DataFrame, weighted: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """The facts of all seven layers in one pass, with merged fishing entities; merged rows are not summed again."""
-    facts = build_facts(rows_of_bases(simple, weighted), data, dims, list(LAYERS.values()))
+    facts = build_facts([(rows_of_bases(simple, weighted), data)], dims, list(LAYERS.values()))
     return merge_entity(facts, "fishing_entity_id", C.MERGED_ENTITIES)
 
 

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchlake.operators.partitions import with_partition_id
+from catchlake.constants import RESULT_PARTITIONS
+from catchlake.operators.partitions import partition_map, with_partition_id
+from catchlake.session import materialize
+from catchlake.sources.versions import read_current  # noqa: F401  (readers of refreshed tables look for it here)
 from catchlake.sources.writers import CSV_OPTIONS, ESCAPES, NULL_TEXT, full_refresh
 
 # JDBC address by kind of server.
@@ -56,6 +60,10 @@ class SourceTable:
         return cls(row["source_table_name"], row["source_select_clause"] or "*", clause,
                    tuple(row["target_excluded_columns"] or ()), row["source_key_column"], row["number_of_threads"] or 8)
 
+    def selects(self, column: str) -> bool:
+        """Whether a column is among those selected, as far as the clause's words say."""
+        return self.select.strip() == "*" or re.search(rf"(?<![\w.])(\w+\.)?{re.escape(column)}(?!\w)", self.select, re.IGNORECASE) is not None
+
     @property
     def query(self) -> str:
         return f"select {self.select} from {self.table} {self.clause}".rstrip()
@@ -65,8 +73,10 @@ class SourceTable:
 class JdbcReader:
     """Reads through Spark's JDBC source, split by the source's key: into equal ranges between bounds, or by a partition map.
 
-    A source with a key and several threads must have bounds, be it those that key_bounds asks the database for; it is
-    never read by one task in silence.
+    How a source is read follows from its description and the data: without a key or with one thread in one piece; with a key between
+    bounds, those given or else those that the database is asked for; with as many threads as a result has partitions by ranges of about equal
+    numbers of rows, which the database counts. A key that the source's select clause leaves out can't split it, which is said in
+    a warning.
     """
 
     kind: str
@@ -80,27 +90,51 @@ class JdbcReader:
     def url(self) -> str:
         return JDBC_URLS[self.kind].format(server=self.server, port=self.port, dbname=self.dbname)
 
-    def options(self, source: SourceTable) -> dict[str, str]:
+    def options(self, source: SourceTable, bounds: tuple[int, int] | None = None) -> dict[str, str]:
+        """What reads a source in one piece, or in as many as it has threads between bounds of its key."""
         options = dict(self.properties, url=self.url, dbtable=f"({source.query}) source")
-        if source.key and source.threads > 1:
-            if source.table not in self.bounds:
-                raise ValueError(f"{source.table} has the key {source.key} but no bounds; see key_bounds and predicates")
-            low, high = self.bounds[source.table]
-            options |= {"partitionColumn": source.key, "lowerBound": str(low), "upperBound": str(high),
-                        "numPartitions": str(source.threads)}
+        if bounds:
+            options |= {"partitionColumn": source.key, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(source.threads)}
         return options
 
+    def split(self, source: SourceTable) -> str:
+        """How a source is read: "whole", between "bounds" of its key, or by counted "ranges" of it."""
+        if not source.key or source.threads < 2:
+            return "whole"
+        if not source.selects(source.key):
+            warnings.warn(f"{source.table} is read by one task: its key {source.key} is not among the columns selected", stacklevel=2)
+            return "whole"
+        return "ranges" if source.threads >= RESULT_PARTITIONS else "bounds"
+
     def read(self, spark: SparkSession, source: SourceTable) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(source)).load()
+        how = self.split(source)
+        bounds = None if how == "whole" else self.bounds.get(source.table) or self.key_bounds(spark, source)
+        if how == "ranges" and bounds:
+            return self.read_ranges(spark, source, partition_map(self.key_counts(spark, source, bounds), source.key, source.threads))
+        return self.load(spark, self.options(source, bounds))
+
+    def load(self, spark: SparkSession, options: dict[str, str]) -> DataFrame:
+        return spark.read.format("jdbc").options(**options).load()
 
     def bounds_options(self, source: SourceTable) -> dict[str, str]:
         """What asks the database for the least and the largest key of a source, in one row."""
         ends = f"(select min({source.key}) as low, max({source.key}) as high from ({source.query}) source) ends"
         return dict(self.properties, url=self.url, dbtable=ends)
 
-    def key_bounds(self, spark: SparkSession, source: SourceTable) -> tuple[int, int]:
-        row = spark.read.format("jdbc").options(**self.bounds_options(source)).load().first()
-        return row["low"], row["high"]
+    def key_bounds(self, spark: SparkSession, source: SourceTable) -> tuple[int, int] | None:
+        """The least and the largest key, or None where there is none."""
+        row = self.load(spark, self.bounds_options(source)).first()
+        return None if row["low"] is None else (row["low"], row["high"])
+
+    def counts_options(self, source: SourceTable, bounds: tuple[int, int]) -> dict[str, str]:
+        """What asks the database for the number of rows of each key, in as many pieces as the source has threads."""
+        counts = f"(select {source.key}, count(*) as record_count from ({source.query}) source group by {source.key}) counts"
+        return self.options(source, bounds) | {"dbtable": counts}
+
+    def key_counts(self, spark: SparkSession, source: SourceTable, bounds: tuple[int, int]) -> DataFrame:
+        """The counted keys, written, since the map reads them several times."""
+        counts = self.load(spark, self.counts_options(source, bounds))
+        return materialize(counts.filter(F.col(source.key).isNotNull()).withColumn("record_count", F.col("record_count").cast("bigint")), "key-counts")
 
     def read_ranges(self, spark: SparkSession, source: SourceTable, ranges: DataFrame) -> DataFrame:
         """One task for each range of a partition map, of about equal numbers of rows."""
@@ -116,9 +150,10 @@ class JdbcReader:
 
 
 def predicates(ranges: DataFrame, key: str) -> list[str]:
-    """A condition for each range of a partition map, which has as many rows as the read has tasks."""
+    """A condition for each range of a partition map, which has as many rows as the read has tasks. Rows without a key go with the first."""
     rows = ranges.orderBy("partition_id").collect()
-    return [f"{key} between {r['begin_universal_data_id']} and {r['end_universal_data_id']}" for r in rows]
+    found = [f"{key} between {r['begin_universal_data_id']} and {r['end_universal_data_id']}" for r in rows]
+    return [f"{found[0]} or {key} is null", *found[1:]] if found else [f"{key} is null"]
 
 
 @dataclass(frozen=True)
@@ -186,6 +221,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).options(header=True, multiLine=True, nullValue=NO_TEXT, **CSV_OPTIONS).csv(path)
 
 
+def read_in_order(spark: SparkSession, path: str, name: str = "position", file_format: str = "parquet", **options: str) -> DataFrame:
+    """The rows of a folder of part files with their position, from 1, as the files read one after the other have them.
+
+    A large file is read in several stretches. Rows are counted by file and stretch, and each stretch begins where those before it
+    end, so the only window is over a row for each of them; a row's place in its stretch comes from the order of reading.
+    """
+    lines = spark.read.format(file_format).options(**options).load(path)
+    kept = lines.columns
+    rows = lines.select("*", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start")).alias("_stretch"),
+                        F.monotonically_increasing_id().alias("_at"))
+    sizes = rows.groupBy("_stretch").agg(F.count("*").alias("_n"), F.min("_at").alias("_low"))
+    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)  # a row for each stretch
+    starts = sizes.select("_stretch", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    found = rows.join(F.broadcast(starts), "_stretch")
+    return found.select(*kept, (F.col("_before") + F.col("_at") - F.col("_low") + 1).alias(name))
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*.shp") -> DataFrame:
     """Paths of the files below a folder; their content is not read."""
     files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=pattern).load(root)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchlake.constants import YEAR_COPY_COLUMNS
-from catchlake.session import materialize
+from catchlake.sources.versions import replace_partitions, replace_table
 
 NULL_TEXT = "\\N"
 #: In the order of writing; the backslash first.
@@ -18,27 +18,17 @@ CSV_OPTIONS = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailin
 
 
 def write_partitioned(df: DataFrame, path: str, key: str, refreshed: Sequence[int | str] = ()) -> None:
-    """Parquet by key; a rerun replaces the partitions it writes and leaves the others.
+    """Parquet by key; a rerun replaces the partitions it writes and leaves the others. Read it by readers.read_current.
 
     refreshed lists the partitions that the frame is the whole new content of: those of them that have no rows any more are
-    emptied. The frame is written once, aside, to know which these are; the target changes only when it is complete.
+    emptied. All of them change in one step, when everything is written (see sources.versions).
     """
-    if refreshed:
-        df = materialize(df, "refresh")
-    spread = df.hint("rebalance", key)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
-    if refreshed:
-        wanted = df.filter(F.col(key).isin(*refreshed)).select(F.col(key).cast("string")).distinct()
-        present = {row[0] for row in wanted.collect()}  # no more rows than refreshed has
-        nothing = df.drop(key).limit(0).coalesce(1)
-        for value in refreshed:
-            if str(value) not in present:
-                nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/{key}={value}")
+    replace_partitions(df.hint("rebalance", key), path, key, refreshed)
 
 
 def full_refresh(df: DataFrame, path: str, exclude: Sequence[str] = ()) -> None:
-    """Replace a whole table, leaving out listed columns."""
-    df.drop(*exclude).write.mode("overwrite").parquet(path)
+    """Replace a whole table in one step, leaving out listed columns. Read it by readers.read_current."""
+    replace_table(df.drop(*exclude), path)
 
 
 def write_summary(df: DataFrame, root: str, area_type: str) -> None:
