@@ -52,15 +52,10 @@ def dims_and_lookups(t, layer: str = "all") -> dict[str, DataFrame]:
     return measured(keep=materialize, **dims, **lookup_frames(t, *LOOKUPS[layer]))
 
 
-#: Moves exact halves of the last shown digit off the edge: both engines then round them the same way, whatever the order of
-#: their products.
-NUDGE = "0.00001"
-
-
 def published(fact: DataFrame) -> DataFrame:
     """Fixed digits, so that both engines print the same numbers."""
     decimal = {c: F.col(c).cast("decimal(28,6)") for c in ("catch_sum", "catch_trophic_level", "catch_max_length")}
-    return fact.withColumns({**decimal, "real_value": (F.col("real_value") + F.lit(NUDGE).cast("decimal(9,5)")).cast("decimal(28,2)"), "primary_production_required": F.round("primary_production_required", 2)})
+    return fact.withColumns({**decimal, "real_value": F.col("real_value").cast("decimal(30,8)"), "primary_production_required": F.round("primary_production_required", 2)})
 
 
 def fact_sql(layer: Layer, summary: str | None = None) -> str:
@@ -90,13 +85,13 @@ select {place['main_area_id']} as main_area_id, {place['sub_area_id']} as sub_ar
   c.data_layer_id, c.fishing_entity_id, c.gear_type_id as gear_id, tm.time_key, c.year, c.taxon_key, a.area_key, c.catch_type_id,
   max(ct.abbreviation) as catch_status, c.reporting_status_id, max(rs.abbreviation) as reporting_status, c.sector_type_id,
   c.end_use_type_id, {score} as score, cast(sum(c.catch) as decimal(28,6)) as catch_sum,
-  cast(sum({price} * c.catch) + {NUDGE} as decimal(28,2)) as real_value,
+  cast(sum({price} * c.catch) as decimal(30,8)) as real_value,
   round(cast(sum(c.catch) as double) / 9 * pow(10, cast(max(t.tl) as double) - 1), 2) as primary_production_required,
   cast(sum(c.catch * t.tl) as decimal(28,6)) as catch_trophic_level,
   cast(sum(c.catch * t.sl_max) as decimal(28,6)) as catch_max_length
 from (
   select s.* exclude (universal_data_id, total_catch), d.* exclude (universal_data_id), {use} as end_use_type_id,
-    cast(s.total_catch * cast({share} as decimal(6,4)) as decimal(28,12)) as catch
+    cast(s.total_catch * cast({share} as decimal(6,4)) as decimal(28,{12 if layer.end_use_price else 16})) as catch
   from ({summary or SUMMARY_SQL[layer.name]}) s join {{allocation_data}} d on d.universal_data_id = s.universal_data_id
   left join {{end_use}} e on e.fishing_entity_id = d.fishing_entity_id and e.year = d.year and e.taxon_key = d.taxon_key
     and e.sector_type_id = d.sector_type_id and e.reporting_status_id = d.reporting_status_id
