@@ -90,10 +90,17 @@ class JdbcReader:
     def url(self) -> str:
         return JDBC_URLS[self.kind].format(server=self.server, port=self.port, dbname=self.dbname)
 
+    def whole_options(self, source: SourceTable) -> dict[str, str]:
+        return dict(self.properties, url=self.url, dbtable=f"({source.query}) source")
+
     def options(self, source: SourceTable, bounds: tuple[int, int] | None = None) -> dict[str, str]:
-        """What reads a source in one piece, or in as many as it has threads between bounds of its key."""
-        options = dict(self.properties, url=self.url, dbtable=f"({source.query}) source")
-        if bounds:
+        """What reads a source in as many pieces as it has threads, between the bounds given here or to the reader; in one piece if it has no
+        key or one thread."""
+        options = self.whole_options(source)
+        if source.key and source.threads > 1:
+            bounds = bounds or self.bounds.get(source.table)
+            if not bounds:
+                raise ValueError(f"{source.table} has the key {source.key} but no bounds; see key_bounds")
             options |= {"partitionColumn": source.key, "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]), "numPartitions": str(source.threads)}
         return options
 
@@ -109,7 +116,9 @@ class JdbcReader:
     def read(self, spark: SparkSession, source: SourceTable) -> DataFrame:
         how = self.split(source)
         bounds = None if how == "whole" else self.bounds.get(source.table) or self.key_bounds(spark, source)
-        if how == "ranges" and bounds:
+        if not bounds:  # no way to split it, or nothing to split
+            return self.load(spark, self.whole_options(source))
+        if how == "ranges":
             return self.read_ranges(spark, source, partition_map(self.key_counts(spark, source, bounds), source.key, source.threads))
         return self.load(spark, self.options(source, bounds))
 
@@ -137,8 +146,8 @@ class JdbcReader:
         return materialize(counts.filter(F.col(source.key).isNotNull()).withColumn("record_count", F.col("record_count").cast("bigint")), "key-counts")
 
     def read_ranges(self, spark: SparkSession, source: SourceTable, ranges: DataFrame) -> DataFrame:
-        """One task for each range of a partition map, of about equal numbers of rows."""
-        return spark.read.jdbc(self.url, f"({source.query}) source", predicates=predicates(ranges, source.key),
+        """One task for each range of a partition map, of about equal numbers of rows, and one for rows without a key."""
+        return spark.read.jdbc(self.url, f"({source.query}) source", predicates=[*predicates(ranges, source.key), f"{source.key} is null"],
                                properties=dict(self.properties))
 
     def write_options(self, table: str) -> dict[str, str]:
@@ -150,10 +159,9 @@ class JdbcReader:
 
 
 def predicates(ranges: DataFrame, key: str) -> list[str]:
-    """A condition for each range of a partition map, which has as many rows as the read has tasks. Rows without a key go with the first."""
+    """A condition for each range of a partition map, which has as many rows as the read has tasks."""
     rows = ranges.orderBy("partition_id").collect()
-    found = [f"{key} between {r['begin_universal_data_id']} and {r['end_universal_data_id']}" for r in rows]
-    return [f"{found[0]} or {key} is null", *found[1:]] if found else [f"{key} is null"]
+    return [f"{key} between {r['begin_universal_data_id']} and {r['end_universal_data_id']}" for r in rows]
 
 
 @dataclass(frozen=True)
