@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
 
     A node with very many links is met by sums with map-side parts and by joins that adaptive execution can split; nothing is
     gathered by node. Each step is written to the shared folder, so the lineage stays short. Steps grow with the logarithm of
-    the longest path.
+    the longest path. Links of a node to itself, repeated links and links with a null end make no component; nodes without a link are not
+    among the rows.
     """
     pair = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = materialize(links.filter(F.col("a") != F.col("b")).select(pair.alias("e")).select("e.*").distinct(), "edges")

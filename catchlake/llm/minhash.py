@@ -258,6 +258,6 @@ def drop_near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings()
     left = keyed.join(small["gone"], same, "left_anti")
     once = left.join(small["many"], same, "left_anti").select(*docs.columns)
     # repeated rows have equal ids and texts; the rest of the columns decides, with map-side aggregation
-    others = F.xxhash64(*[F.col(c) for c in docs.columns])
+    others = F.to_json(F.struct(*[F.col(c) for c in docs.columns]))  # which any kind of column has
     picked = left.join(small["many"], same, "left_semi").groupBy(own).agg(F.min_by(F.struct(*docs.columns), others).alias(row))
     return once.unionByName(picked.select(f"{row}.*"))

@@ -18,7 +18,7 @@ def with_sorted_ids(df: DataFrame, order: Sequence[str | Column], name: str) ->
     """Sort all rows over range partitions and number them; written once, since ranges differ from run to run.
 
     The number's upper bits are the partition, its lower bits the row in it. Rows equal in the order may spread over
-    several partitions only if the order ends in something that tells them apart, so end it so.
+    several partitions only if the order ends in something that tells them apart, so end it so. Nulls come first; an empty frame stays empty.
     """
     return materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
         name, F.monotonically_increasing_id()), "sorted")
@@ -29,7 +29,7 @@ def part_of(name: str) -> Column:
 
 
 def with_positions(df: DataFrame, order: Sequence[str | Column], name: str, total: str) -> DataFrame:
-    """Add each row's position from 0 in the order, and the number of all rows."""
+    """Add each row's position from 0 in the order, and the number of all rows. Equal rows have positions of their own, in any order."""
     at, part = free_name(df, "_at"), free_name(df, "_part")
     numbered = with_sorted_ids(df, order, at)
     counts = numbered.groupBy(part_of(at).alias(part)).agg(F.count("*").alias("_n"))

@@ -122,3 +122,8 @@ def test_components_of_a_long_path(spark):
     found = {r["node"]: r["component"] for r in components(links.unionByName(links)).collect()}
     assert found == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1200)}
     assert components(links.limit(0)).count() == 0
+
+
+def test_map_columns_take_part(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, 'a b c d e f'), (1, 'a b c d e f'), (2, 'x y z') AS t(doc_id, text)").selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text", "map('k', doc_id) AS tags")
+    assert sorted(r["doc_id"] for r in minhash.drop_near_duplicates(df).collect()) == [1, 2]
