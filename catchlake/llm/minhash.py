@@ -51,6 +51,7 @@ class MinHashSettings:
     sigmas: float = 5.0
     fine: int = 1024  #: permutations of the longer signature
     block: int = 256  #: shingles hashed at a time
+    share: int = 64  #: pairs of one document that are confirmed by one key
     seed: int = 23
 
     @property
@@ -175,12 +176,20 @@ def _made_of(docs: DataFrame, wanted: DataFrame, name: str, maker, s: MinHashSet
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, s: MinHashSettings, key: str, text: str) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough. Each set travels once for each pair of its own at b, and
-    once for all pairs at a."""
-    members = _made_of(docs, pairs.select(F.col("b").alias("_node"), "a"), "_shingles", _Shingler, s, key, text).select(
-        "a", F.col("_node").alias("b"), F.col("_shingles").alias("_theirs"))
-    leaders = _made_of(docs, pairs.select(F.col("a").alias("_node")).distinct(), "_shingles", _Shingler, s, key, text)
-    both = members.join(leaders, F.col("a") == F.col("_node"))
+    """Those of the written pairs (a, b) whose full sets are similar enough. The set of b travels once for each pair, that of a once
+    for each share of its pairs: a document with more pairs than a share holds is laid out as often as it has shares, so no
+    key of the join has many more pairs than a share."""
+    hot = pairs.groupBy(F.col("a").alias("_node")).agg(F.ceil(F.count("*") / s.share).alias("_shares")).filter(F.col("_shares") > 1)
+    hot = measured(hot=materialize(hot, "hot-leaders"))["hot"]
+    shared = pairs.join(hot, F.col("a") == F.col("_node"), "left").select(
+        "a", "b", F.pmod(F.xxhash64("b"), F.coalesce("_shares", F.lit(1))).alias("_share"))
+    members = _made_of(docs, shared.select(F.col("b").alias("_node"), "a", "_share"), "_shingles", _Shingler, s, key, text).select(
+        "a", "_share", F.col("_node").alias("b"), F.col("_shingles").alias("_theirs"))
+    leaders = pairs.select("a").distinct().join(hot, F.col("a") == F.col("_node"), "left").select(
+        F.col("a").alias("_node"), F.coalesce("_shares", F.lit(1)).alias("_shares"))
+    leaders = _made_of(docs, leaders, "_shingles", _Shingler, s, key, text).select(
+        F.col("_node").alias("a"), "_shingles", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_shares") - 1)).alias("_share"))
+    both = members.join(leaders, ["a", "_share"])
     common = F.size(F.array_intersect("_theirs", "_shingles"))
     total = F.size("_theirs") + F.size("_shingles") - common
     return both.filter(F.lit(100) * common >= F.lit(s.percent) * total).select("a", "b").distinct()

@@ -54,6 +54,15 @@ def test_agrees_with_all_pairs(docs_of, odd_texts, n, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows) and len(rows) == len(texts)
 
 
+def test_hot_document_is_laid_out_in_shares(docs_of):
+    rng = random.Random(9)
+    base = prose(70, 150)
+    texts = [base] + [changed(base, rng, 1 + i % 12) for i in range(40)] + [prose(71, 90), prose(71, 90) + " x"]
+    s = minhash.MinHashSettings(share=3)
+    rows = minhash.near_duplicates(docs_of(texts), s).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == plain(dict(enumerate(texts)), s.words, s.percent)
+
+
 def test_other_cases(spark, docs_of):
     s = minhash.MinHashSettings()
     docs = docs_of([prose(1, 40), prose(1, 40), "a b", "A  B", "a", None, ""])
