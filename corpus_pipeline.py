@@ -41,7 +41,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Workers that also serve the other stages keep fewer pieces and states.
     """
     return byte_bpe.encode_and_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids="token_ids",
-                                      pieces=100_000, states=80_000)
+                                      pieces=50_000, states=40_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_duplicates", drop_near_duplicates),
