@@ -11,7 +11,9 @@ members. Components of the confirmed links follow. Then only buckets that still
 in full, and only classes of different components. So no link between different components is left unseen, while no bucket
 is expanded into all its pairs. For this comparison the classes in such buckets get a longer signature of 1024 permutations, so
 that of copies just short of the threshold few pairs are left to confirm; both estimates are conditions of the join, as is
-that a pair meets in its first common band, so the join makes one row for each pair left. Hot buckets travel through joins that adaptive execution splits.
+that a pair meets in its first common band. That join only marks the rows that have such a candidate. They alone get their full sets, and a second join
+of them has the similarity of the sets as its last condition: it makes rows of links between components and of nothing else, however many
+copies just short of the threshold a bucket holds. Hot buckets travel through joins that adaptive execution splits.
 
 At a similarity of 0.85 a pair shares no band with a chance of 6e-11, at 0.8 of 5e-8. The estimate is cut five
 standard deviations below the threshold.
@@ -151,13 +153,17 @@ class _FineSigner:
 
 def equal_bits(a: str, b: str, integers: int) -> Column:
     """How many of the packed pairs of bits are equal in two signatures."""
+    return _equal([F.col(a)[i] for i in range(integers)], [F.col(b)[i] for i in range(integers)])
+
+
+def _equal(a: list[Column], b: list[Column]) -> Column:
     odd = F.lit(0x5555555555555555)
     unequal = None
-    for i in range(integers):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+    for x, y in zip(a, b, strict=True):
+        x = x.bitwiseXOR(y)
         n = F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd))
         unequal = n if unequal is None else unequal + n
-    return F.lit(32 * integers) - unequal
+    return F.lit(32 * len(a)) - unequal
 
 
 class _Shingler:
@@ -195,6 +201,23 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, s: MinHashSettings, key: str,
     return both.filter(F.lit(100) * common >= F.lit(s.percent) * total).select("a", "b").distinct()
 
 
+_SIDE = ("_part", "_n", "_band", "_bands")
+
+
+def _sides(rows: DataFrame, s: MinHashSettings, *more: str) -> list[DataFrame]:
+    """Rows of classes in buckets as the two sides of a join, a and b. Their signatures become plain columns without nulls: from arrays, the code
+    of the join's condition is longer than what the JVM compiles (8000 bytes)."""
+    packed = {"_bits": s.permutations // 32, "_fine": s.fine // 32}
+    return [rows.select(F.col("_key").alias(f"_key_{x}"), F.col("_node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in (*_SIDE, *more)],
+                        *[F.coalesce(F.col(c)[i], F.lit(0)).alias(f"{c}_{x}_{i}") for c, n in packed.items() for i in range(n)]) for x in ("a", "b")]
+
+
+def _alike(name: str, permutations: int, s: MinHashSettings) -> Column:
+    """Whether the signatures of two sides are as equal as those of a link."""
+    a, b = ([F.col(f"{name}_{x}_{i}") for i in range(permutations // 32)] for x in ("a", "b"))
+    return _equal(a, b) >= s.least_equal(permutations)
+
+
 def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles, component_id (the least id that links reach) and kept."""
     signed = materialize(signatures(docs, s, key, text), "signatures")
@@ -227,14 +250,21 @@ def near_duplicates(docs: DataFrame, s: MinHashSettings = MinHashSettings(), key
     fine = _made_of(docs, open_.select("_node").distinct(), "_fine", _FineSigner, s, key, text)
     fine = fine.join(heads.select("_node", "_bands"), "_node").dropDuplicates(["_node"])
     open_ = materialize(open_.join(measured(fine=materialize(fine, "fine-signatures"))["fine"], "_node"), "open-signatures")
-    left, right = (open_.select(F.col("_key").alias(f"_key_{x}"), F.col("_node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("_part", "_bits", "_fine", "_n", "_band", "_bands")])
-                   for x in ("a", "b"))
-    nearly = equal_bits("_fine_a", "_fine_b", s.fine // 32) >= s.least_equal(s.fine)
+    sized = F.lit(100) * F.least("_n_a", "_n_b") >= F.lit(s.percent) * F.greatest("_n_a", "_n_b")
+    nearly = sized & _alike("_bits", s.permutations, s) & _alike("_fine", s.fine, s)
     earlier = F.arrays_overlap(F.slice("_bands_a", F.lit(1), F.col("_band_a")), F.slice("_bands_b", F.lit(1), F.col("_band_a")))
-    condition = (F.col("_key_a") == F.col("_key_b")) & (F.col("a") < F.col("b")) & (F.col("_part_a") != F.col("_part_b")) & alike & nearly & ~earlier
-    crossing = left.hint("shuffle_merge").join(right, condition).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    crossing = materialize(crossing, "crossing-pairs")
-    more = materialize(_confirmed(docs, crossing, s, key, text), "links")
+    candidates = (F.col("_key_a") == F.col("_key_b")) & (F.col("_part_a") != F.col("_part_b")) & nearly & ~earlier
+    # only rows that have a candidate get their sets, and the sets are compared inside the join, which makes rows of links alone
+    left, right = _sides(open_, s)
+    close = left.hint("shuffle_merge").join(right, candidates, "left_semi").select(F.col("_key_a").alias("_key"), F.col("a").alias("_node"))
+    close = open_.join(measured(close=materialize(close.distinct(), "crossing-members"))["close"], ["_key", "_node"])
+    sets = _made_of(docs, close.select("_node").distinct(), "_shingles", _Shingler, s, key, text).dropDuplicates(["_node", "_shingles"])
+    sets = measured(sets=materialize(sets, "crossing-sets"))["sets"]
+    left, right = _sides(materialize(close.join(sets, "_node"), "crossing-rows"), s, "_shingles")
+    common = F.size(F.array_intersect("_shingles_a", "_shingles_b"))
+    similar = F.lit(100) * common >= F.lit(s.percent) * (F.size("_shingles_a") + F.size("_shingles_b") - common)
+    linked = (F.col("a") < F.col("b")) & candidates & similar
+    more = materialize(left.hint("shuffle_merge").join(right, linked).select("a", "b").distinct(), "links")
     found = measured(found=materialize(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components"))["found"]
 
     named = signed.select("_id", "n_shingles", "_set").join(copied, F.col("_set") == F.col("_copied"), "left")

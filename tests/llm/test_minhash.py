@@ -63,6 +63,23 @@ def test_hot_document_is_laid_out_in_shares(docs_of):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == plain(dict(enumerate(texts)), s.words, s.percent)
 
 
+def test_copies_just_short_of_a_link_make_no_rows_of_pairs(docs_of, monkeypatch):
+    rng, base, s, written = random.Random(4), prose(80, 300), minhash.MinHashSettings(words=3, percent=85), {}
+
+    def noted(df, name, keep=minhash.materialize):
+        out = keep(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", noted)
+    texts = [changed(base, rng, 5) for _ in range(100)]
+    texts += [f"{texts[0]} more", f"{texts[9]} x"]
+    rows = minhash.near_duplicates(docs_of(texts), s).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == plain(dict(enumerate(texts)), s.words, s.percent)
+    late = list(written)[list(written).index("open-buckets"):]
+    assert max(written[name] for name in late) <= len(texts) * s.bands < 100 * 99 / 2
+
+
 def test_other_cases(spark, docs_of):
     s = minhash.MinHashSettings()
     docs = docs_of([prose(1, 40), prose(1, 40), "a b", "A  B", "a", None, ""])
