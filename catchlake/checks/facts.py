@@ -191,12 +191,9 @@ def b18(t):
     return published(fact_plans.build_all_facts(simple, weighted, t.allocation_data, d))
 
 
-BUCKETS = 16
-
-
 def laid_out(t):
     """The result and the allocation data in a layout by their common key, as pairs to be joined."""
-    by_id, root = layout.Layout("universal_data_id", BUCKETS), shared_path(spark_of(t), "laid-out")
+    by_id, root = layout.layout_for(t.allocation_result, "universal_data_id"), shared_path(spark_of(t), "laid-out")
     result = layout.lay_out(t.allocation_result, f"{root}/result", by_id)
     return layout.pairs_of(result, layout.lay_out_side(t.allocation_data, f"{root}/data", by_id))
 

@@ -27,6 +27,11 @@ class Layout:
             raise ValueError("a layout has one bucket at least")
 
 
+def layout_for(df: DataFrame, key: str, rows: int = 1_000_000, least: int = 16) -> Layout:
+    """A layout whose buckets hold about so many rows of df, so that what a task holds of a bucket doesn't grow with the table."""
+    return Layout(key, max(least, -(-df.count() // rows)))
+
+
 @dataclass(frozen=True)
 class LaidOut:
     """The parts of a table, and the keys whose rows are in the hot part."""

@@ -245,3 +245,8 @@ def test_versions_name_what_they_hold(spark):
 
 def test_laid_out_pairs_cover_the_result(tables):
     assert sum(result.count() for result, _ in laid_out(tables)) == tables.allocation_result.count()
+
+
+def test_layouts_grow_with_the_table(spark):
+    buckets = [layout.layout_for(spark.range(n), "id", rows=10, least=2).buckets for n in (0, 15, 21, 500)]
+    assert buckets == [2, 2, 3, 50]
