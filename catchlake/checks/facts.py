@@ -41,15 +41,14 @@ LOOKUPS = {"eez": ("simple_area",), "high_seas": ("simple_area",), "global": ("s
            "all": ("weights", "simple_area", "layer_pairs")}
 
 
-def dims_and_lookups(t, layer: str = "all") -> dict[str, DataFrame]:
-    """Everything the result and the fact of a layer are joined to, and nothing else, measured in one job."""
-    dims = dim_frames(t)
-    if layer != "all":
-        own = LAYERS[layer]
-        unused = [n for n, used in (("price", own.end_use_price), ("scores", own.score == "lookup"), ("gear", own.gear_join),
-                                    ("allowed_area", own.allowed)) if not used]
-        dims = {n: df for n, df in dims.items() if n not in unused}
-    return measured(keep=materialize, **dims, **lookup_frames(t, *LOOKUPS[layer]))
+def dims_and_lookups(t, *layers: str) -> dict[str, DataFrame]:
+    """Everything the result and the facts of the layers (all of them by default) are joined to, and nothing else, measured in one job."""
+    own = [LAYERS[n] for n in layers or LAYERS]
+    used = {"price": any(x.end_use_price for x in own), "scores": any(x.score == "lookup" for x in own),
+            "gear": any(x.gear_join for x in own), "allowed_area": any(x.allowed for x in own)}
+    dims = {n: df for n, df in dim_frames(t).items() if used.get(n, True)}
+    lookups_ = dict.fromkeys(x for n in layers or ("all",) for x in LOOKUPS[n])
+    return measured(keep=materialize, **dims, **lookup_frames(t, *lookups_))
 
 
 def published(fact: DataFrame) -> DataFrame:
@@ -128,6 +127,12 @@ def layer_fact(t, name: str) -> DataFrame:
     return fact_plans.build_fact(summary_of(t, name, d), t.allocation_data, d, LAYERS[name])
 
 
+def layer_facts(t, *names: str) -> DataFrame:
+    """The facts of several layers, each from its summary; what all are joined to is measured once and joined once."""
+    d = dims_and_lookups(t, *names)
+    return fact_plans.build_layer_facts({n: summary_of(t, n, d) for n in names}, t.allocation_data, d)
+
+
 def _register(key: str, name: str) -> None:
     check(key, fact_sql(LAYERS[name]))(lambda t: published(layer_fact(t, name)))
 
@@ -141,9 +146,9 @@ for _key, _name in (("b10_eez_fact", "eez"), ("b11_high_seas_fact", "high_seas")
 def p14(t):
     """Three layers written, then one again and one that has become empty: no row is doubled, none is left over."""
     path = shared_path(spark_of(t), "fact")
-    first = {n: materialize(layer_fact(t, n), n) for n in ("eez", "high_seas", "global")}
-    writers.write_fact(first["eez"].unionByName(first["high_seas"]).unionByName(first["global"]), path)
-    writers.write_fact(first["eez"], path, [C.EEZ, C.GLOBAL])
+    writers.write_fact(layer_facts(t, "eez", "high_seas", "global"), path)
+    eez = readers.read_current(spark_of(t), path).filter(F.col("marine_layer_id") == C.EEZ)
+    writers.write_fact(eez, path, [C.EEZ, C.GLOBAL])
     return published(readers.read_current(spark_of(t), path))
 
 

@@ -167,6 +167,13 @@ def build_fact(summary: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame
     return build_facts([(layer_rows(summary, layer), data)], dims, [layer])
 
 
+def build_layer_facts(summaries: Mapping[str, DataFrame], data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """The facts of several layers from their summaries, in one pass over everything else."""
+    layers = [LAYERS[n] for n in summaries]
+    rows = reduce(DataFrame.unionByName, [layer_rows(summary, layer) for summary, layer in zip(summaries.values(), layers, strict=True)])
+    return build_facts([(rows, data)], dims, layers)
+
+
 def build_fact_of_parts(parts: Parts, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
     """The fact of one layer from the summaries of a table's parts, each with the data that belongs to it."""
     return build_facts([(layer_rows(summary, layer), data) for summary, data in parts], dims, [layer])
