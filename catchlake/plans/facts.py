@@ -4,8 +4,12 @@ All layers go through one plan: rows carry their layer id, and what differs betw
 allocation data, end uses, prices and scores are each joined once, not once per layer.
 
 All measures are linear in catch, so catch is first summed over row ids to the grain of the data's dimensions. The joins
-to end uses, prices and scores then run on that much smaller frame, a second sum brings together rows that the end-use
+to end uses, prices and scores then run on that frame, a second sum brings together rows that the end-use
 split made alike, and the dimensions, each with one row per key, are joined to the result.
+
+Catch travels to the dimensions once: the areas of an id go as one list beside the id's dimensions, dealt out by the keys
+of the end uses. Both sums and the join to end uses have these keys among theirs, so no other exchange of catch follows. Keys
+with very many ids are summed before they travel instead (see hot_buckets).
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from catchlake.functions.columns import ppr
 from catchlake.layers import LAYERS, Layer
 from catchlake.operators.aggregates import narrowed
 from catchlake.operators.clean import merge_entity
-from catchlake.operators.joins import area_join, split_end_use, star, with_price, with_score
+from catchlake.operators.joins import END_USE_KEYS, area_join, split_end_use, star, with_price, with_score
 
 DATA_KEYS = (
     "year", "taxon_key", "data_layer_id", "fishing_entity_id", "gear_type_id", "catch_type_id", "reporting_status_id",
@@ -33,6 +37,11 @@ PRICE_TYPE, AMOUNT_TYPE = "decimal(12,2)", "decimal(26,12)"
 
 AREA_KEYS = ("marine_layer_id", "main_area_id", "sub_area_id")
 
+ID = "universal_data_id"
+
+#: Buckets of end-use keys in which ids are counted, and the ids from which a bucket that stands out is hot.
+BUCKETS, HOT_IDS, STANDS_OUT = 4096, 100_000, 4
+
 
 def allowed_areas(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """The lists of allowed areas as one table (marine_layer_id, main_area_id), from layer name -> (list, its column)."""
@@ -52,8 +61,8 @@ def layer_rows(summary: DataFrame, layer: Layer) -> DataFrame:
                           eez.alias("eez_id"), "total_catch")
 
 
-def rows_of_bases(simple: DataFrame, weighted: DataFrame) -> DataFrame:
-    """The rows of all seven layers straight from the two base summaries.
+def rows_of_bases(simple: DataFrame, weighted: DataFrame) -> list[DataFrame]:
+    """The rows of all seven layers straight from the two base summaries, those of each base by themselves.
 
     A simple row counts twice, in its own layer and in the global one; the global sum over ids happens with the sum to
     the dimensions. A weighted row already carries its layer.
@@ -68,16 +77,16 @@ def rows_of_bases(simple: DataFrame, weighted: DataFrame) -> DataFrame:
     own = F.when(in_eez, place(C.EEZ, F.col("eez_id"), F.col("fao_area_id"), F.col("eez_id"))).otherwise(
         place(C.HIGH_SEAS, F.col("fao_area_id"), F.lit(0), no_eez))
     world = place(C.GLOBAL, F.lit(1), F.when(in_eez, 1).otherwise(2), no_eez)
-    columns = ["marine_layer_id", "universal_data_id", "main_area_id", "sub_area_id", "eez_id", "total_catch"]
-    simple_rows = simple.select("universal_data_id", "total_catch", F.inline(F.array(own, world))).select(*columns)
+    columns = ["marine_layer_id", ID, "main_area_id", "sub_area_id", "eez_id", "total_catch"]
+    simple_rows = simple.repartition(ID).select(ID, "total_catch", F.inline(F.array(own, world))).select(*columns)
 
     ifa = F.col("marine_layer_id") == C.IFA
-    weighted_rows = weighted.withColumns({
+    weighted_rows = weighted.repartition(ID).withColumns({
         "main_area_id": F.col("area_id"),
         "sub_area_id": F.when(ifa, F.col("cell_fao_area_id")).otherwise(0),
         "eez_id": F.when(ifa, F.col("area_id")).otherwise(F.col("eez_id")),
     }).select(*columns)
-    return simple_rows.unionByName(weighted_rows)
+    return [simple_rows, weighted_rows]
 
 
 def _in(layers: Sequence[Layer], test: Callable[[Layer], bool]) -> Column:
@@ -92,36 +101,51 @@ def _in(layers: Sequence[Layer], test: Callable[[Layer], bool]) -> Column:
 Parts = Sequence[tuple[DataFrame, DataFrame]]
 
 
-def catch_by_dimensions(parts: Parts, unit_price: bool) -> DataFrame:
-    """Catch, and its value at unit price where a layer uses that, at the grain of the data's dimensions."""
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(*END_USE_KEYS), F.lit(BUCKETS)).cast("int")
+
+
+def hot_buckets(data: Sequence[DataFrame]) -> list[int]:
+    """Buckets of end-use keys with many more ids than others, too many for one task. The answer has a row for each bucket at most."""
+    buckets = reduce(DataFrame.unionByName, [df.select(_bucket().alias("bucket")) for df in data])
+    counts = {r["bucket"]: r["count"] for r in buckets.groupBy("bucket").count().collect()}
+    return sorted(b for b, n in counts.items() if n > max(HOT_IDS, STANDS_OUT * sum(counts.values()) / BUCKETS))
+
+
+def catch_by_dimensions(parts: Parts, unit_price: bool) -> list[DataFrame]:
+    """Catch, and its value at unit price where a layer uses that, at the grain of the data's dimensions: one frame for most end-use keys,
+    dealt out by them, and one for those in hot buckets, if there are any. Rows of a grain are in one of the two.
+
+    The list of an id has one entry for each of its areas at most, whatever the number of its cells.
+    """
     sums = [F.sum("total_catch").alias("catch")]
-    wanted = ["universal_data_id", *DATA_KEYS]
+    wanted = [ID, *DATA_KEYS]
     if unit_price:
         sums.append(F.sum(F.col("unit_price").cast(PRICE_TYPE) * F.col("total_catch").cast(AMOUNT_TYPE)).alias("catch_value"))
         wanted.append("unit_price")
-    joined = reduce(DataFrame.unionByName, [rows.join(data.select(*wanted), "universal_data_id") for rows, data in parts])
-    grouped = joined.groupBy(*AREA_KEYS, "eez_id", *DATA_KEYS).agg(*sums)
-    return narrowed(grouped, *["catch", "catch_value"][:len(sums)])
+    places = [*AREA_KEYS, "eez_id", "total_catch"]
+    kinds = reduce(DataFrame.unionByName, [rows.select(ID, *places) for rows, _ in parts]).schema
+    pairs = [(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds]), data.select(*wanted)) for rows, data in parts]
+    hot = hot_buckets(list({id(data): data for _, data in parts}.values()))
 
+    def summed(rows: DataFrame) -> DataFrame:
+        return narrowed(rows.groupBy(*AREA_KEYS, "eez_id", *DATA_KEYS).agg(*sums), *["catch", "catch_value"][:len(sums)])
 
-def build_facts(parts: Parts, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
-    """The 22 fact columns of all rows of the given layers.
+    listed = [(rows.groupBy(ID).agg(F.collect_list(F.struct(*places)).alias("_places")), data) for rows, data in pairs]
+    usual = reduce(DataFrame.unionByName, [rows.join(data.filter(~_bucket().isin(hot)) if hot else data, ID).drop(ID) for rows, data in listed])
+    made = [summed(usual.repartition(*END_USE_KEYS).select("*", F.inline("_places")).drop("_places"))]
+    if hot:
+        made.append(summed(reduce(DataFrame.unionByName, [rows.join(data.filter(_bucket().isin(hot)), ID) for rows, data in pairs])))
+    return made
 
-    dims: end_use, price, scores (see uncertainty_periods), cube_dim_taxon, area, time_dim, catch_type,
-    reporting_status, gear, allowed_area. Hint the small ones with sizing.measured.
-    """
+
+def _at_end_uses(rows: DataFrame, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
+    """Catch and value by end use and score, from catch at the grain of the data's dimensions (see catch_by_dimensions)."""
     def any_layer(test: Callable[[Layer], bool]) -> bool:
         return any(test(layer) for layer in layers)
 
-    if any_layer(lambda x: x.allowed):
-        listed = dims["allowed_area"].withColumn("_listed", F.lit(True))
-        unlisted = ~_in(layers, lambda x: x.allowed)
-        parts = [(rows.join(listed, ["marine_layer_id", "main_area_id"], "left").filter(unlisted | F.col("_listed")).drop("_listed"), data)
-                 for rows, data in parts]
-
     priced = _in(layers, lambda x: x.end_use_price)
     at_unit_price = any_layer(lambda x: not x.end_use_price)
-    rows = catch_by_dimensions(parts, at_unit_price)
     amounts = ["catch", "catch_value"] if at_unit_price else ["catch"]
     rows = split_end_use(rows, dims["end_use"], amounts, _in(layers, lambda x: x.discard_rule))
 
@@ -139,7 +163,25 @@ def build_facts(parts: Parts, dims: Mapping[str, DataFrame], layers: Sequence[La
     # Grouped by the raw score, filled afterwards: an unknown score and a score of 1 stay two rows.
     keys = [*AREA_KEYS, *DATA_KEYS, "end_use_type_id", "score"]
     fact = rows.groupBy(*keys).agg(F.sum("catch").alias("catch_sum"), F.sum("catch_value").alias("real_value"))
-    fact = narrowed(fact, "catch_sum").withColumnRenamed("gear_type_id", "gear_id")
+    return narrowed(fact, "catch_sum").withColumnRenamed("gear_type_id", "gear_id")
+
+
+def build_facts(parts: Parts, dims: Mapping[str, DataFrame], layers: Sequence[Layer]) -> DataFrame:
+    """The 22 fact columns of all rows of the given layers.
+
+    dims: end_use, price, scores (see uncertainty_periods), cube_dim_taxon, area, time_dim, catch_type,
+    reporting_status, gear, allowed_area. Hint the small ones with sizing.measured.
+    """
+    def any_layer(test: Callable[[Layer], bool]) -> bool:
+        return any(test(layer) for layer in layers)
+
+    if any_layer(lambda x: x.allowed):
+        listed = dims["allowed_area"].withColumn("_listed", F.lit(True))
+        unlisted = ~_in(layers, lambda x: x.allowed)
+        parts = [(rows.join(listed, ["marine_layer_id", "main_area_id"], "left").filter(unlisted | F.col("_listed")).drop("_listed"), data)
+                 for rows, data in parts]
+
+    fact = reduce(DataFrame.unionByName, [_at_end_uses(rows, dims, layers) for rows in catch_by_dimensions(parts, any_layer(lambda x: not x.end_use_price))])
 
     # Every key the dimensions are joined on is a group key by now, so the joins see final rows only, and the measures
     # that need the taxon are products of sums.
@@ -164,14 +206,14 @@ def build_facts(parts: Parts, dims: Mapping[str, DataFrame], layers: Sequence[La
 
 def build_fact(summary: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
     """The fact of one layer from its summary."""
-    return build_facts([(layer_rows(summary, layer), data)], dims, [layer])
+    return build_facts([(layer_rows(summary, layer).repartition(ID), data)], dims, [layer])
 
 
 def build_layer_facts(summaries: Mapping[str, DataFrame], data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """The facts of several layers from their summaries, in one pass over everything else."""
     layers = [LAYERS[n] for n in summaries]
     rows = reduce(DataFrame.unionByName, [layer_rows(summary, layer) for summary, layer in zip(summaries.values(), layers, strict=True)])
-    return build_facts([(rows, data)], dims, layers)
+    return build_facts([(rows.repartition(ID), data)], dims, layers)
 
 
 def build_fact_of_parts(parts: Parts, dims: Mapping[str, DataFrame], layer: Layer) -> DataFrame:
@@ -181,7 +223,7 @@ def build_fact_of_parts(parts: Parts, dims: Mapping[str, DataFrame], layer: Laye
 
 def build_all_facts(simple: DataFrame, weighted: DataFrame, data: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """The facts of all seven layers in one pass, with merged fishing entities; merged rows are not summed again."""
-    facts = build_facts([(rows_of_bases(simple, weighted), data)], dims, list(LAYERS.values()))
+    facts = build_facts([(rows, data) for rows in rows_of_bases(simple, weighted)], dims, list(LAYERS.values()))
     return merge_entity(facts, "fishing_entity_id", C.MERGED_ENTITIES)
 
 
