@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, partial
+from functools import partial
 from struct import pack
 
 import numpy as np
@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from catchlake.llm.common import TwoAges, with_text_columns
+from catchlake.llm.common import TwoAges, kept_in_worker, with_text_columns
 
 NO_LIMIT = 1 << 60
 BYTES = [bytes((b,)) for b in range(256)]
@@ -266,14 +266,13 @@ def merge_by_rank(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-@lru_cache(maxsize=1)
 def codec(path: str, pattern: str, pieces: int, states: int) -> Codec:
-    """The codec of a rank file, once in each Python worker, which keeps it from task to task."""
+    """The codec of a rank file."""
     return Codec(read_ranks(path), pattern, pieces, states)
 
 
 def _round_trip(path: str, pattern: str, ids_too: bool, pieces: int, states: int):
-    own = codec(path, pattern, pieces, states)
+    own = kept_in_worker(codec, path, pattern, pieces, states)
 
     def work(texts: list) -> list:
         n, ids, decoded, kept = [], [], [], []
@@ -301,4 +300,4 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, key: str = "doc_
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
     fields += [T.StructField(ids, T.BinaryType())] if ids else []
-    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern, ids is not None, pieces, states), [key])
+    return with_text_columns(docs, text, fields, partial(_round_trip, path, pattern, ids is not None, pieces, states), [key], keeps=True)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchlake.llm.common import Sample, TwoAges, free_name, platt, sigmoid, training_sample, with_text_columns, word_cache
+from catchlake.llm.common import Sample, TwoAges, free_name, give_back, platt, sigmoid, training_sample, with_text_columns, word_cache
 
 SHAPE = re.compile(r"(.)\1+", re.DOTALL)
 RATES = 6
@@ -240,7 +240,9 @@ def _scorer(model: Broadcast):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, settings: MilSettings = MilSettings()) -> MilModel:
     """Learn labels.quality from rows of labels that satisfy train."""
-    return train_mil(training_sample(docs, labels, "quality", train, settings.max_rows, settings.max_chars), settings)
+    model = train_mil(training_sample(docs, labels, "quality", train, settings.max_rows, settings.max_chars), settings)
+    give_back()  # the driver has no more use for the sample
+    return model
 
 
 def with_quality(docs: DataFrame, model: MilModel, text: str = "text", score: str = "score", keep=None) -> DataFrame:

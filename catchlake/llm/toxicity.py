@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchlake.llm.common import Sample, TwoAges, free_name, platt, sigmoid, with_text_columns, word_cache
+from catchlake.llm.common import Sample, TwoAges, free_name, give_back, platt, sigmoid, with_text_columns, word_cache
 from catchlake.llm.training import Chunk, State, averaged_round, counted, counted_logits, labelled_words
 
 PAD = 0
@@ -331,6 +331,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, settings: Cn
         w = _weights(_start_of(s, data.prior, seen[rest].sum(axis=0), texts[rest].sum(axis=0)))
         states.append((w, _first_sums(w)))
         weights.append(tuple(0.5 * texts[rest].sum() / texts[rest].sum(axis=0)))
+    del seen, w
     shards = data.rows.select("_shard").distinct().count()
     every = int(texts.sum())
     rounds, each = (s.rounds, max(1, -(-s.steps * s.batch // (every * s.rounds)))) if shards > 1 else (1, _rounds(s, every))
@@ -340,6 +341,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, settings: Cn
     logits, truth, langs, counts = counted_logits(data.rows, partial(_held_out, shared))
     model = shared.value[0]
     shared.destroy()
+    del states, shared
+    give_back()  # the driver goes on with the one model
     return _calibrated(model, logits, truth, langs, counts)
 
 

@@ -16,19 +16,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchlake.llm.common import BATCH_ROWS, map_batches
+from catchlake.llm.common import BATCH_ROWS, give_back, map_batches
 from catchlake.operators.sizing import measured
 from catchlake.session import materialize
 
 SHARD_ROWS = 8192  #: about so many rows in a shard; there are as many shards as the rows ask for
 CHUNK_ROWS, CHUNK_WORDS = 2 * SHARD_ROWS, 1 << 22  #: a longer shard is gone through in chunks of so much
+PIECE_ROWS = 1 << 14  #: rows in a batch of counts or changes
 UNIT = 2.0 ** 28  #: changes are counted in parts of so many to one
 GRID, FINE = 256, 2.0 ** 20  #: logits are counted in cells of 1/GRID, of which the mean logit is kept
 
@@ -123,55 +126,67 @@ def counted(rows: DataFrame, keys: str, count: Callable[[Iterator[Chunk]], Itera
 
     def run(batches):
         for made in count(chunks(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(made[k], pa.int32()) for k in names] + [pa.array(made["n"], pa.int64())], names=[*names, "n"])
+            yield from _in_pieces([*(made[k] for k in names), made["n"]], [pa.int32()] * len(names) + [pa.int64()], [*names, "n"])
 
     return map_batches(rows, run, schema).groupBy(*names).agg(F.sum("n").alias("n")).toArrow()
 
 
+def _in_pieces(columns: list[np.ndarray], kinds: list[pa.DataType], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns in batches of PIECE_ROWS rows, since a batch lies in the worker and beside the JVM's heap at the same time."""
+    for at in range(0, len(columns[0]), PIECE_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c[at:at + PIECE_ROWS]), k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
 def averaged_round(rows: DataFrame, states: list[State], width: int, learn: Callable[[int, State, Chunk, np.ndarray, np.random.Generator], None],
                    seed: tuple[int, ...]) -> list[State]:
-    """The states after every shard has learned from its rows and the changes are averaged.
+    """The states after every shard has learned from its rows and the changes are averaged; those given are changed in place, so the driver
+    holds them once.
 
     State 0 learns from all rows, state k from those that are not of fold k - 1. learn changes the state of the number it is given, by
     the rows of a chunk that it is given. Arrays are sent as rows of width numbers.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(states)
     numbers = [f"w{i}" for i in range(width)] + ["s"]
+    schema = "model int, part int, row int, " + ", ".join(f"{c} bigint" for c in numbers)
+    shared = [rows.sparkSession.sparkContext.broadcast(state) for state in states]
 
-    def run(batches):
-        begin = shared.value
-        for shard, own in groupby(chunks(batches), key=lambda c: c.shard):
-            now = [({k: v.copy() for k, v in w.items()}, {k: v.copy() for k, v in s.items()}) for w, s in begin]
-            for no, chunk in enumerate(own):
-                for k, state in enumerate(now):
+    def learned(k: int) -> DataFrame:
+        """The changes of state k. Each state has its own tasks, so a worker never holds all of them."""
+        begin_of = shared[k]
+
+        def run(batches):
+            before = begin_of.value
+            for shard, own in groupby(chunks(batches), key=lambda c: c.shard):
+                after = tuple({name: v.copy() for name, v in x.items()} for x in before)
+                for no, chunk in enumerate(own):
                     fit = np.flatnonzero(chunk.folds != k - 1)
                     if len(fit):
-                        learn(k, state, chunk, fit, np.random.default_rng([*seed, shard, no, k]))
-            for k, (before, after) in enumerate(zip(begin, now, strict=True)):
+                        learn(k, after, chunk, fit, np.random.default_rng([*seed, shard, no, k]))
                 for part, name in enumerate(sorted(before[0])):
                     touched, whole = _changes(*(x[name] for x in (*before, *after)), width)
                     n = len(touched)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, k), pa.int32()), pa.array(np.full(n, part), pa.int32()), pa.array(touched, pa.int32())]
-                        + [pa.array(np.ascontiguousarray(x)) for x in whole.T], names=["model", "part", "row", *numbers])
+                    yield from _in_pieces([np.full(n, k), np.full(n, part), touched, *whole.T], [pa.int32()] * 3 + [pa.int64()] * len(numbers), ["model", "part", "row", *numbers])
+
+        return map_batches(rows, run, schema)
 
-    schema = "model int, part int, row int, " + ", ".join(f"{c} bigint" for c in numbers)
     mean = [(F.sum(c) / F.count(F.lit(1)) / UNIT).cast("float").alias(c) for c in numbers]
-    made = map_batches(rows, run, schema).groupBy("model", "part", "row").agg(*mean).toArrow()
-    shared.destroy()
-    model, part, row = (made.column(c).to_numpy() for c in ("model", "part", "row"))
-    change = np.stack([made.column(c).to_numpy() for c in numbers], axis=1) if len(made) else np.zeros((0, width + 1))
-    after = []
+    changes = reduce(DataFrame.unionByName, [learned(k) for k in range(len(states))])
+    made = changes.groupBy("model", "part", "row").agg(*mean).toArrow()
+    for x in shared:
+        x.destroy()
     for k, (w, sums) in enumerate(states):
-        new = ({}, {})
+        own_rows = made.filter(pc.equal(made.column("model"), k))
+        part, row = (own_rows.column(c).to_numpy() for c in ("part", "row"))
+        change = np.stack([own_rows.column(c).to_numpy() for c in numbers], axis=1)
         for i, name in enumerate(sorted(w)):
-            own = np.flatnonzero((model == k) & (part == i))
-            for side, old, grown in ((0, w[name], change[own, :width]), (1, sums[name], change[own, width:])):
-                table = _in_rows(old, width).copy()
+            own = np.flatnonzero(part == i)
+            for side, grown in ((w, change[own, :width]), (sums, change[own, width:])):
+                old = side[name]
+                table = _in_rows(old, width)
                 table[row[own]] += grown.astype(table.dtype)
-                new[side][name] = table.reshape(-1)[:old.size].reshape(old.shape)
-        after.append(new)
-    return after
+                side[name] = table.reshape(-1)[:old.size].reshape(old.shape)
+    del made
+    give_back()
+    return states
 
 
 def _in_rows(a: np.ndarray, width: int) -> np.ndarray:

@@ -1,9 +1,11 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import prose
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from catchlake.llm import toxicity, training
+from catchlake.llm import common, toxicity, training
 from catchlake.session import materialize
 
 
@@ -70,3 +72,32 @@ def test_a_change_is_the_mean_over_the_shards_that_made_it(spark):
     (w, sums), = training.averaged_round(rows, [state], 2, learn, (1,))
     assert w["w"].tolist() == [[1.5, 1.5], [3.5, 3.5], [0, 0], [0, 0], [0, 0]]
     assert sums["w"].tolist() == [[2, 2], [6, 6], [1, 1], [1, 1], [1, 1]]
+
+
+def test_a_task_learns_one_state_and_the_driver_holds_them_once(spark):
+    """Each state has its own tasks, and the arrays given are changed in place."""
+    rows = materialize(spark.createDataFrame([(0, 5, 0, "", [i]) for i in range(4)], "_shard int, _fold int, _label int, _lang string, _words array<bigint>").coalesce(1), "shards")
+
+    def learn(k, state, chunk, fit, rng):
+        state[0]["w"] += 1 + TaskContext.get().partitionId()
+
+    states = [({"w": np.zeros((40_000, 2), np.float32)}, {"w": np.ones((40_000, 2), np.float32)}) for _ in range(3)]
+    given = [w["w"] for w, _ in states]
+    after = training.averaged_round(rows, states, 2, learn, (1,))
+    assert [(w["w"].min(), w["w"].max()) for w, _ in after] == [(1, 1), (2, 2), (3, 3)]  # the task of each state
+    assert all(np.shares_memory(w["w"], g) for (w, _), g in zip(after, given, strict=True))
+
+
+def kept_now(spark, keeps):
+    """What a worker keeps after it was asked to keep something, seen by the next task."""
+    def seen(batches):
+        yield from batches
+    ask = lambda batches: (common.kept_in_worker(bytes, 10 ** 6), *batches)[1:]
+    one = spark.range(1).coalesce(1)
+    common.map_batches(one, ask, "id long", keeps=True).collect()
+    common.map_batches(one, seen, "id long", keeps=keeps).collect()
+    return common.map_batches(one, lambda batches: (pa.RecordBatch.from_pydict({"id": [len(common._KEPT)]}) for _ in batches), "id long", keeps=True).first()["id"]
+
+
+def test_a_worker_lets_go_of_what_another_operator_kept(spark):
+    assert kept_now(spark, True) == 1 and kept_now(spark, False) == 0
