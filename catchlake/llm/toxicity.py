@@ -323,25 +323,29 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, settings: Cn
     seen, texts = _seen(data.rows, s)
     if min(texts.sum(axis=0)) == 0:
         return CnnModel(s, data.prior)
-    states, weights = [], []
-    for k in range(s.folds + 1):  # the model of all rows, and one without each fold
+    shards = data.rows.select("_shard").distinct().count()
+    every = int(texts.sum())
+    rounds, each = (s.rounds, max(1, -(-s.steps * s.batch // (every * s.rounds)))) if shards > 1 else (1, _rounds(s, every))
+    models = []
+    for k in range(s.folds + 1):  # the model of all rows, and one without each fold; one after the other, so the driver holds one state
         rest = np.arange(s.folds) != k - 1
         if min(texts[rest].sum(axis=0)) == 0:
             rest[:] = True
         w = _weights(_start_of(s, data.prior, seen[rest].sum(axis=0), texts[rest].sum(axis=0)))
-        states.append((w, _first_sums(w)))
-        weights.append(tuple(0.5 * texts[rest].sum() / texts[rest].sum(axis=0)))
-    del seen, w
-    shards = data.rows.select("_shard").distinct().count()
-    every = int(texts.sum())
-    rounds, each = (s.rounds, max(1, -(-s.steps * s.batch // (every * s.rounds)))) if shards > 1 else (1, _rounds(s, every))
-    for i in range(rounds):
-        states = averaged_round(data.rows, states, s.dim, partial(_learn_chunk, weights, s, each), (s.seed, i))
-    shared = data.rows.sparkSession.sparkContext.broadcast([_model_of(s, data.prior, w) for w, _ in states])
+        states = [(w, _first_sums(w))]
+        weight = tuple(0.5 * texts[rest].sum() / texts[rest].sum(axis=0))
+        for i in range(rounds):
+            states = averaged_round(data.rows, states, s.dim, partial(_learn_chunk, weight, s, each), (s.seed, i), first=k)
+        models.append(_model_of(s, data.prior, states[0][0]))
+        del w, states
+    del seen
+    model, *others = models
+    shared = data.rows.sparkSession.sparkContext.broadcast(others)
+    del models, others
+    give_back()
     logits, truth, langs, counts = counted_logits(data.rows, partial(_held_out, shared))
-    model = shared.value[0]
     shared.destroy()
-    del states, shared
+    del shared
     give_back()  # the driver goes on with the one model
     return _calibrated(model, logits, truth, langs, counts)
 
@@ -360,21 +364,22 @@ def _seen(rows: DataFrame, s: CnnSettings) -> tuple[np.ndarray, np.ndarray]:
 
     made = counted(rows, "fold label row", count)
     every = np.zeros((s.folds, 2, s.buckets + 1))
-    every[tuple(made.column(c).to_numpy() for c in ("fold", "label", "row"))] = made.column("n").to_numpy()
+    for batch in made.to_batches():
+        every[tuple(batch.column(c).to_numpy() for c in ("fold", "label", "row"))] = batch.column("n").to_numpy()
     return every[:, :, :-1], every[:, :, -1]
 
 
-def _learn_chunk(weights: list[tuple[float, float]], s: CnnSettings, rounds: int, k: int, state: State, chunk: Chunk, fit: np.ndarray,
+def _learn_chunk(weight: tuple[float, float], s: CnnSettings, rounds: int, k: int, state: State, chunk: Chunk, fit: np.ndarray,
                  rng: np.random.Generator) -> None:
-    _learn(state, chunk.words, chunk.labels, fit, weights[k], s, rng, rounds)
+    _learn(state, chunk.words, chunk.labels, fit, weight, s, rng, rounds)
 
 
 def _held_out(shared: Broadcast, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     """Each row's logit by the model that has not seen its fold."""
-    logits = np.zeros(len(chunk.words))
+    logits = np.zeros(len(chunk.words))  # shared holds the models of the folds, without that of all rows
     for fold in set(chunk.folds.tolist()):
         own = np.flatnonzero(chunk.folds == fold)
-        logits[own] = _logits_of([chunk.words[i] for i in own], shared.value[1 + fold])
+        logits[own] = _logits_of([chunk.words[i] for i in own], shared.value[fold])
     return np.arange(len(logits)), logits
 
 

@@ -21,7 +21,6 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,12 +137,13 @@ def _in_pieces(columns: list[np.ndarray], kinds: list[pa.DataType], names: list[
 
 
 def averaged_round(rows: DataFrame, states: list[State], width: int, learn: Callable[[int, State, Chunk, np.ndarray, np.random.Generator], None],
-                   seed: tuple[int, ...]) -> list[State]:
+                   seed: tuple[int, ...], first: int = 0) -> list[State]:
     """The states after every shard has learned from its rows and the changes are averaged; those given are changed in place, so the driver
     holds them once.
 
-    State 0 learns from all rows, state k from those that are not of fold k - 1. learn changes the state of the number it is given, by
-    the rows of a chunk that it is given. Arrays are sent as rows of width numbers.
+    The states given are numbered from first on. State 0 learns from all rows, state k from those that are not of fold k - 1. learn changes
+    the state of the number it is given, by the rows of a chunk that it is given. Arrays are sent as rows of width numbers. States do not
+    depend on each other, so they may be given one at a time where the driver is to hold, send and receive only one.
     """
     numbers = [f"w{i}" for i in range(width)] + ["s"]
     schema = "model int, part int, row int, " + ", ".join(f"{c} bigint" for c in numbers)
@@ -151,7 +151,7 @@ def averaged_round(rows: DataFrame, states: list[State], width: int, learn: Call
 
     def learned(k: int) -> DataFrame:
         """The changes of state k. Each state has its own tasks, so a worker never holds all of them."""
-        begin_of = shared[k]
+        begin_of = shared[k - first]
 
         def run(batches):
             before = begin_of.value
@@ -169,21 +169,21 @@ def averaged_round(rows: DataFrame, states: list[State], width: int, learn: Call
         return map_batches(rows, run, schema)
 
     mean = [(F.sum(c) / F.count(F.lit(1)) / UNIT).cast("float").alias(c) for c in numbers]
-    changes = reduce(DataFrame.unionByName, [learned(k) for k in range(len(states))])
+    changes = reduce(DataFrame.unionByName, [learned(first + i) for i in range(len(states))])
     made = changes.groupBy("model", "part", "row").agg(*mean).toArrow()
     for x in shared:
         x.destroy()
-    for k, (w, sums) in enumerate(states):
-        own_rows = made.filter(pc.equal(made.column("model"), k))
-        part, row = (own_rows.column(c).to_numpy() for c in ("part", "row"))
-        change = np.stack([own_rows.column(c).to_numpy() for c in numbers], axis=1)
-        for i, name in enumerate(sorted(w)):
-            own = np.flatnonzero(part == i)
-            for side, grown in ((w, change[own, :width]), (sums, change[own, width:])):
-                old = side[name]
-                table = _in_rows(old, width)
-                table[row[own]] += grown.astype(table.dtype)
-                side[name] = table.reshape(-1)[:old.size].reshape(old.shape)
+    for batch in made.to_batches():  # a row comes once
+        model, part, row = (batch.column(c).to_numpy() for c in ("model", "part", "row"))
+        change = np.stack([batch.column(c).to_numpy() for c in numbers], axis=1)
+        for k, (w, sums) in enumerate(states, first):
+            for i, name in enumerate(sorted(w)):
+                own = np.flatnonzero((model == k) & (part == i))
+                for side, grown in ((w, change[own, :width]), (sums, change[own, width:])) if len(own) else ():
+                    old = side[name]
+                    table = _in_rows(old, width)
+                    table[row[own]] += grown.astype(table.dtype)
+                    side[name] = table.reshape(-1)[:old.size].reshape(old.shape)
     del made
     give_back()
     return states

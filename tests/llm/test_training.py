@@ -101,3 +101,23 @@ def kept_now(spark, keeps):
 
 def test_a_worker_lets_go_of_what_another_operator_kept(spark):
     assert kept_now(spark, True) == 1 and kept_now(spark, False) == 0
+
+
+def test_the_driver_sends_and_receives_one_state_at_a_time(many, monkeypatch):
+    """The states of the folds are trained one after the other, and only models of the folds are sent to be scored with."""
+    _, docs, labels = many
+    sent, context = [], docs.sparkSession.sparkContext
+    broadcast = context.broadcast
+
+    def watched(value):
+        sent.append(value)
+        return broadcast(value)
+
+    monkeypatch.setattr(context, "broadcast", watched)
+    s = toxicity.CnnSettings(buckets=1 << 12, steps=300)
+    received, averaged = [], toxicity.averaged_round
+    monkeypatch.setattr(toxicity, "averaged_round", lambda rows, states, *a, **k: received.append(len(states)) or averaged(rows, states, *a, **k))
+    model = toxicity.fit_toxicity(docs, labels, F.lit(True), s)
+    assert received == [1] * (s.folds + 1) * s.rounds
+    assert len(sent) == len(received) + 1 and len(sent[-1]) == s.folds
+    assert not any((m.table == model.table).all() for m in sent[-1])
