@@ -5,7 +5,7 @@ import random
 import numpy as np
 from llm_helpers import prose
 
-from catchlake.llm import queries
+from catchlake.llm import queries, weighted_sampling
 from catchlake.llm.weighted_sampling import Sampler, SamplingSettings, fingerprints, likeness, term_weights
 
 
@@ -81,3 +81,19 @@ def test_whole_table(spark):
     assert rows == expected(docs)
     near, next_ = np.mean([r[5] for r in rows]), np.mean([r[6] for r in rows])
     assert near > 0.5 > 0.3 > next_
+
+
+def test_texts_together_and_one_by_one():
+    texts = ["", "a a b", *(prose(i, 30) + f" own{i} own{i}" for i in range(40)), " ".join(f"t{i}" for i in range(20_000)), " \n", "a a b"]
+    assert Sampler(SamplingSettings()).prints(texts) == [Sampler(SamplingSettings())(t) for t in texts]
+    assert Sampler(SamplingSettings(table=1, heavy=1)).prints(texts) == Sampler(SamplingSettings()).prints(texts) and Sampler(SamplingSettings()).prints([]) == []
+
+
+def test_many_words_are_drawn_once(monkeypatch):
+    """The draws of 100,000 words are kept, and a word that many texts hold is drawn anew for none of them."""
+    drawn, digest = [], weighted_sampling.xxh64_intdigest
+    monkeypatch.setattr(weighted_sampling, "xxh64_intdigest", lambda t, seed: drawn.append(t) or digest(t, seed))
+    print_ = Sampler(SamplingSettings())
+    texts = [" ".join(["often", *(f"w{i}" for i in range(at, at + 2000))]) for at in range(0, 100_000, 2000)]
+    first = [print_(t) for t in texts]
+    assert first == [print_(t) for t in texts] and len(drawn) == len(set(drawn)) == 100_001
